@@ -23,17 +23,20 @@ further columns are ignored; null doc_ids are dropped.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import binary, saved, shared_dir, slices, text_of
+from ._common import binary, saved, shared_dir, slices, text_of, utf8
+from ._vector import separators, span_hash
 
 #: Ids and bits of each selector; fixed values of the coding. Selector 0 is the escape.
 PACKING = ((0, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
@@ -42,11 +45,18 @@ BLOCK_IDS = 1 << 16
 #: Text bytes that one file takes.
 FILE_BYTES = 8 << 20
 #: Distinct pieces of text in a generation of an encoder's cache.
-CACHE = 150_000
+CACHE = 100_000
+#: Slots of the largest table of chunks, as a power of two.
+TABLE_BITS = 22
+
+
+_BITS_16 = np.maximum(np.frexp(np.arange(1 << 16, dtype=float))[1], 1).astype(np.uint8)
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bits that each value takes, at least one."""
+    if values.dtype.itemsize == 2:
+        return _BITS_16[values]
     if int(values.max()) < 1 << 32:
         return np.maximum(np.frexp(values.astype(np.float64))[1], 1).astype(np.uint8)
     out = np.ones(len(values), np.uint8)
@@ -57,11 +67,13 @@ def _bits(values: np.ndarray) -> np.ndarray:
 
 def pack(values: np.ndarray) -> np.ndarray:
     """Unsigned values as Simple-8b words; always the selector that takes most values."""
-    values = np.asarray(values, np.uint64)
+    values = np.asarray(values)
+    if values.dtype != np.uint16:
+        values = values.astype(np.uint64)
     n = len(values)
     if not n:
         return np.zeros(0, np.uint64)
-    padded = np.append(values, np.zeros(60, np.uint64))
+    padded = np.append(values, np.zeros(60, values.dtype))
     bits = _bits(padded)
     # The widest of the next k values, for each count k of the selectors, from few to many.
     most, widest = {1: bits}, bits
@@ -94,8 +106,10 @@ def pack(values: np.ndarray) -> np.ndarray:
             out[place[own] + 1] = values[at[own]]
             continue
         count, bits = PACKING[k]
-        rows = padded[at[own][:, None] + np.arange(count)] << (np.arange(count) * bits).astype(np.uint64)
-        out[place[own]] = np.bitwise_or.reduce(rows, axis=1) | np.uint64(k << 60)
+        first, word = at[own], np.uint64(k << 60)
+        for i in range(count):
+            word = word | (padded[first + i].astype(np.uint64) << np.uint64(i * bits))
+        out[place[own]] = word
     return out
 
 
@@ -170,7 +184,7 @@ class PieceEncoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join(["[\x1c-\x1f]", *special]))
+        self.whole = re.compile("|".join(["[\x1c\x1d\x1e\x1f]", *special]))
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}  # the generation that is dropped next
@@ -197,7 +211,8 @@ class PieceEncoder:
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
         """Ids of each text, packed as ``kind``, with ``end`` appended."""
-        pieces = [[t] if self.whole.search(t) else self.PIECES.findall(t) for t in texts]
+        odd = self.whole.search("\n".join(texts)) is not None
+        pieces = [[t] if odd and self.whole.search(t) else self.PIECES.findall(t) for t in texts]
         if len(self.known) > CACHE:
             self.known, self.before = {}, self.known
         unseen = set().union(*pieces).difference(self.known)
@@ -208,15 +223,143 @@ class PieceEncoder:
         return [b"".join(map(look, own)) + end for own in pieces]
 
 
+class ChunkTable:
+    """Ids of chunks of text by the chunks' 64-bit hash, in flat arrays: open addressing, looked up for a batch at once."""
+
+    def __init__(self, kind: np.dtype, bits: int = 16):
+        self.kind = kind
+        self._clear(bits)
+
+    def _clear(self, bits: int) -> None:
+        self.mask = np.uint64((1 << bits) - 1)
+        self.keys, self.at, self.size = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.uint32), np.zeros(1 << bits, np.uint32)
+        self.ids, self.used, self.held = np.zeros(1 << bits, self.kind), 0, 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Each hash's slot, -1 if it isn't held."""
+        slot = (hashes & self.mask).astype(np.int64)
+        out, open_ = np.full(len(hashes), -1), np.arange(len(hashes))
+        while len(open_):
+            have = self.keys[slot]
+            hit = have == hashes[open_]
+            out[open_[hit]] = slot[hit]
+            go = ~hit & (have != 0)
+            open_, slot = open_[go], (slot[go] + 1) & int(self.mask)
+        return out
+
+    def add(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        """Distinct hashes that aren't held, with their ids."""
+        if self.held + len(hashes) > 0.6 * len(self.keys):
+            own = np.flatnonzero(self.keys)
+            keys, at, size, ids, used, held = self.keys[own], self.at[own], self.size[own], self.ids, self.used, self.held
+            self._clear(int(np.ceil(np.log2((held + len(hashes)) / 0.35))))
+            slot = self._place(keys)
+            self.at[slot], self.size[slot], self.ids, self.used, self.held = at, size, ids, used, held
+        raw = np.frombuffer(b"".join(pieces), self.kind)
+        n = np.array([len(p) for p in pieces]) // self.kind.itemsize
+        if self.used + len(raw) > len(self.ids):
+            self.ids = np.append(self.ids[: self.used], np.zeros(max(len(raw), self.used), self.kind))
+        self.ids[self.used : self.used + len(raw)] = raw
+        slot = self._place(hashes)
+        self.at[slot], self.size[slot] = self.used + np.cumsum(n) - n, n
+        self.used += len(raw)
+        self.held += len(hashes)
+
+    def _place(self, hashes: np.ndarray) -> np.ndarray:
+        slot = (hashes & self.mask).astype(np.int64)
+        open_ = np.arange(len(hashes))
+        while len(open_):
+            free = open_[self.keys[slot[open_]] == 0]
+            self.keys[slot[free]] = hashes[free]
+            open_ = open_[self.keys[slot[open_]] != hashes[open_]]
+            slot[open_] = (slot[open_] + 1) & int(self.mask)
+        return slot
+
+    def gather(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all slots in a row, and each slot's number."""
+        n = self.size[slot].astype(np.int64)
+        ends = np.cumsum(n)
+        place = np.repeat(self.at[slot] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)
+        return self.ids[place], n
+
+
+_BLANK = separators("space")
+
+
+class BatchEncoder:
+    """Ids of the texts of an Arrow batch. Texts are cut before a space between other characters, where
+    the pattern has a boundary in any case; each distinct chunk is encoded once and then looked up."""
+
+    def __init__(self, path: str):
+        self.pieces = PieceEncoder(path)
+        self.kind = self.pieces.kind
+        self.table = ChunkTable(self.kind)
+        self.special = [t.content.encode() for t in self.pieces.tokenizer.get_added_tokens_decoder().values()]
+
+    def _odd(self, buf: np.ndarray, offsets: np.ndarray, raw: bytes) -> np.ndarray:
+        """Texts with white space beyond ASCII's, or with a special token's text."""
+        at = np.flatnonzero((buf >= 0x1C) & (buf <= 0x1F))
+        for lead, second, third in (((0xC2,), (0x85, 0xA0), None), ((0xE1,), (0x9A,), None), ((0xE3,), (0x80,), (0x80,)), ((0xE2,), (0x81,), (0x9F,)), ((0xE2,), (0x80,), (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF))):
+            found = np.flatnonzero(np.isin(buf[:-2], lead)) if len(buf) > 2 else np.zeros(0, np.int64)
+            found = found[np.isin(buf[found + 1], second)]
+            at = np.append(at, found if third is None else found[np.isin(buf[found + 2], third)])
+        if len(buf) == 2 and raw in (b"\xc2\x85", b"\xc2\xa0"):
+            at = np.append(at, 0)
+        for token in self.special:
+            k = raw.find(token)
+            while k >= 0:
+                at, k = np.append(at, k), raw.find(token, k + 1)
+        out = np.zeros(len(offsets) - 1, bool)
+        out[np.searchsorted(offsets, at, "right") - 1] = True
+        return out
+
+    def encode(self, buf: np.ndarray, offsets: np.ndarray, end: bytes) -> list[bytes]:
+        raw, n_docs = buf.tobytes(), len(offsets) - 1
+        blank = _BLANK[buf]
+        cut = np.zeros(len(buf) + 1, bool)
+        cut[1:-2] = (buf[1:-1] == 0x20) & ~blank[:-2] & ~blank[2:] if len(buf) > 2 else False
+        last = offsets[1:] - 1
+        cut[last[last >= 0]] = False  # a text's last character starts no chunk, nor does its first space but as the text's start
+        cut[offsets] = True
+        cut[-1] = False
+        starts = np.flatnonzero(cut)
+        ends = np.append(starts[1:], len(buf))
+        hashes = span_hash(buf, starts, ends)
+        hashes[hashes == 0] = 1
+        slot = self.table.find(hashes)
+        unseen = np.flatnonzero(slot < 0)
+        if len(unseen):
+            new, first = np.unique(hashes[unseen], return_index=True)
+            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[unseen[first]].tolist(), ends[unseen[first]].tolist(), strict=True)]
+            if self.table.held + len(new) > 0.5 * (1 << TABLE_BITS):  # full: it starts anew from this batch
+                new, first = np.unique(hashes, return_index=True)
+                texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+                self.table = ChunkTable(self.kind)
+            self.table.add(new, self.pieces.encode(texts, b""))
+            slot = self.table.find(hashes)
+        ids, n = self.table.gather(slot)
+        flat, width = ids.tobytes(), self.kind.itemsize
+        bound = (np.append(0, np.cumsum(n))[np.searchsorted(starts, offsets)] * width).tolist()
+        out = [flat[a:b] + end for a, b in zip(bound[:-1], bound[1:], strict=True)]
+        for d in np.flatnonzero(self._odd(buf, offsets, raw)).tolist():
+            out[d] = self.pieces.encode([raw[offsets[d] : offsets[d + 1]].decode("utf-8", "replace")], end)[0]
+        assert len(out) == n_docs
+        return out
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> BatchEncoder:
+    """One encoder for each Python worker: the chunks it has learnt serve its later tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return BatchEncoder(path)
+
+
 def _encode(tokenizer: str, end_id: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = PieceEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         end = np.array([end_id], encoder.kind).tobytes()
         for batch in slices(batches):
-            yield pa.record_batch([batch.column(0), binary(encoder.encode(batch.column(1).to_pylist(), end))], ["doc_id", "ids"])
+            yield pa.record_batch([batch.column(0), binary(encoder.encode(*utf8(batch.column(1)), end))], ["doc_id", "ids"])
 
     return task
 

@@ -6,12 +6,10 @@ are compared within a joined row (book_id, chapter_pos, chapter_id, source, tran
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.text import blank, count_list_items, count_quotes, count_words, heading_levels, image_references, py_strip, split_lines
+from quire.functions.text import blank, count_list_items, count_quotes, count_words, heading_levels, image_references, let, py_strip, split_lines
 
 PENALTY = {"error": 10, "warning": 5}
 OTHER_PENALTY = 1
@@ -26,27 +24,36 @@ def pairs(source: DataFrame, translated: DataFrame) -> DataFrame:
     return source.select("book_id", "chapter_pos", "chapter_id", F.col("content").alias("source")).join(other, ["book_id", "chapter_pos"], "left")
 
 
-def _issue(rows: DataFrame, condition: Column, check: str, category: str, severity: str, message: Column) -> DataFrame:
-    return rows.where(condition).select("book_id", F.lit(check).alias("check_id"), "chapter_id", F.lit(category).alias("category"), F.lit(severity).alias("severity"), message.alias("message"))
+def _said(condition: Column, check: str, category: str, severity: str, message: Column) -> Column:
+    return F.when(condition, F.struct(F.lit(check).alias("check_id"), F.lit(category).alias("category"), F.lit(severity).alias("severity"), message.alias("message")))
+
+
+def _issues(rows: DataFrame, *said: Column) -> DataFrame:
+    """All checks of a row in one pass over it."""
+    return rows.select("book_id", "chapter_id", F.inline(F.array_compact(F.array(*said)))).select("book_id", "check_id", "chapter_id", "category", "severity", "message")
 
 
 def structural(both: DataFrame) -> DataFrame:
     """Missing or empty translations, headings, lists, quotes and size."""
-    there = both.where(F.col("translated").isNotNull())
-    a, b = F.col("source"), F.col("translated")
-    count_a, count_b = F.size(heading_levels(a)), F.size(heading_levels(b))
-    words_a, words_b = count_words(a), count_words(b)
-    known = a.isNotNull()
-    checks = [
-        _issue(both, F.col("translated").isNull(), "missing", "structure", "error", F.lit("Translation is missing")),
-        _issue(there, blank(b), "empty", "structure", "error", F.lit("Translation is empty")),
-        _issue(there, known & (count_a != count_b), "heading_count", "structure", "warning", F.format_string("Heading count differs: source=%d translated=%d", count_a, count_b)),
-        _issue(there, known & (count_a == count_b) & (heading_levels(a) != heading_levels(b)), "heading_levels", "structure", "warning", F.lit("Heading levels differ")),
-        _issue(there, known & (count_list_items(a) > 0) & (count_list_items(b) == 0), "lists", "structure", "warning", F.lit("List items are lost")),
-        _issue(there, known & (count_quotes(a) > 0) & (count_quotes(b) == 0), "quotes", "structure", "warning", F.lit("Block quotes are lost")),
-        _issue(there, known & (words_a > 0) & (words_b > 3 * words_a), "size", "structure", "warning", F.format_string("Translation is far longer: source=%d translated=%d", words_a, words_b)),
-    ]
-    return reduce(DataFrame.unionByName, checks)
+    counts = F.struct(
+        *(F.struct(heading_levels(x).alias("levels"), count_list_items(x).alias("lists"), count_quotes(x).alias("quotes"), count_words(x).alias("words")).alias(k) for k, x in (("a", F.col("source")), ("b", F.col("translated"))))
+    )
+    there, compared = F.col("translated").isNotNull(), F.col("translated").isNotNull() & F.col("source").isNotNull()
+
+    def checks(c: Column) -> Column:
+        a, b = c["a"], c["b"]
+        count_a, count_b = F.size(a["levels"]), F.size(b["levels"])
+        return F.array_compact(F.array(
+            _said(~there, "missing", "structure", "error", F.lit("Translation is missing")),
+            _said(there & blank("translated"), "empty", "structure", "error", F.lit("Translation is empty")),
+            _said(compared & (count_a != count_b), "heading_count", "structure", "warning", F.format_string("Heading count differs: source=%d translated=%d", count_a, count_b)),
+            _said(compared & (count_a == count_b) & (a["levels"] != b["levels"]), "heading_levels", "structure", "warning", F.lit("Heading levels differ")),
+            _said(compared & (a["lists"] > 0) & (b["lists"] == 0), "lists", "structure", "warning", F.lit("List items are lost")),
+            _said(compared & (a["quotes"] > 0) & (b["quotes"] == 0), "quotes", "structure", "warning", F.lit("Block quotes are lost")),
+            _said(compared & (a["words"] > 0) & (b["words"] > 3 * a["words"]), "size", "structure", "warning", F.format_string("Translation is far longer: source=%d translated=%d", a["words"], b["words"])),
+        ))
+
+    return both.select("book_id", "chapter_id", F.inline(let(counts, checks))).select("book_id", "check_id", "chapter_id", "category", "severity", "message")
 
 
 def absent_terms(glossary: DataFrame, translated: DataFrame) -> DataFrame:
@@ -76,19 +83,20 @@ def english_fragments(texts: DataFrame, keys: list[str], text: str) -> DataFrame
 def terminology(glossary: DataFrame, translated: DataFrame) -> DataFrame:
     absent = absent_terms(glossary, translated).withColumn("chapter_id", F.lit(None).cast("string"))
     lines = english_fragments(translated.where(F.col("content").isNotNull()), ["book_id", "chapter_id"], "content")
-    return _issue(absent, F.lit(True), "term_absent", "terminology", "info", F.format_string("Term is not used: %s -> %s", "english", "russian")).unionByName(
-        _issue(lines, F.lit(True), "english", "terminology", "warning", F.format_string("English text on line %d: %s", "line_number", "words"))
+    return _issues(absent, _said(F.lit(True), "term_absent", "terminology", "info", F.format_string("Term is not used: %s -> %s", "english", "russian"))).unionByName(
+        _issues(lines, _said(F.lit(True), "english", "terminology", "warning", F.format_string("English text on line %d: %s", "line_number", "words")))
     )
 
 
 def completeness(chunks: DataFrame, both: DataFrame) -> DataFrame:
     state = F.coalesce("status", F.lit("pending"))
     lost = both.where(F.col("source").isNotNull() & F.col("translated").isNotNull()).select("book_id", "chapter_id", F.explode(lost_images(F.col("source"), F.col("translated"))).alias("image"))
-    return reduce(DataFrame.unionByName, [
-        _issue(chunks, ~state.isin("translated", "approved"), "chunk_status", "completeness", "error", F.format_string("Chunk %s is %s", "chunk_id", state)),
-        _issue(chunks, blank("translation"), "chunk_text", "completeness", "error", F.format_string("Chunk %s has no text", "chunk_id")),
-        _issue(lost, F.lit(True), "image", "completeness", "warning", F.concat(F.lit("Image is lost: "), "image")),
-    ])
+    of_chunks = _issues(
+        chunks,
+        _said(~state.isin("translated", "approved"), "chunk_status", "completeness", "error", F.format_string("Chunk %s is %s", "chunk_id", state)),
+        _said(blank("translation"), "chunk_text", "completeness", "error", F.format_string("Chunk %s has no text", "chunk_id")),
+    )
+    return of_chunks.unionByName(_issues(lost, _said(F.lit(True), "image", "completeness", "warning", F.concat(F.lit("Image is lost: "), "image"))))
 
 
 def lost_images(source: Column, translated: Column) -> Column:

@@ -124,5 +124,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - len(kept) AS BIG
 """
 
 
+def _terms(text: str) -> str:
+    lowered = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"list_filter(regexp_split_to_array({lowered}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+
+_OP8 = f"""
+WITH d AS (SELECT doc_id, {_terms("text")} AS w FROM documents),
+i AS (SELECT item_id, w, least(13, len(w)) AS s FROM (SELECT item_id, {_terms("text")} AS w FROM benchmark) WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, s, array_to_string(w[k:k + s - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - s + 2)) AS k FROM i)),
+sizes AS (SELECT DISTINCT s FROM iw),
+dw AS (SELECT doc_id, k, s, array_to_string(w[k:k + s - 1], ' ') AS g FROM (SELECT doc_id, w, s, unnest(range(1, len(w) - s + 2)) AS k FROM d, sizes WHERE len(w) >= s)),
+m AS (SELECT doc_id, k, iw.s, item_id FROM dw JOIN iw ON dw.s = iw.s AND dw.g = iw.g),
+h AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(k, k + s)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, (coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w)) AS contaminated
+FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_index": _OP1, "op2_secret_ledger": _secret_sql(), "op3_substring_dedup": _OP3}
+    return {"op1_warc_index": _OP1, "op2_secret_ledger": _secret_sql(), "op3_substring_dedup": _OP3, "op8_decontamination": _OP8}

@@ -22,7 +22,6 @@ an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -115,8 +114,8 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held[k] = (mine[0] | once, mine[1] | twice | (mine[0] & once))
             else:
                 held[k] = (once, twice)
-    for k, (once, twice) in held.items():
-        yield _segment(k, once, twice)
+    for k, (_, twice) in held.items():
+        yield pa.record_batch([pa.array([k], pa.int32()), binary([zlib.compress(twice.tobytes(), 1)])], ["segment", "planes"])
 
 
 def merged_sketch(docs: DataFrame, width: int, gram: int) -> Sketch:
@@ -129,8 +128,8 @@ def merged_sketch(docs: DataFrame, width: int, gram: int) -> Sketch:
     merged_rows = rows.repartition(parts(docs.sparkSession), "segment").mapInArrow(_merge, "segment int, planes binary")
     sketch = Sketch(cells)
     twice = sketch.twice.reshape(-1)
-    for k, raw in merged_rows.collect():  # at most DEPTH * MAX_WIDTH / 4 bytes
-        twice[k * SEGMENT : (k + 1) * SEGMENT] = np.frombuffer(zlib.decompress(raw), np.uint8)[SEGMENT:]
+    for k, raw in merged_rows.collect():  # the second plane only: at most DEPTH * MAX_WIDTH bits
+        twice[k * SEGMENT : (k + 1) * SEGMENT] = np.frombuffer(zlib.decompress(raw), np.uint8)
     return sketch
 
 
@@ -177,10 +176,12 @@ def covered_ranges(documents: DataFrame, id_column: str = "doc_id", text_column:
         found.groupBy("key", "content").agg(F.min_by(F.struct("doc_id", "size", "hashes"), "doc_id").alias("one")).select("key", "content", F.col("one.doc_id").alias("first_doc"), F.col("one.size").alias("size"), F.col("one.hashes").alias("hashes")),
         f"{work}/copies",
     )
-    differing = copies.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # Written before it is joined: a join of two plain exchanges can be split at a hot key.
+    differing = saved(copies.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), f"{work}/differing")
     single = copies.join(differing, "key").select("key", "content", "first_doc", F.posexplode("hashes").alias("step", "window"))
     single = saved(single, f"{work}/windows")
     earliest = single.groupBy("key", "window").agg(F.min("first_doc").alias("least"), F.max("first_doc").alias("most")).where("least < most").select("key", "window", "least")
+    earliest = saved(earliest, f"{work}/earliest")
     partial = single.join(earliest, ["key", "window"]).where("least < first_doc").groupBy("key", "content").agg(F.sort_array(F.collect_list("step")).alias("steps"))
     # An earlier document has the whole block, or some windows of its first copy lie in earlier ones.
     verdict = copies.select("key", "content", "first_doc").join(partial, ["key", "content"], "left")

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import shared_dir
+from ._common import saved, shared_dir
 
 
 @dataclass(frozen=True)
@@ -91,7 +91,9 @@ def scan(documents: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...
     single = unseen.groupBy("blob").agg(F.first("text").alias("text"))
     single.select("blob", spans(F.col("text"), rules).alias("spans"), F.lit(rule_version).alias("rule_version")).write.mode("append").partitionBy("rule_version").parquet(ledger)
     known = _ledger(spark, ledger)
+    # Two scans at a time may both have added a blob. Written, so that the join below can be split at a hot blob.
     found = known.where((F.col("rule_version") == rule_version) & (F.size("spans") > 0)).select("blob", "spans").dropDuplicates(["blob"])
+    found = saved(found, shared_dir(spark, "findings"))
     return rows.join(found, "blob", "left").select(*rows.columns, F.coalesce("spans", F.array().cast("array<struct<start:int,kind:int,end:int>>")).alias("spans"))
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import binary, parts, saved, shared_dir, slices, text_of, utf8
+from ._common import binary, saved, shared_dir, slices, text_of, utf8
 from ._repeats import blocks, merged
 from ._vector import mix, separators, span_hash
 
@@ -323,7 +323,8 @@ def covered_ranges(documents: DataFrame, id_column: str = "doc_id", text_column:
         found.groupBy("key", "content").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "at", "size")).alias("one")),
         f"{work}/copies",
     )
-    unlike = copies.groupBy("key").agg(F.count("*").alias("unlike")).where("unlike > 1")
+    # Written before they are joined: a join of two plain exchanges can be split at a hot key.
+    unlike = saved(copies.groupBy("key").agg(F.count("*").alias("unlike")).where("unlike > 1"), f"{work}/unlike")
     whole = (
         found.join(copies.where("copies > 1").select("key", "content"), ["key", "content"])
         .select("doc_id", F.col("at").alias("low"), (F.col("at") + F.col("size") + F.lit(width - 1)).alias("high"))
@@ -345,7 +346,7 @@ def covered_ranges(documents: DataFrame, id_column: str = "doc_id", text_column:
         .applyInArrow(_sort_shard(width), "doc_id long, low long, high long")
     )
     windows = texts.where("hot").mapInArrow(_hash_windows(width), "doc_id long, at long, key long, window long, once boolean")
-    again = windows.groupBy("key", "window").agg(F.count("*").alias("n")).where("n > 1").select("key", "window")
+    again = saved(windows.groupBy("key", "window").agg(F.count("*").alias("n")).where("n > 1").select("key", "window"), f"{work}/again")
     spread = windows.where("once").join(again, ["key", "window"]).select("doc_id", F.col("at").alias("low"), (F.col("at") + F.lit(width)).alias("high"))
     return whole.unionByName(sorted_).unionByName(spread)
 

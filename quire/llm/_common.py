@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -32,12 +34,6 @@ def saved(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate table that no later plan reads."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -62,6 +58,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def trim() -> None:
+    """Give freed memory back to the system: a Python worker outlives its task and shares the executor's limit."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library keeps it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``limit`` bytes of text, or one row."""
     for batch in batches:
@@ -71,6 +74,8 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
             yield batch.slice(i, j - i)
             i = j
+        del batch, offsets
+        trim()
 
 
 def binary(chunks: list[bytes]) -> pa.Array:

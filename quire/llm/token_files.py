@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import binary, saved, shared_dir, slices, text_of, utf8
+from ._common import binary, saved, shared_dir, slices, text_of, trim, utf8
 from ._vector import separators, span_hash
 
 #: Ids and bits of each selector; fixed values of the coding. Selector 0 is the escape.
@@ -45,7 +45,7 @@ BLOCK_IDS = 1 << 16
 #: Text bytes that one file takes.
 FILE_BYTES = 8 << 20
 #: Distinct pieces of text in a generation of an encoder's cache.
-CACHE = 100_000
+CACHE = 70_000
 #: Slots of the largest table of chunks, as a power of two.
 TABLE_BITS = 22
 
@@ -249,10 +249,10 @@ class ChunkTable:
 
     def add(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
         """Distinct hashes that aren't held, with their ids."""
-        if self.held + len(hashes) > 0.6 * len(self.keys):
+        if self.held + len(hashes) > 0.8 * len(self.keys):
             own = np.flatnonzero(self.keys)
             keys, at, size, ids, used, held = self.keys[own], self.at[own], self.size[own], self.ids, self.used, self.held
-            self._clear(int(np.ceil(np.log2((held + len(hashes)) / 0.35))))
+            self._clear(int(np.ceil(np.log2((held + len(hashes)) / 0.45))))
             slot = self._place(keys)
             self.at[slot], self.size[slot], self.ids, self.used, self.held = at, size, ids, used, held
         raw = np.frombuffer(b"".join(pieces), self.kind)
@@ -284,6 +284,11 @@ class ChunkTable:
 
 
 _BLANK = separators("space")
+#: White space beyond ASCII's in UTF-8, as numbers; and the bytes that it, or x1C-x1F, begins with.
+_TWO_BYTES = np.array([0xC285, 0xC2A0])
+_WIDE = np.array([0xE19A80, 0xE38080, 0xE2819F, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF])
+_SUSPECT = np.zeros(256, bool)
+_SUSPECT[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
 class BatchEncoder:
@@ -298,13 +303,13 @@ class BatchEncoder:
 
     def _odd(self, buf: np.ndarray, offsets: np.ndarray, raw: bytes) -> np.ndarray:
         """Texts with white space beyond ASCII's, or with a special token's text."""
-        at = np.flatnonzero((buf >= 0x1C) & (buf <= 0x1F))
-        for lead, second, third in (((0xC2,), (0x85, 0xA0), None), ((0xE1,), (0x9A,), None), ((0xE3,), (0x80,), (0x80,)), ((0xE2,), (0x81,), (0x9F,)), ((0xE2,), (0x80,), (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF))):
-            found = np.flatnonzero(np.isin(buf[:-2], lead)) if len(buf) > 2 else np.zeros(0, np.int64)
-            found = found[np.isin(buf[found + 1], second)]
-            at = np.append(at, found if third is None else found[np.isin(buf[found + 2], third)])
-        if len(buf) == 2 and raw in (b"\xc2\x85", b"\xc2\xa0"):
-            at = np.append(at, 0)
+        suspect = np.flatnonzero(_SUSPECT[buf])
+        at = suspect[buf[suspect] < 0x20]
+        rest = suspect[buf[suspect] >= 0x20]
+        if len(rest):
+            padded = np.append(buf, np.zeros(2, np.uint8))
+            code = (padded[rest].astype(np.int64) << 16) | (padded[rest + 1].astype(np.int64) << 8) | padded[rest + 2]
+            at = np.append(at, rest[np.isin(code, _WIDE) | np.isin(code >> 8, _TWO_BYTES)])
         for token in self.special:
             k = raw.find(token)
             while k >= 0:
@@ -331,7 +336,7 @@ class BatchEncoder:
         if len(unseen):
             new, first = np.unique(hashes[unseen], return_index=True)
             texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[unseen[first]].tolist(), ends[unseen[first]].tolist(), strict=True)]
-            if self.table.held + len(new) > 0.5 * (1 << TABLE_BITS):  # full: it starts anew from this batch
+            if self.table.held + len(new) > 0.75 * (1 << TABLE_BITS):  # full: it starts anew from this batch
                 new, first = np.unique(hashes, return_index=True)
                 texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
                 self.table = ChunkTable(self.kind)
@@ -388,6 +393,7 @@ def _write(kind: np.dtype):
         if docs:
             yield flush()
         if offsets:
+            trim()
             foot = b"S8BF" + struct.pack("<I", len(offsets)) + np.array(offsets, "<u8").tobytes() + struct.pack("<Q", at)
             yield pa.record_batch([binary([foot])], ["value"])
 
@@ -428,6 +434,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ["file", "doc_id", "at", "n_tokens", "ids"],
                 )
                 start += int(lengths.sum())
+        trim()
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -45,7 +45,7 @@ BLOCK_IDS = 1 << 16
 #: Text bytes that one file takes.
 FILE_BYTES = 8 << 20
 #: Distinct pieces of text in a generation of an encoder's cache.
-CACHE = 70_000
+CACHE = 50_000
 #: Slots of the largest table of chunks, as a power of two.
 TABLE_BITS = 22
 

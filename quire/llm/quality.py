@@ -7,12 +7,12 @@ limit when more than ``max(MIN_DOCS, SHARE * documents of the host)`` distinct
 documents hold it; such lines are boilerplate and removed, and a document that
 keeps less than ``KEEP`` of its words is depleted and rejected.
 
-Documents are told apart, for one line, by the smallest hash among their other
-lines: exact copies of a text, and most near copies, count as one document, so a
-text is not rejected for having been copied.
+Documents are told apart by a hash of the whole set of their lines: copies of a
+text count as one document, so a text is not rejected for having been copied,
+and documents that differ in any line are counted each.
 
-Counting is a distinct count on (host, line), combined before the shuffle; a
-line that all documents share is a few partial counts from each task.
+Copies are merged first, then lines are counted on (host, line), combined before
+the shuffle; a line that all documents share is a few partial counts from each task.
 
 Defined results: a null or blank text has no words and fails the base rules; a
 null host is a host of its own; equal rows get equal results; an empty table
@@ -40,7 +40,7 @@ KEEP = 0.25
 _SPACE = separators("space")
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
-STATS = "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lines array<struct<line:long,mark:long,n:long>>"
+STATS = "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, mark long, lines array<struct<line:long,n:long>>"
 
 
 def _sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -102,20 +102,20 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.add.at(cover, twice, 1)
         np.add.at(cover, twice + WINDOW, -1)
         repeated = _sums(np.cumsum(cover[:-1]) > 0, first)
-        # Distinct lines of each document, and the smallest other line's hash.
+        # Distinct lines of each document, and a hash of their set.
         _, at, back = np.unique(line ^ salt[doc], return_index=True, return_inverse=True)
         size = np.bincount(back, weights=high - low).astype(np.int64)
         order = np.lexsort((line[at], doc[at]))
         of, hashed, size = doc[at][order], line[at][order], size[order]
         cut = np.searchsorted(of, np.arange(n_docs + 1))
+        total = np.append(np.uint64(0), np.cumsum(mix(hashed), dtype=np.uint64))
+        mark = (total[cut[1:]] - total[cut[:-1]]).view(np.int64)
         lists = []
         for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-            own = hashed[a:b].view(np.int64).tolist()
-            least, second = (own[0], own[1] if len(own) > 1 else 0) if own else (0, 0)
-            lists.append([{"line": x, "mark": second if k == 0 else least, "n": s} for k, (x, s) in enumerate(zip(own, size[a:b].tolist(), strict=True))])
+            lists.append([{"line": x, "n": s} for x, s in zip(hashed[a:b].view(np.int64).tolist(), size[a:b].tolist(), strict=True)])
         yield pa.record_batch(
-            [batch.column(0), batch.column(1), *(pa.array(x.astype(np.int64)) for x in (n, chars, _sums(_SYMBOLS[buf], offsets), dup, repeated)), pa.array(lists, pa.list_(pa.struct([("line", pa.int64()), ("mark", pa.int64()), ("n", pa.int64())])))],
-            ["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"],
+            [batch.column(0), batch.column(1), *(pa.array(x.astype(np.int64)) for x in (n, chars, _sums(_SYMBOLS[buf], offsets), dup, repeated, mark)), pa.array(lists, pa.list_(pa.struct([("line", pa.int64()), ("n", pa.int64())])))],
+            ["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "mark", "lines"],
         )
 
 
@@ -128,7 +128,7 @@ def measured(documents: DataFrame, host_column: str = "source", id_column: str =
 
 def lines_over_limit(stats: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
     """(host, line, n_docs): lines that too many distinct documents of a host hold."""
-    marks = stats.select("host", F.explode("lines").alias("x")).select("host", "x.line", "x.mark").distinct()
+    marks = stats.select("host", "mark", F.col("lines.line").alias("lines")).dropDuplicates(["host", "mark"]).select("host", F.explode("lines").alias("line"))
     hosts = stats.groupBy("host").agg(F.count("*").alias("n_host"))
     return marks.groupBy("host", "line").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") > min_docs).join(hosts, "host").where(F.col("n_docs") > share * F.col("n_host")).select("host", "line", "n_docs")
 

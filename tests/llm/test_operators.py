@@ -350,6 +350,21 @@ def test_boilerplate_goes_and_copies_stay(spark):
     assert line not in clean[3]["text"] and clean[3]["n_chars"] == len(clean[3]["text"]) and clean[100]["text"] == copy
 
 
+def test_documents_of_many_shared_lines_are_counted_each(spark):
+    rng = random.Random(10)
+    few, many = ([prose(rng, 12) for _ in range(n)] for n in (10, 100))
+    rows = [(k, "few", "\n".join([*few, f"own {k} line"])) for k in range(100)]
+    rows += [(1000 + k, "many", "\n".join([f"own {k} line", *many])) for k in range(100)]
+    copy = "\n".join(prose(rng, 12) for _ in range(10))
+    rows += [(2000 + k, "copies", copy) for k in range(100)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    stats = quality.measured(table)
+    counts = sorted((r["host"], r["n_docs"]) for r in quality.lines_over_limit(stats).collect())
+    assert counts == [("few", 100)] * len(set(few)) + [("many", 100)] * len(set(many))
+    kept = {r["doc_id"] for r in quality.quality(table).where("kept").collect()}
+    assert kept == {r[0] for r in rows if r[1] == "copies"}
+
+
 # ---- awkward tables ------------------------------------------------------------
 
 OVER_DOCUMENTS = {

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, decontamination, quality, secrets, simhash
+from quire.llm import bpe, decontamination, quality, resemblance, secrets
 from quire.llm._common import saved, shared_dir
 from quire.llm.queries import tokenizer
 
@@ -30,8 +30,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays."""
-    kept = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    """Of each group of linked documents (five-word shingles, similarity 0.8) the one with the smallest doc_id stays."""
+    kept = resemblance.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
 
 

@@ -51,5 +51,48 @@ def test_stages_keep_the_columns(spark, tmp_path):
         assert stage(spark, docs.limit(0), f"file://{tmp_path}").count() == 0
 
 
+def resemblance(rows):
+    """Like brute.simhash, for sets of five-word shingles and a similarity of 0.8: doc_id, size and the component's smallest doc_id."""
+    sets = {}
+    for doc, text in rows:
+        w = brute.WORD.findall(brute.lower(text or ""))
+        sets[doc] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    root = {doc: doc for doc in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {doc: low if r == high else r for doc, r in root.items()}
+    return [(doc, len(sets[doc]), root[doc]) for doc, _ in rows]
+
+
+def test_pipeline_with_similarity(spark, tmp_path, monkeypatch):
+    rows = [*sample(), (501, "a b " * 3 + ITEMS[0][1])]
+    frame(spark, rows).write.parquet(f"file://{tmp_path}/documents.parquet")
+    spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    monkeypatch.setattr(brute, "simhash", resemblance)
+    assert rows_of(corpus_pipeline.run(spark, f"file://{tmp_path}")) == plain(rows, ITEMS)
+
+
+def test_near_dedup_takes_texts_of_similarity_from_0_8(spark, tmp_path):
+    """Against all pairs: groups of edited copies, on both sides of 0.8."""
+    import random
+
+    rng = random.Random(12)
+    rows = [(1000, ""), (1001, None)]
+    for g in range(40):
+        base = prose(rng, rng.choice([60, 150, 400])).split()
+        rows.append((10 * g, " ".join(base)))
+        for k in range(1, 5):
+            text = list(base)
+            for at in rng.sample(range(len(text)), max(1, len(text) * k // 100)):
+                text[at] = f"w{rng.random()}"
+            rows.append((10 * g + k, " ".join(text)))
+    root = {r[0]: r[2] for r in resemblance(rows)}
+    assert len({d for d in root if root[d] != d}) > 40 and len(set(root.values())) > 45
+    kept = corpus_pipeline.near_dedup(spark, frame(spark, rows), str(tmp_path))
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root.values()))
+
+
 def test_registered():
     assert "pipeline" in queries.queries()

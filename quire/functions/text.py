@@ -195,3 +195,8 @@ _BODY = {
     "slugify": ("STRING", "CASE WHEN coalesce(trim(BOTH '-' FROM regexp_replace(lower(x), '[^a-z0-9а-яё]+', '-')), '') = '' THEN 'book' ELSE trim(BOTH '-' FROM regexp_replace(lower(x), '[^a-z0-9а-яё]+', '-')) END"),
     "contact_href": ("STRING", "CASE WHEN x LIKE '@%' THEN concat('https://t.me/', substr(x, 2)) WHEN x LIKE 'http://%' OR x LIKE 'https://%' OR x LIKE 'mailto:%' THEN x WHEN x LIKE '%@%' THEN concat('mailto:', x) ELSE x END"),
 }
+
+
+def caption_parts(space: str, digit: str) -> str:
+    """A pattern for a caption line: its number, if that alone is bold, and the rest without bold marks around it."""
+    return rf"^\*\*(?:(Рис\.{space}*{digit}+\.?)\*\*{space}*)?(.*?)(?:\*\*)?$"

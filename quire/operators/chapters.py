@@ -85,6 +85,21 @@ def load_rules(text: str) -> list[ChapterRule]:
     return rules
 
 
+def rules_problem(text: Column) -> Column:
+    """What is wrong with a rules file's JSON, null if nothing is; for tables of rules files."""
+    listed = F.get_json_object(text, "$.chapters")
+    fields = ("id", "title", "start_pattern")
+    rules = F.from_json(listed, "array<struct<id:string,title:string,start_pattern:string>>")
+    lacking = F.transform(rules, lambda r, k: F.struct((k + 1).alias("k"), F.array_join(F.array_compact(F.array(*(F.when(F.coalesce(r[f], F.lit("")) == "", f) for f in fields))), ", ").alias("lacks")))
+    first = F.get(F.filter(lacking, lambda x: x["lacks"] != ""), F.lit(0))
+    return (
+        F.when(F.get_json_object(text, "$").isNull(), "rules are not valid JSON")
+        .when(listed.isNull(), "rules have no 'chapters' key")
+        .when(F.size(rules) <= 0, "rules list no chapters")
+        .when(first.isNotNull(), F.concat(F.lit("rule "), first["k"].cast("string"), F.lit(" lacks "), first["lacks"]))
+    )
+
+
 def _find(text: Column, pattern: str) -> Column:
     """Characters before the first multiline match, null if there is none."""
     at = F.regexp_instr(text, F.lit(f"(?md){pattern}"))

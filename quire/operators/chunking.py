@@ -1,7 +1,7 @@
 """Packing of blocks into chunks that keep headings, lists and code whole.
 
-Greedy packing is an ordered fold. It carries the running length only and emits
-each unit's chunk number, so it is linear in the units and needs no growing text.
+Greedy packing is an ordered fold. It carries the running length and the places
+where chunks begin, so it needs no growing text and an entry per chunk, not per unit.
 """
 
 from __future__ import annotations
@@ -20,27 +20,23 @@ def validate_max_chars(max_chars: int) -> None:
         raise ValueError("max_chars must be greater than zero")
 
 
-def _numbered(sizes: Column, limit: int, gap: int) -> Column:
-    """Group numbers of greedy packing: a unit joins the group before it if that stays within the limit."""
-    start = F.struct(F.lit(-1).alias("group"), F.lit(0).alias("length"), F.array().cast("array<int>").alias("out"))
+def _starts(sizes: Column, limit: int, gap: int) -> Column:
+    """Where greedy packing opens a group: a unit joins the group before it if that stays within the limit."""
+    start = F.struct(F.lit(0).alias("at"), F.lit(-1).alias("length"), F.array().cast("array<int>").alias("out"))
 
     def step(seen: Column, n: Column) -> Column:
-        joins = (seen["group"] >= 0) & (seen["length"] + gap + n <= limit)
-        group = F.when(joins, seen["group"]).otherwise(seen["group"] + 1)
-        return F.struct(group.alias("group"), F.when(joins, seen["length"] + gap + n).otherwise(n).alias("length"), F.concat(seen["out"], F.array(group)).alias("out"))
+        joins = (seen["length"] >= 0) & (seen["length"] + gap + n <= limit)
+        out = F.when(joins, seen["out"]).otherwise(F.concat(seen["out"], F.array(seen["at"])))
+        return F.struct((seen["at"] + 1).alias("at"), F.when(joins, seen["length"] + gap + n).otherwise(n).alias("length"), out.alias("out"))
 
     return F.aggregate(sizes, start, step, lambda x: x["out"])
 
 
 def _grouped(units: Column, limit: int, gap: str) -> Column:
-
-    def firsts(numbers: Column) -> Column:
-        return F.filter(F.transform(numbers, lambda g, i: F.when((i == 0) | (g != F.get(numbers, i - 1)), i)), lambda i: i.isNotNull())
-
     def joined(us: Column, at: Column) -> Column:
         return F.transform(at, lambda a, k: F.array_join(F.slice(us, a + 1, F.coalesce(F.get(at, k + 1), F.size(us)) - a), gap))
 
-    return let(units, lambda us: let(let(_numbered(F.transform(us, F.length), limit, len(gap)), firsts), lambda at: joined(us, at)))
+    return let(units, lambda us: let(_starts(F.transform(us, F.length), limit, len(gap)), lambda at: joined(us, at)))
 
 
 def split_paragraph(content: Column, max_chars: int) -> Column:

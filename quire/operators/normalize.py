@@ -22,7 +22,7 @@ class NormalizationConfig:
     remove_page_numbers: bool = True
     remove_headers_footers: bool = True
     join_hyphenated: bool = True
-    #: These two change nothing; they are kept so that configurations can be carried over.
+    #: Heading and list lines are never touched by the steps above, so these two change nothing, as before.
     preserve_headings: bool = True
     preserve_lists: bool = True
     #: Never blank the fences of code blocks as repeated lines.
@@ -43,7 +43,7 @@ def header_footer_patterns(md: Column, min_repetitions: int = 3, protect_code: b
         return F.array_distinct(F.filter(pairs, lambda x: x.isNotNull()))
 
     def found(usable: Column) -> Column:
-        return let(let(F.array_sort(usable), repeated), lambda r: F.filter(F.array_distinct(usable), lambda x: F.array_contains(r, x)))
+        return let(let(F.array_sort(usable), repeated), lambda r: F.array_intersect(usable, r))
 
     stripped = F.transform(lines(md), py_strip)
     return let(F.filter(stripped, lambda x: (x != "") & (F.length(x) < 80) & ~x.startswith("#") & (~x.rlike("^(```|~~~)") if protect_code else F.lit(True))), found)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import SPACE, count_words, data_uri, escape_html, json_for_html, let, lines, mime_of, newlines, py_strip, title_of
+from quire.functions.text import SPACE, caption_parts, count_words, data_uri, escape_html, json_for_html, let, lines, mime_of, newlines, py_strip, title_of
 
 #: Headings of the reader's groups; fixed values of the published format.
 KINDS = {"opening": "Вступление", "appendix": "Приложение", "notes": "Примечания", "chapter": "Глава"}
@@ -97,9 +99,8 @@ def _with_figures(md: Column) -> Column:
 
 
 def caption_text(line: Column) -> Column:
-    out = F.regexp_replace(line, rf"^\*\*(Рис\.[{SPACE}]*[0-9]+\.?)\*\*[{SPACE}]*", "$1 ")
-    out = F.regexp_replace(F.regexp_replace(out, r"^\*\*", ""), r"\*\*$", "")
-    return py_strip(F.regexp_replace(out, rf"[{SPACE}]+", " "))
+    """A caption line without its bold marks."""
+    return py_strip(F.regexp_replace(F.regexp_replace(line, caption_parts(f"[{SPACE}]", "[0-9]"), "$1 $2"), rf"[{SPACE}]+", " "))
 
 
 def figures(chapters: DataFrame, text: str = "raw") -> DataFrame:
@@ -151,9 +152,8 @@ def publish_page(chapters: DataFrame, metadata: DataFrame) -> DataFrame:
 
     info = metadata.select("book_id", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("author", F.lit("")).alias("author"), F.coalesce("target_language", F.lit("ru")).alias("lang"), F.col("translator.contact").alias("contact"))
     link = F.when(F.coalesce("contact", F.lit("")) != "", F.concat(F.lit('<a href="'), escape_html(contact_href("contact")), F.lit('" target="_blank" rel="noreferrer">'), escape_html("contact"), F.lit("</a>"))).otherwise("")
-    html = F.lit(TEMPLATE)
-    for mark, value in (("__LANG__", F.col("lang")), ("__TITLE__", escape_html("title")), ("__AUTHOR__", escape_html("author")), ("__CREDIT__", link), ("__DATA__", F.col("data"))):
-        html = F.replace(html, F.lit(mark), value)
+    values = {"__LANG__": F.col("lang"), "__TITLE__": escape_html("title"), "__AUTHOR__": escape_html("author"), "__CREDIT__": link, "__DATA__": F.col("data")}
+    html = F.concat(*(values.get(part, F.lit(part)) for part in re.split(f"({'|'.join(values)})", TEMPLATE)))
     page = book_json(chapters, metadata).join(info, "book_id").select("book_id", F.concat("book_id", F.lit("-"), "lang", F.lit(".html")).alias("file"), html.alias("html"))
     size = F.octet_length("html")
     return page.select("book_id", "file", "html", size.alias("bytes"), F.when(size > LARGE_PAGE, "page is over 10 MiB").alias("warning"))

@@ -213,6 +213,30 @@ def next_chunks(chunks: DataFrame, n: int = 1, retry_failed: bool = False) -> Da
     return chunks.where(should_translate(F.col("status"), F.col("translation"), retry_failed=retry_failed)).orderBy("book_id", "chapter_id", "sequence").limit(n)
 
 
+#: What stands around the prompt in a chat packet.
+PACKET = ("# Translation of book {book}, chunk {chunk}", "Paste what follows into a chat, and save the answer for this chunk.", "---")
+
+
+def chat_packets(chunks: DataFrame, glossary: Column, mode: str = "normal", retry_failed: bool = False) -> DataFrame:
+    """(book_id, chunk_id, packet): each book's next chunk, with its context and instructions, to be pasted into a chat.
+
+    ``chunks`` has its context (``with_context``) and chapter_title.
+    """
+    open_ = chunks.where(should_translate(F.col("status"), F.col("translation"), retry_failed=retry_failed))
+    text = prompt(glossary, F.col("chapter_title"), F.col("previous_summary"), F.col("next_summary"), F.col("content"), mode)
+    head = F.replace(F.replace(F.lit(PACKET[0]), F.lit("{book}"), F.col("book_id")), F.lit("{chunk}"), F.col("chunk_id"))
+    packet = F.concat(F.concat_ws("\n\n", head, *(F.lit(x) for x in PACKET[1:])), F.lit("\n\n"), text)
+    first = open_.groupBy("book_id").agg(F.min_by(F.struct("chunk_id", packet.alias("packet")), F.struct("chapter_id", "sequence")).alias("p"))
+    return first.select("book_id", "p.chunk_id", "p.packet")
+
+
+def packet_sql(prompt: str) -> str:
+    """The same packet in SQL, around the SQL of a prompt."""
+    head = "'" + PACKET[0].replace("{book}", "' || book_id || '").replace("{chunk}", "' || chunk_id || '") + "'"
+    gap = " || chr(10) || chr(10) || "
+    return gap.join([head, *(f"'{x}'" for x in PACKET[1:]), prompt])
+
+
 def select_chunk(chunks: DataFrame, chunk_id: str | None = None, retry_failed: bool = False):
     """The named chunk, or the first to translate; ValueError if there is none."""
     row = (chunks.where(F.col("chunk_id") == chunk_id) if chunk_id else next_chunks(chunks, 1, retry_failed)).first()

@@ -25,7 +25,7 @@ from quire.operators import render
 from quire.operators import review as R
 from quire.operators import state as L
 from quire.operators import translate as TR
-from quire.sources.books import PART, book_view
+from quire.sources.books import BOOK, PART, book_view, numbered
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,9 +61,9 @@ def split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _NO = "CAST(floor((rn - 1) / 10) AS INT)"
-#: Columns of derived chunks; rn counts a source's documents.
+#: Columns of derived chunks; rn counts a book's documents.
 CHUNK_COLUMNS = {
-    "book_id": "source",
+    "book_id": "book",
     "chapter_id": f"concat(lpad(CAST({_NO} + 1 AS STRING), 2, '0'), '_chapter')",
     "sequence": f"CAST(rn - 10 * {_NO} AS INT)",
     "chunk_id": f"concat(lpad(CAST({_NO} + 1 AS STRING), 2, '0'), '_chapter_', lpad(CAST(rn - 10 * {_NO} AS STRING), 4, '0'))",
@@ -76,8 +76,7 @@ TRANSLATED = {"drop_heading": "chapter_pos % 4 = 0", "drop_quotes": "chapter_pos
 
 
 def chunks(spark: SparkSession, sf: str) -> DataFrame:
-    rn = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
-    return table(spark, sf, "documents").withColumn("rn", rn).select("doc_id", *(F.expr(e).alias(c) for c, e in CHUNK_COLUMNS.items()))
+    return numbered(table(spark, sf, "documents")).select("doc_id", *(F.expr(e).alias(c) for c, e in CHUNK_COLUMNS.items()))
 
 
 def translated(spark: SparkSession, sf: str) -> DataFrame:
@@ -118,9 +117,9 @@ def rows_of(source: str, md: str = "md", keys: str = "book_id") -> str:
     return f"SELECT {keys}, unnest(string_split({md}, chr(10))) AS line, generate_subscripts(string_split({md}, chr(10)), 1) AS pos FROM {source}"
 
 
-_RN = "SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn, count(*) OVER (PARTITION BY source) AS n FROM documents"
+_RN = f"SELECT *, row_number() OVER (PARTITION BY book ORDER BY doc_id) AS rn, count(*) OVER (PARTITION BY book) AS n FROM (SELECT *, {BOOK} AS book FROM documents)"
 PAGE = rf"^([Pp]age{WS}+\p{{Nd}}+|\p{{Nd}}+{WS}*\||\|{WS}*\p{{Nd}}+|-{WS}*\p{{Nd}}+{WS}*-|\p{{Nd}}{{1,4}})$"
-BOOKS = f"books AS (SELECT source AS book_id, string_agg(part, chr(10) ORDER BY rn) AS md FROM (SELECT source, rn, {PART} AS part FROM ({_RN})) GROUP BY source)"
+BOOKS = f"books AS (SELECT book AS book_id, string_agg(part, chr(10) ORDER BY rn) AS md FROM (SELECT book, rn, {PART} AS part FROM ({_RN})) GROUP BY book)"
 LINES = f"l AS (SELECT *, {strip('line')} AS s FROM ({rows_of('books')}))"
 NORM = rf"""{BOOKS}, {LINES},
 p AS (SELECT * FROM l WHERE NOT regexp_matches(s, '{PAGE}')),
@@ -312,16 +311,6 @@ def chunk_pack(spark, sf):
     return H.pack(units, 300).select("book_id", "chunk_id", "sequence", "char_count", F.md5("content").alias("digest"))
 
 
-@query()
-def chapter_chunks(spark, sf):
-    return H.chunk(split(spark, sf)).select("book_id", "chapter_pos", "chunk_id", "sequence", "char_count", F.md5("content").alias("digest"))
-
-
-@query(f"WITH {CHUNKS} SELECT book_id, chapter_id, count(*) AS chunk_count FROM chunks GROUP BY ALL")
-def chunk_counts(spark, sf):
-    return chunks(spark, sf).groupBy("book_id", "chapter_id").agg(F.count("*").alias("chunk_count"))
-
-
 @query(f"SELECT doc_id, CAST({words_md('text')} AS INT) AS words FROM documents")
 def word_count_md(spark, sf):
     return table(spark, sf, "documents").select("doc_id", T.count_markdown_words("text").alias("words"))
@@ -346,27 +335,37 @@ def glossary_parse(spark, sf):
     return G.parse_tables(table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("book_id"), F.expr(GLOSSARY).alias("md")))
 
 
-_TERMS = f"""r AS (SELECT * FROM (VALUES {_values(ROOT_TERMS)}) AS t(pos, english, russian, notes)), p AS (SELECT * FROM (VALUES {_values(PROJECT_TERMS)}) AS t(pos, english, russian, notes)),
-a AS (SELECT *, lower(english) AS term FROM r QUALIFY row_number() OVER (PARTITION BY lower(english) ORDER BY pos DESC) = 1), b AS (SELECT *, lower(english) AS term FROM p QUALIFY row_number() OVER (PARTITION BY lower(english) ORDER BY pos DESC) = 1),
+_MERGED = """a AS (SELECT *, lower(english) AS term FROM r QUALIFY row_number() OVER (PARTITION BY lower(english) ORDER BY pos DESC) = 1), b AS (SELECT *, lower(english) AS term FROM p QUALIFY row_number() OVER (PARTITION BY lower(english) ORDER BY pos DESC) = 1),
 m AS (SELECT coalesce(b.term, a.term) AS term, coalesce(b.english, a.english) AS english, coalesce(b.russian, a.russian) AS russian, coalesce(b.notes, a.notes) AS notes, CASE WHEN b.term IS NULL THEN 'root' ELSE 'project' END AS source FROM a FULL JOIN b ON a.term = b.term)"""
+_TERMS = f"r AS (SELECT * FROM (VALUES {_values(ROOT_TERMS)}) AS t(pos, english, russian, notes)), p AS (SELECT * FROM (VALUES {_values(PROJECT_TERMS)}) AS t(pos, english, russian, notes)), {_MERGED}"
+#: Glossaries of all parts: names that repeat, and customers' segments beside them. The same text in Spark and DuckDB.
+PART_ROOT = "SELECT CAST(p_partkey AS INT) AS pos, p_name AS english, p_brand AS russian, CASE WHEN p_size % 2 = 0 THEN p_type ELSE '' END AS notes FROM part"
+PART_PROJECT = "SELECT CAST(p_partkey AS INT) AS pos, CASE WHEN p_size % 3 = 0 THEN upper(p_name) ELSE concat(p_name, ' new') END AS english, CASE WHEN p_size % 2 = 0 THEN p_brand ELSE p_type END AS russian, '' AS notes FROM part"
+_PARTS = f"r AS ({PART_ROOT}), p AS ({PART_PROJECT}), {_MERGED}"
+
+
+def part_terms(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    table(spark, sf, "part").createOrReplaceTempView("part")
+    return spark.sql(PART_ROOT), spark.sql(PART_PROJECT)
 
 
-@query(f"WITH {_TERMS} SELECT * FROM m")
+@query(f"WITH {_PARTS} SELECT * FROM m")
 def glossary_merge(spark, sf):
-    return G.merge(terms(spark, ROOT_TERMS), terms(spark, PROJECT_TERMS))
+    return G.merge(*part_terms(spark, sf))
 
 
-@query(f"WITH {_TERMS} SELECT a.term, b.english || ': root=''' || a.russian || ''' project=''' || b.russian || '''' AS conflict FROM a JOIN b ON a.term = b.term WHERE a.russian <> b.russian")
+@query(f"WITH {_PARTS} SELECT a.term, b.english || ': root=''' || a.russian || ''' project=''' || b.russian || '''' AS conflict FROM a JOIN b ON a.term = b.term WHERE a.russian <> b.russian")
 def glossary_conflicts(spark, sf):
-    return G.conflicts(terms(spark, ROOT_TERMS), terms(spark, PROJECT_TERMS))
+    return G.conflicts(*part_terms(spark, sf))
 
 
-_PROMPT_TERMS = f"{_TERMS}, gt AS (SELECT string_agg('- ' || english || ' -> ' || russian || CASE WHEN notes <> '' THEN ' (' || notes || ')' ELSE '' END, chr(10) ORDER BY term) AS glossary FROM m)"
+_GT = "gt AS (SELECT string_agg('- ' || english || ' -> ' || russian || CASE WHEN notes <> '' THEN ' (' || notes || ')' ELSE '' END, chr(10) ORDER BY term) AS glossary FROM m)"
+_PROMPT_TERMS = f"{_TERMS}, {_GT}"
 
 
-@query(f"WITH {_PROMPT_TERMS} SELECT glossary FROM gt")
+@query(f"WITH {_PARTS}, {_GT} SELECT glossary FROM gt")
 def glossary_prompt(spark, sf):
-    return G.prompt_text(G.merge(terms(spark, ROOT_TERMS), terms(spark, PROJECT_TERMS)))
+    return G.prompt_text(G.merge(*part_terms(spark, sf)))
 
 
 # ---- translation -------------------------------------------------------------------
@@ -389,8 +388,13 @@ def neighbor_turns(spark, sf):
 _ELIGIBLE = f"({BLANK} AND status NOT IN ('translated', 'approved') AND status <> 'error')"
 
 
-@query(rf"""WITH {CHUNKS}, {_CONTEXT}, {_PROMPT_TERMS} SELECT cx.book_id, chunk_id, md5('# Glossary' || chr(10) || glossary || chr(10) || chr(10) || '# Context, for reference only' || chr(10) || 'Chapter: ' || chapter_id || chr(10) || 'Before: ' || CASE WHEN coalesce(previous_summary, '') = '' THEN '{TR.FIRST}' ELSE previous_summary END
- || chr(10) || 'After: ' || CASE WHEN coalesce(next_summary, '') = '' THEN '{TR.LAST}' ELSE next_summary END || chr(10) || chr(10) || '# Source' || chr(10) || content || chr(10) || chr(10) || '# Instructions' || chr(10) || '1. {TR.MODES["normal"]}' || chr(10) || '2. Use the glossary''s terms.' || chr(10) || '3. Keep the markdown structure, links and images.' || chr(10) || '4. Return the translation only.' || chr(10)) AS digest FROM cx, gt""")
+def prompt_sql(of: str) -> str:
+    lines = ["'# Glossary'", "glossary", "''", "'# Context, for reference only'", f"'Chapter: ' || {of}.chapter_id", f"'Before: ' || CASE WHEN coalesce(previous_summary, '') = '' THEN '{TR.FIRST}' ELSE previous_summary END", f"'After: ' || CASE WHEN coalesce(next_summary, '') = '' THEN '{TR.LAST}' ELSE next_summary END"]
+    lines += ["''", "'# Source'", "content", "''", "'# Instructions'", f"'1. {TR.MODES['normal']}'", "'2. Use the glossary''s terms.'", "'3. Keep the markdown structure, links and images.'", "'4. Return the translation only.'"]
+    return " || chr(10) || ".join(lines) + " || chr(10)"
+
+
+@query(f"WITH {CHUNKS}, {_CONTEXT}, {_PROMPT_TERMS} SELECT cx.book_id, chunk_id, md5({prompt_sql('cx')}) AS digest FROM cx, gt")
 def translation_prompt(spark, sf):
     held = G.prompt_text(G.merge(terms(spark, ROOT_TERMS), terms(spark, PROJECT_TERMS)))
     rows = TR.with_context(chunks(spark, sf)).crossJoin(F.broadcast(held))  # one row
@@ -409,7 +413,7 @@ def echo_translate(spark, sf):
     return open_.select("book_id", "chunk_id", TR.echo(F.col("content")).alias("translation"), F.lit("translated").alias("status"))
 
 
-@query()
+@query(rf"WITH {CHUNKS} SELECT book_id, chunk_id, '{TR.ECHO}' || chr(10) || {strip('content')} || chr(10) AS translation, 'translated' AS status, CAST(NULL AS VARCHAR) AS error FROM chunks WHERE {_ELIGIBLE}")
 def provider_translate(spark, sf):
     open_ = TR.with_context(chunks(spark, sf)).where(TR.should_translate(F.col("status"), F.col("translation")))
     asked = open_.select("book_id", "chunk_id", TR.prompt(F.lit(G.NONE), F.col("chapter_id"), F.col("previous_summary"), F.col("next_summary"), F.col("content")).alias("prompt"))
@@ -432,28 +436,6 @@ def next_chunk(spark, sf):
     return TR.next_chunks(chunks(spark, sf)).select("book_id", "chunk_id", "sequence")
 
 
-@query(f"""WITH {CHUNKS} SELECT book_id, chunk_id, CASE WHEN doc_id % 10 = 1 THEN 'saved' || chr(10) ELSE translation END AS translation, CASE WHEN doc_id % 10 = 1 THEN 'translated' ELSE status END AS status FROM chunks""")
-def save_translation(spark, sf):
-    rows = chunks(spark, sf)
-    updates = rows.where("doc_id % 10 = 1").select("book_id", "chunk_id", F.lit("saved\n").alias("translation"), F.lit("translated").alias("status"), F.lit(None).cast("string").alias("error"))
-    return TR.apply_updates(rows, updates, ["book_id", "chunk_id"]).select("book_id", "chunk_id", "translation", "status")
-
-
-# ---- assembly ----------------------------------------------------------------------
-
-
-@query(rf"""WITH {CHUNKS}, k AS (SELECT * FROM chunks WHERE doc_id % 13 <> 0),
-c AS (SELECT book_id, chapter_id, max(sequence) AS top, string_agg(CASE WHEN NOT {BLANK} THEN {strip('translation')} END, chr(10) || chr(10) ORDER BY sequence) || chr(10) AS content, bool_and(status NOT IN ('pending', 'chunked', 'error') AND NOT {BLANK}) AS fine, count(*) AS n FROM k GROUP BY book_id, chapter_id)
-SELECT book_id, chapter_id, md5(content) AS digest, (fine AND n = top AND content IS NOT NULL) AS success FROM c""")
-def assemble_chapters(spark, sf):
-    return A.assemble(chunks(spark, sf).where("doc_id % 13 <> 0")).select("book_id", "chapter_id", F.md5("content").alias("digest"), "success")
-
-
-@query(f"WITH {CHUNKS}, k AS (SELECT * FROM chunks WHERE doc_id % 13 <> 0), w AS (SELECT book_id, chapter_id, CAST(unnest(range(1, max(sequence) + 1)) AS INT) AS sequence FROM k GROUP BY book_id, chapter_id) SELECT w.* FROM w ANTI JOIN k ON w.book_id = k.book_id AND w.chapter_id = k.chapter_id AND w.sequence = k.sequence")
-def missing_sequences(spark, sf):
-    return A.missing_sequences(chunks(spark, sf).where("doc_id % 13 <> 0"))
-
-
 # ---- review ------------------------------------------------------------------------
 
 _A, _B = "source", "translated"
@@ -483,24 +465,25 @@ def structural_issues(spark, sf):
     return R.structural(both_texts(spark, sf))
 
 
-@query(rf"""WITH t AS (SELECT source AS book_id, text FROM documents WHERE lang <> 'en'), g AS (SELECT * FROM (VALUES {_values(ROOT_TERMS)}) AS t(pos, english, russian, notes))
+@query(rf"""WITH t AS (SELECT source AS book_id, text FROM documents), g AS (SELECT * FROM (VALUES {_values(ROOT_TERMS)}) AS t(pos, english, russian, notes))
 SELECT b.book_id, english, russian FROM (SELECT DISTINCT book_id FROM t) b, g WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.book_id = b.book_id AND (contains(lower(text), lower(english)) OR contains(text, russian)))""")
 def glossary_absent_terms(spark, sf):
-    texts = table(spark, sf, "documents").where("lang <> 'en'").select(F.col("source").alias("book_id"), F.col("text").alias("content"))
+    texts = table(spark, sf, "documents").select(F.col("source").alias("book_id"), F.col("text").alias("content"))
     return R.absent_terms(terms(spark, ROOT_TERMS), texts)
 
 
-@query(rf"""WITH r AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE lang <> 'en'),
+@query(rf"""WITH r AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
 w AS (SELECT doc_id, pos, list_filter(regexp_split_to_array(line, '[^\pL\pN_]+'), lambda x: regexp_full_match(x, '[A-Za-z]{{4,}}')) AS w FROM r WHERE {strip('line')} <> '' AND {strip('line')} NOT LIKE 'http%' AND {strip('line')} NOT LIKE '```%')
 SELECT doc_id, CAST(pos AS INT) AS line_number, CAST(len(w) AS INT) AS n_words, array_to_string(w[1:8], ' ') AS words FROM w WHERE len(w) >= 5""")
 def english_fragments(spark, sf):
-    return R.english_fragments(table(spark, sf, "documents").where("lang <> 'en'").select("doc_id", "text"), ["doc_id"], "text")
+    return R.english_fragments(table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"], "text")
 
 
-@query(f"WITH {CHUNKS} SELECT book_id, chunk_id, 'chunk_status' AS check_id FROM chunks WHERE status NOT IN ('translated', 'approved') UNION ALL SELECT book_id, chunk_id, 'chunk_text' FROM chunks WHERE {BLANK}")
+@query(rf"WITH {CHUNKS} SELECT book_id, chunk_id, 'chunk_status' AS check_id FROM chunks WHERE status NOT IN ('translated', 'approved') UNION ALL SELECT book_id, chunk_id, 'chunk_text' FROM chunks WHERE {BLANK} UNION ALL SELECT book_id, '', 'image' FROM (SELECT DISTINCT book_id, chunk_id, unnest(regexp_extract_all(content || '![a](' || chunk_id || ')', '!\[[^\]]*\]\(([^)]+)\)', 1)) FROM chunks WHERE translation IS NOT NULL)")
 def chunk_completeness(spark, sf):
-    both = spark.createDataFrame([], "book_id string, chapter_id string, source string, translated string")
-    found = R.completeness(chunks(spark, sf), both)
+    rows = chunks(spark, sf)
+    both = rows.select("book_id", "chapter_id", F.concat("content", F.lit("![a]("), "chunk_id", F.lit(")")).alias("source"), "translation").withColumn("translated", F.regexp_replace("translation", r"!\[[^\]]*\]\([^)]*\)", ""))
+    found = R.completeness(rows, both)
     return found.select("book_id", F.regexp_extract("message", r"^Chunk (\S+)", 1).alias("chunk_id"), "check_id")
 
 
@@ -519,11 +502,6 @@ def quality_score(spark, sf):
     return R.score(R.structural(both_texts(spark, sf)), books(spark, sf))
 
 
-@query()
-def review_issues(spark, sf):
-    return R.review(split(spark, sf), translated(spark, sf), chunks(spark, sf), terms(spark, ROOT_TERMS))
-
-
 # ---- publishing --------------------------------------------------------------------
 
 _LABEL = "CASE WHEN chapter_id LIKE '%appendix%' THEN 'A' || regexp_extract(chapter_id, '^([0-9]+)_', 1) WHEN chapter_id LIKE '%notes%' THEN 'N' || regexp_extract(chapter_id, '^([0-9]+)_', 1) ELSE regexp_extract(chapter_id, '^([0-9]+)_', 1) END"
@@ -577,11 +555,6 @@ def markdown_to_html(spark, sf):
     return P.published(split(spark, sf)).select("book_id", "chapter_pos", render.markdown_to_html("raw").alias("html"))
 
 
-@query()
-def figure_captions(spark, sf):
-    return P.figures(P.published(split(spark, sf)))
-
-
 @query("SELECT doc_id, 'data:text/plain;base64,' || to_base64(encode(text)) AS uri FROM documents")
 def data_uri(spark, sf):
     return table(spark, sf, "documents").select("doc_id", T.data_uri(F.encode("text", "UTF-8"), F.lit("text/plain")).alias("uri"))

@@ -62,7 +62,7 @@ def image_listing(images: DataFrame) -> DataFrame:
     return images.agg(F.sort_array(F.collect_list(F.struct("path", "filename"))).alias("images"), F.count("*").alias("image_count"))
 
 
-#: A document's part of its source's book; rn counts the source's n documents. The same text in Spark and DuckDB.
+#: A document's part of its book; rn counts the book's n documents. The same text in Spark and DuckDB.
 PART = """concat('Running header ', source, chr(10),
   CASE WHEN rn = 1 THEN '# Foreword' WHEN rn = 2 THEN '# Acknowledgments' WHEN rn = n THEN '# Notes' WHEN rn = n - 1 THEN '# Appendix A'
        WHEN rn % 5 = 0 THEN concat('# Chapter ', CAST(rn AS STRING)) ELSE concat('## Section ', CAST(rn AS STRING)) END, chr(10),
@@ -76,10 +76,21 @@ PART = """concat('Running header ', source, chr(10),
   chr(10), 'Page ', CAST(rn AS STRING), chr(10))"""
 
 
-def book_view(documents: DataFrame) -> DataFrame:
-    """(book_id, md): one book per source, its documents as parts in doc_id order."""
+#: A book holds the documents of one source in a range of so many doc_ids, so its size does not grow with the table.
+BOOK_IDS = 2000
+#: A document's book. The same text in Spark and DuckDB.
+BOOK = f"concat(source, '-', CAST(CAST(floor(doc_id / {BOOK_IDS}) AS BIGINT) AS VARCHAR(20)))"
+
+
+def numbered(documents: DataFrame) -> DataFrame:
+    """documents with book, the document's place rn in it, and the book's number n of documents."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy("source")
-    parts = documents.select("source", "doc_id", "text", F.row_number().over(w.orderBy("doc_id")).alias("rn"), F.count("*").over(w).alias("n"))
-    return parts.select("source", "rn", F.expr(PART).alias("part")).groupBy(F.col("source").alias("book_id")).agg(F.expr("listagg(part, chr(10)) WITHIN GROUP (ORDER BY rn)").alias("md"))
+    w = Window.partitionBy("book")
+    return documents.withColumn("book", F.expr(BOOK)).withColumns({"rn": F.row_number().over(w.orderBy("doc_id")), "n": F.count("*").over(w)})
+
+
+def book_view(documents: DataFrame) -> DataFrame:
+    """(book_id, md): the documents of a book as parts in doc_id order."""
+    parts = numbered(documents.select("source", "doc_id", "text")).select("book", "rn", F.expr(PART).alias("part"))
+    return parts.groupBy(F.col("book").alias("book_id")).agg(F.expr("listagg(part, chr(10)) WITHIN GROUP (ORDER BY rn)").alias("md"))

@@ -9,7 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text handled by one numpy pass.
@@ -19,18 +19,36 @@ BATCH_BYTES = 1 << 20
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below spark.checkpoint.dir, which driver and executors share.
 
-    Where the setting is absent, as in tests, a folder of this machine is set.
+    Where the setting is absent, a local session, as in tests, gets a folder of
+    this machine; on a cluster that would not be shared, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         root = "/tmp/checkpoints/quire"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def saved(df: DataFrame, path: str) -> DataFrame:
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def unshuffled(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the jobs within go when the job has ended; for jobs whose result is written."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def saved(df: DataFrame, path: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet and read it again: cuts the lineage, survives lost executors."""
-    df.write.mode("overwrite").parquet(path)
+    with unshuffled(df.sparkSession):
+        df.write.mode("overwrite").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -43,6 +61,26 @@ def text_of(df: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     return df.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
 
 
+def rows_of(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """text_of with a column ``row``, a 64-bit hash of id and text: with doc_id it tells unlike rows of one id apart,
+    and stays the same however often the table is read. Only equal rows share it."""
+    return text_of(df, id_column, text_column).withColumn("row", row_hash())
+
+
+def row_hash(id_column: str = "doc_id", text_column: str = "text") -> Column:
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    return F.xxhash64(F.col(id_column).cast("long"), F.octet_length(text), text)
+
+
+def on_row(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
+    """Join on (doc_id, row), null ids included; the right side's two columns go.
+
+    The right side has a row for each key, so it is the one to be hashed: texts are not sorted.
+    """
+    b = right.withColumnsRenamed({"doc_id": "_doc_id", "row": "_row"}).hint("shuffle_hash")
+    return left.join(b, (left["row"] == b["_row"]) & left["doc_id"].eqNullSafe(b["_doc_id"]), how).drop("_doc_id", "_row")
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column without copies, and the offsets of its rows."""
     if isinstance(column, pa.ChunkedArray):

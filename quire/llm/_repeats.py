@@ -30,6 +30,11 @@ class Blocks:
     key: np.ndarray
     content: np.ndarray
     start: np.ndarray  # start in the batch
+    gram: np.ndarray  # place of the key's gram in the batch
+
+
+#: Bits of a place within a section; the other bits of a packed value order the grams.
+_PLACE = np.uint64((1 << 19) - 1)
 
 
 def blocks(values: np.ndarray, first: np.ndarray, width: int, gram: int):
@@ -45,9 +50,10 @@ def blocks(values: np.ndarray, first: np.ndarray, width: int, gram: int):
         part = values[low : low + SECTION + width - 1]
         grams = np.arange(len(part) - gram + 1)
         hashes = span_hash(part, grams, grams + gram)
-        least = sliding_min(hashes, width - gram + 1)[starts - low]
+        packed = (hashes & ~_PLACE) | grams.astype(np.uint64)
+        least = (sliding_min(packed, width - gram + 1)[starts - low] & _PLACE).astype(np.int64)
         cut = np.ones(len(starts), bool)
-        cut[1:] = (least[1:] != least[:-1]) | (starts[1:] != starts[:-1] + 1) | (hashes[starts[:-1] - low] == least[:-1])
+        cut[1:] = (least[1:] != least[:-1]) | (starts[1:] != starts[:-1] + 1)
         at = np.flatnonzero(cut)
         size = np.diff(np.append(at, len(starts)))
         if size.max(initial=0) > RUN:
@@ -56,7 +62,7 @@ def blocks(values: np.ndarray, first: np.ndarray, width: int, gram: int):
             size = np.diff(np.append(at, len(starts)))
         begin = starts[at]
         doc = np.searchsorted(first, begin, "right") - 1
-        yield Blocks(doc, begin - first[doc], size, least[at], span_hash(values, begin, begin + size + width - 1), begin)
+        yield Blocks(doc, begin - first[doc], size, hashes[least[at]], span_hash(values, begin, begin + size + width - 1), begin, low + least[at])
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

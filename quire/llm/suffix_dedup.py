@@ -1,10 +1,14 @@
 """Suffix-array dedup: bytes covered by a long string that starts more than once are removed.
 
-Texts are cut into window blocks by minimisers (``_repeats``). Blocks that occur
-twice in whole are repeated in whole. What is left - blocks that share a key but
-not their content, one copy of each - is dealt by key to shards of a bounded
-size, and each shard gets a generalised suffix array by linear grouping
-construction (``suffix_array``):
+Texts are cut into window blocks by minimisers (``_repeats``): windows that share
+the smallest hash of a 32-byte gram, the key, at one place. A window reaches at
+least ``half = (width - 32) // 2`` bytes beyond its key's gram on one side, so
+equal windows agree in the key and in the ``half`` bytes on its left, or in those
+on its right. Blocks are dealt by (key, side, hash of those bytes). What stands
+alone there cannot be repeated and goes no further. Blocks that occur twice in
+whole are repeated in whole; one copy of each of them, and all others, are dealt
+to shards of a bounded size, and each shard gets a generalised suffix array by
+linear grouping construction (``suffix_array``):
 
 * groups of suffixes with one Lyndon prefix are processed in descending order;
   previous-smaller pointers tell which earlier suffixes a group extends;
@@ -17,12 +21,19 @@ decide, so equal windows have equal boundaries from their 32nd byte on. A window
 is repeated if, at its first such boundary, another suffix of the same interval
 of common prefixes has the same bytes before it.
 
-A key with more than ``HOT`` unlike blocks would be one long task; its windows
-are grouped exactly by hash over all tasks instead.
+More than ``HOT`` unlike blocks that share a key and a side (over 200 bytes)
+would be one long task; their windows are grouped exactly by hash over all tasks
+instead.
+
+``remove_repeated`` also reports ``n_shared``: bytes covered by a string of
+``SHARED`` bytes that also starts in another row. It finds passages of some fifty
+words that are too short for the removal. It removes nothing.
 
 Defined results: a null text is empty; texts shorter than a window lose nothing;
-equal rows repeat each other (also under one doc_id); an empty table gives an
-empty result; further columns are ignored. Rows that share a doc_id have to be equal.
+equal rows repeat each other (also under one doc_id) and get equal results, but
+share nothing with each other; unlike rows with one doc_id, and rows with a null
+doc_id, are texts like any other; an empty table gives an empty result; further
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,11 +45,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import binary, saved, shared_dir, slices, text_of, utf8
+from ._common import binary, on_row, rows_of, saved, shared_dir, slices, utf8
 from ._repeats import blocks, merged
 from ._vector import mix, separators, span_hash
 
 WIDTH = 400
+#: Width of the strings that n_shared counts: fifty words, and short ones, of most languages.
+SHARED = 288
 GRAM = 32
 #: Bytes without white space after which every byte starts a symbol.
 REACH = 32
@@ -142,8 +155,8 @@ def _boundaries(buf: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return np.flatnonzero(at)
 
 
-def repeated_windows(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
-    """For every text the starts of windows that also start elsewhere in these texts."""
+def repeated_windows(texts: list[bytes], width: int = WIDTH, owners: np.ndarray | None = None) -> list[np.ndarray]:
+    """For every text the starts of windows that also start elsewhere in these texts, with ``owners`` in a text of another owner."""
     need = width - 2 * REACH - 1  # of common prefix at a window's first usable boundary, at least
     size = np.array([len(t) for t in texts], np.int64)
     stop = np.cumsum(size)
@@ -153,6 +166,7 @@ def repeated_windows(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]
     starts = _boundaries(buf, (stop - size)[size > 0])
     ends = np.append(starts[1:], len(buf))
     owner = np.searchsorted(stop, starts, "right")
+    whose = None if owners is None else np.asarray(owners, np.int64)
     # Symbols as ranks in byte order.
     raw = buf.tobytes()
     spelled = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
@@ -184,37 +198,58 @@ def repeated_windows(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]
         interval = np.cumsum(common < rest)[own]
         at = suffixes[own] - d
         key = mix(_span(buf, at, d)) + interval.astype(np.uint64)
-        _, inverse, count = np.unique(mix(key), return_inverse=True, return_counts=True)
-        hits.append(at[count[inverse] > 1])
+        if whose is None:
+            _, inverse, count = np.unique(mix(key), return_inverse=True, return_counts=True)
+            hits.append(at[count[inverse] > 1])
+        else:
+            mine = whose[np.searchsorted(stop, at, "right")]
+            order = np.lexsort((mine, mix(key)))
+            sorted_ = mix(key)[order]
+            first = np.append(0, np.flatnonzero(sorted_[1:] != sorted_[:-1]) + 1)
+            last = np.append(first[1:], len(order)) - 1
+            apart = mine[order[first]] != mine[order[last]]
+            hits.append(at[order[np.repeat(apart, last - first + 1)]])
     found = np.sort(np.concatenate(hits)) if hits else np.zeros(0, np.int64)
     cuts = np.searchsorted(found, np.append(stop - size, len(buf)))
     return [found[a:b] - base for a, b, base in zip(cuts[:-1], cuts[1:], stop - size, strict=True)]
 
 
 def _possible(symbol: np.ndarray, size: np.ndarray, owner: np.ndarray, width: int) -> np.ndarray:
-    """Symbols that a repeated window may hold: no such window holds a symbol that occurs once.
+    """Symbols that a repeated window may hold: all runs of ``run`` symbols within such a window occur twice or more.
 
-    Runs between single symbols that are too short for a window, even with parts
-    of those symbols, go as well; that makes more symbols single, and so on.
+    Stretches of them that are too short for a window, even with parts of the
+    symbols next to them, go as well; that makes more runs single, and so on.
     """
-    keep = np.ones(len(symbol), bool)
+    n, run = len(symbol), min(8, max(1, (width - 2 * REACH - 2) // (REACH + 1)))  # at least so many symbols lie in a window in whole
+    if n < run:
+        return np.zeros(n, bool)
+    gram = symbol.astype(np.uint64)
+    for k in range(1, run):
+        gram = mix(gram[: n - run + 1] * np.uint64(0x9E3779B97F4A7C15) + symbol[k : n - run + 1 + k].astype(np.uint64))
+    _, name = np.unique(gram, return_inverse=True)
+    inside = owner[: n - run + 1] == owner[run - 1 :]
+    total = np.append(0, np.cumsum(size))
+    begins = np.searchsorted(owner, owner, "left")
+    ends = np.searchsorted(owner, owner, "right")
+    keep = np.ones(n, bool)
     while True:
-        count = np.bincount(symbol[keep], minlength=int(symbol.max()) + 1)
-        good = keep & (count[symbol] > 1)
-        start = good.copy()
-        start[1:] &= ~good[:-1] | (owner[1:] != owner[:-1])
-        stop = good.copy()
-        stop[:-1] &= ~good[1:] | (owner[1:] != owner[:-1])
-        a, b = np.flatnonzero(start), np.flatnonzero(stop)
-        total = np.append(0, np.cumsum(size))
-        room = total[b + 1] - total[a]
-        room += np.where((a > 0) & (owner[np.maximum(a - 1, 0)] == owner[a]), size[np.maximum(a - 1, 0)], 0)
-        after = np.minimum(b + 1, len(symbol) - 1)
-        room += np.where((b + 1 < len(symbol)) & (owner[after] == owner[b]), size[after], 0)
+        held = np.append(0, np.cumsum(keep))
+        live = inside & (held[run:] - held[:-run] == run)
+        count = np.bincount(name[live], minlength=int(name.max()) + 1)
+        good = live & (count[name] > 1)
+        edge = np.diff(np.concatenate([[0], good.astype(np.int8), [0]]))
+        # A step between texts ends a stretch too: runs do not reach over it, so it shows as run - 1 places that are not good.
+        a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + run - 1
+        if run == 1 and len(a):
+            step = np.flatnonzero(good[1:] & good[:-1] & (owner[1:] != owner[:-1])) + 1
+            a, b = np.sort(np.append(a, step)), np.sort(np.append(b, step))
+        room = total[b] - total[a]
+        before, after = np.maximum(a - 1, 0), np.minimum(b, n - 1)
+        room += np.where(a > begins[np.minimum(a, n - 1)], size[before], 0) + np.where(b < ends[np.minimum(a, n - 1)], size[after], 0)
         wide = room + 2 * REACH + 2 >= width
-        now = np.zeros(len(symbol) + 1, np.int64)
+        now = np.zeros(n + 1, np.int64)
         np.add.at(now, a[wide], 1)
-        np.add.at(now, b[wide] + 1, -1)
+        np.add.at(now, b[wide], -1)
         now = np.cumsum(now[:-1]) > 0
         if (now == keep).all():
             return keep
@@ -251,46 +286,68 @@ def _common_prefix(buf: np.ndarray, suffixes: np.ndarray, limit: np.ndarray, mos
 
 
 def _find(width: int, gram: int):
+    half = (width - gram) // 2
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             buf, offsets = utf8(batch.column(1))
             for found in blocks(buf, offsets, width, gram):
+                sides = []
+                for low, high, whole in (
+                    (found.gram - half, found.gram + gram, found.gram - found.start >= half),
+                    (found.gram, found.gram + gram + half, found.gram + gram + half <= found.start + found.size + width - 1),
+                ):
+                    own = np.flatnonzero(whole)
+                    side = np.zeros(len(whole), np.int64)
+                    side[own] = _span(buf, low[own], gram + half).view(np.int64) >> 32
+                    sides.append(pa.array(side.astype(np.int32), mask=~whole))
+                rows = pa.array(found.doc)
                 yield pa.record_batch(
-                    [batch.column(0).take(pa.array(found.doc)), pa.array(found.at, pa.int64()), pa.array(found.size, pa.int64()), pa.array(found.key.view(np.int64)), pa.array(found.content.view(np.int64))],
-                    ["doc_id", "at", "size", "key", "content"],
+                    [batch.column(0).take(rows), batch.column(2).take(rows), pa.array(found.at, pa.int64()), pa.array(found.size, pa.int32()), pa.array(found.gram - found.start, pa.int32()), pa.array(found.key.view(np.int64)), pa.array(found.content.view(np.int64)), *sides],
+                    ["doc_id", "row", "at", "size", "gram", "key", "content", "left", "right"],
                 )
 
     return task
 
 
+_CUT = [("place", pa.int64()), ("size", pa.int32()), ("bunch", pa.int64()), ("once", pa.bool_()), ("hot", pa.bool_()), ("owner", pa.int64())]
+CUT = "doc_id long, row long, place long, size int, bunch long, once boolean, hot boolean, owner long, bytes binary"
+
+
 def _cut(width: int):
+    """The bytes of the blocks that are wanted of each text."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             buf, offsets = utf8(batch.column(1))
             raw = buf.tobytes()
-            wanted = batch.column(2).to_pylist()
-            ids = batch.column(0).to_pylist()
-            rows = [(i, w, raw[o + w["at"] : o + w["at"] + w["size"] + width - 1]) for i, o, ws in zip(ids, offsets[:-1].tolist(), wanted, strict=True) for w in ws]
+            of = [(d, w) for d, ws in enumerate(batch.column(3).to_pylist()) for w in ws]
+            rows = pa.array([d for d, _ in of], pa.int64())
+            base = offsets.tolist()
             yield pa.record_batch(
-                [pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[1][k] for r in rows], t) for k, t in (("at", pa.int64()), ("size", pa.int64()), ("key", pa.int64()), ("once", pa.bool_()), ("hot", pa.bool_()))), binary([r[2] for r in rows])],
-                ["doc_id", "at", "size", "key", "once", "hot", "bytes"],
+                [batch.column(0).take(rows), batch.column(2).take(rows), *(pa.array([w[k] for _, w in of], t) for k, t in _CUT), binary([raw[base[d] + w["place"] : base[d] + w["place"] + w["size"] + width - 1] for d, w in of])],
+                ["doc_id", "row", *(k for k, _ in _CUT), "bytes"],
             )
 
     return task
 
 
-def _sort_shard(width: int):
+RANGES = "doc_id long, row long, low long, high long"
+
+
+def _sort_shard(width: int, apart: bool):
     def task(table: pa.Table) -> pa.Table:
         texts = [x.as_py() for x in table["bytes"]]
-        found = repeated_windows(texts, width)
-        ids, low, high = [], [], []
-        for doc, at, once, starts in zip(table["doc_id"].to_pylist(), table["at"].to_pylist(), table["once"].to_pylist(), found, strict=True):
+        found = repeated_windows(texts, width, table["owner"].to_numpy() if apart else None)
+        at, low, high = [], [], []
+        for k, (place, once, starts) in enumerate(zip(table["place"].to_pylist(), table["once"].to_pylist(), found, strict=True)):
             if once and len(starts):
                 a, b = merged(starts, starts + width)
-                ids += [doc] * len(a)
-                low += (a + at).tolist()
-                high += (b + at).tolist()
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64())})
+                at += [k] * len(a)
+                low += (a + place).tolist()
+                high += (b + place).tolist()
+        rows = pa.array(at, pa.int64())
+        return pa.table({"doc_id": table["doc_id"].take(rows), "row": table["row"].take(rows), "low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64())})
 
     return task
 
@@ -298,82 +355,100 @@ def _sort_shard(width: int):
 def _hash_windows(width: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "bytes", 1 << 16):
-            buf, offsets = utf8(batch.column(6).cast(pa.large_binary()).view(pa.large_string()))
+            buf, offsets = utf8(batch.column(8).cast(pa.large_binary()).view(pa.large_string()))
             size = np.maximum(np.diff(offsets) - width + 1, 0)
             row = np.repeat(np.arange(len(size)), size)
             step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            at = offsets[:-1][row] + step
+            at, rows = offsets[:-1][row] + step, pa.array(row)
             yield pa.record_batch(
-                [batch.column(0).take(pa.array(row)), pa.array(batch.column(1).to_numpy()[row] + step, pa.int64()), batch.column(3).take(pa.array(row)), pa.array(span_hash(buf, at, at + width).view(np.int64)), batch.column(4).take(pa.array(row))],
-                ["doc_id", "at", "key", "window", "once"],
+                [*(batch.column(k).take(rows) for k in (0, 1)), pa.array(batch.column(2).to_numpy()[row] + step, pa.int64()), batch.column(4).take(rows), pa.array(span_hash(buf, at, at + width).view(np.int64)), batch.column(5).take(rows), batch.column(7).take(rows)],
+                ["doc_id", "row", "at", "bunch", "window", "once", "owner"],
             )
 
     return task
 
 
-def covered_ranges(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, shard_bytes: int = SHARD_BYTES, hot: int = HOT) -> DataFrame:
-    """(doc_id, low, high): byte ranges covered by strings of ``width`` bytes that start more than once."""
+def covered_ranges(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, apart: bool = False, shard_bytes: int = SHARD_BYTES, hot: int = HOT) -> DataFrame:
+    """(doc_id, row, low, high): byte ranges covered by strings of ``width`` bytes that start more than once, with ``apart`` in more than one row."""
     if width <= 3 * REACH:
         raise ValueError(f"width must be over {3 * REACH} bytes")
-    spark = documents.sparkSession
-    work = shared_dir(spark, "suffix")
-    docs = text_of(documents, id_column, text_column)
-    found = saved(docs.mapInArrow(_find(width, min(GRAM, width)), "doc_id long, at long, size long, key long, content long"), f"{work}/blocks")
+    work = shared_dir(documents.sparkSession, "suffix")
+    docs = rows_of(documents, id_column, text_column)
+    found = saved(docs.mapInArrow(_find(width, min(GRAM, width)), "doc_id long, row long, at long, size int, gram int, key long, content long, left int, right int"), f"{work}/blocks")
+    # One copy of each block, any (its columns are of one row). Its owner is its row, or 0 if several rows hold it.
+    owner = F.when(F.min("row") == F.max("row"), F.min("row")).otherwise(0)
     copies = saved(
-        found.groupBy("key", "content").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "at", "size")).alias("one")),
+        found.groupBy("key", "content").agg(F.count("*").alias("copies"), owner.alias("owner"), *(F.first(c).alias(c) for c in ("row", "doc_id", "at", "size", "gram", "left", "right"))),
         f"{work}/copies",
     )
+    several = (F.col("owner") == 0) if apart else (F.col("copies") > 1)
+    # The block's windows that reach far to the left of the gram, and those that do not and so reach far to the right.
+    cut = F.greatest(F.col("gram") - F.lit((width - min(GRAM, width)) // 2 - 1), F.lit(0))
+    sides = [
+        F.when(F.col(c).isNotNull() & (n > 0), F.struct(F.xxhash64("key", F.lit(c), c).alias("bunch"), (F.col("at") + low).alias("place"), n.cast("int").alias("size")))
+        for c, low, n in (("left", F.lit(0), F.least(cut, "size")), ("right", F.least(cut, "size"), F.col("size") - F.least(cut, "size")))
+    ]
+    dealt = copies.select("owner", (~several).alias("once"), "doc_id", "row", F.explode(F.filter(F.array(*sides), lambda x: x.isNotNull())).alias("x")).select("owner", "once", "doc_id", "row", "x.*")
     # Written before they are joined: a join of two plain exchanges can be split at a hot key.
-    unlike = saved(copies.groupBy("key").agg(F.count("*").alias("unlike")).where("unlike > 1"), f"{work}/unlike")
+    unlike = F.count("*").alias("unlike")
+    bunches = saved(dealt.groupBy("bunch").agg(unlike, F.max("once").alias("open")).where("unlike > 1 and open").drop("open"), f"{work}/unlike")
     whole = (
-        found.join(copies.where("copies > 1").select("key", "content"), ["key", "content"])
-        .select("doc_id", F.col("at").alias("low"), (F.col("at") + F.col("size") + F.lit(width - 1)).alias("high"))
+        found.join(copies.where(several).select("key", "content").hint("shuffle_hash"), ["key", "content"])
+        .select("doc_id", "row", F.col("at").alias("low"), (F.col("at") + F.col("size") + F.lit(width - 1)).alias("high"))
     )
     wanted = (
-        copies.join(unlike, "key")
-        .groupBy("one.doc_id")
-        .agg(F.collect_list(F.struct("one.at", "one.size", "key", (F.col("copies") == 1).alias("once"), (F.col("unlike") > hot).alias("hot"))).alias("wanted"))
-    )
-    texts = saved(
-        docs.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(_cut(width), "doc_id long, at long, size long, key long, once boolean, hot boolean, bytes binary"),
-        f"{work}/texts",
+        dealt.join(bunches.hint("shuffle_hash"), "bunch")
+        .groupBy("doc_id", "row")
+        .agg(F.collect_list(F.struct("place", "size", "bunch", "once", (F.col("unlike") > hot).alias("hot"), "owner")).alias("wanted"))
     )
+    texts = saved(on_row(docs, wanted, "inner").select("doc_id", "text", "row", "wanted").mapInArrow(_cut(width), CUT), f"{work}/texts")
     total = texts.where("not hot").agg(F.sum("size"), F.count("*")).first()
     shards = max(1, ((total[0] or 0) + width * total[1]) // shard_bytes)
     sorted_ = (
         texts.where("not hot")
-        .groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"))
-        .applyInArrow(_sort_shard(width), "doc_id long, low long, high long")
+        .groupBy(F.pmod(F.xxhash64("bunch"), F.lit(shards)).alias("shard"))
+        .applyInArrow(_sort_shard(width, apart), RANGES)
     )
-    windows = texts.where("hot").mapInArrow(_hash_windows(width), "doc_id long, at long, key long, window long, once boolean")
-    again = saved(windows.groupBy("key", "window").agg(F.count("*").alias("n")).where("n > 1").select("key", "window"), f"{work}/again")
-    spread = windows.where("once").join(again, ["key", "window"]).select("doc_id", F.col("at").alias("low"), (F.col("at") + F.lit(width)).alias("high"))
-    return whole.unionByName(sorted_).unionByName(spread)
+    windows = texts.where("hot").mapInArrow(_hash_windows(width), "doc_id long, row long, at long, bunch long, window long, once boolean, owner long")
+    again = F.min("owner") < F.max("owner") if apart else F.count("*") > 1
+    again = saved(windows.groupBy("bunch", "window").agg(again.alias("again")).where("again").select("bunch", "window"), f"{work}/again")
+    spread = windows.where("once").join(again, ["bunch", "window"]).select("doc_id", "row", F.col("at").alias("low"), (F.col("at") + F.lit(width)).alias("high"))
+    return saved(whole.unionByName(sorted_).unionByName(spread), f"{work}/ranges")
+
+
+def _ranges(found: list | None) -> tuple[np.ndarray, np.ndarray]:
+    return merged(np.array([r["low"] for r in found or []], np.int64), np.array([r["high"] for r in found or []], np.int64))
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         buf, offsets = utf8(batch.column(1))
-        n, gone, spans, rest = [], [], [], []
-        for d, ranges in enumerate(batch.column(2).to_pylist()):
+        gone, spans, rest, shared = [], [], [], []
+        for d, (ranges, others) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
             a, b = int(offsets[d]), int(offsets[d + 1])
-            if not ranges:
-                low = high = np.zeros(0, np.int64)
-                rest.append(buf[a:b].tobytes())
-            else:
-                low, high = merged(np.array([r["low"] for r in ranges]), np.array([r["high"] for r in ranges]))
-                keep = np.ones(b - a, bool)
-                for x, y in zip(low.tolist(), high.tolist(), strict=True):
-                    keep[x:y] = False
-                rest.append(buf[a:b][keep].tobytes())
-            n.append(b - a)
+            low, high = _ranges(ranges)
+            keep = np.ones(b - a, bool)
+            for x, y in zip(low.tolist(), high.tolist(), strict=True):
+                keep[x:y] = False
+            rest.append(buf[a:b][keep].tobytes() if len(low) else buf[a:b].tobytes())
             gone.append(b - a - len(rest[-1]))
             spans.append(len(low))
-        yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), binary(rest)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            low, high = _ranges(others)
+            shared.append(int((high - low).sum()))
+        yield pa.record_batch(
+            [batch.column(0), pa.array(np.diff(offsets)), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), binary(rest), pa.array(shared, pa.int64())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "n_shared"]
+        )
+
+
+def remove_repeated(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, shared: int = SHARED, **options) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, the remaining bytes, and n_shared, of every row."""
 
+    def by_row(name: str, ranges: DataFrame) -> DataFrame:
+        return ranges.groupBy("doc_id", "row").agg(F.collect_list(F.struct("low", "high")).alias(name))
 
-def remove_repeated(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, **options) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and the remaining bytes of every row."""
-    ranges = covered_ranges(documents, id_column, text_column, width, **options).groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
-    docs = text_of(documents, id_column, text_column)
-    return docs.join(ranges, "doc_id", "left").select("doc_id", "text", "ranges").mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    removed = by_row("ranges", covered_ranges(documents, id_column, text_column, width, **options))
+    others = by_row("others", covered_ranges(documents, id_column, text_column, shared, apart=True, **options))
+    both = removed.select("*", F.lit(None).cast("array<struct<low:long,high:long>>").alias("others")).unionByName(others.select("*", F.lit(None).cast("array<struct<low:long,high:long>>").alias("ranges")))
+    both = both.groupBy("doc_id", "row").agg(F.first("ranges", True).alias("ranges"), F.first("others", True).alias("others"))
+    found = on_row(rows_of(documents, id_column, text_column), both)
+    return found.select("doc_id", "text", "ranges", "others").mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, n_shared long")

@@ -115,6 +115,19 @@ def contamination(rows, items, width=13):
     return out
 
 
+def near(rows, items, width=13):
+    """Items whose first words, up to ``width``, all stand within some run of 2 * width words."""
+    out = []
+    for doc, text in rows:
+        w = ALNUM.findall(lower(text or ""))
+        n = 0
+        for _, item in items:
+            need = set(ALNUM.findall(lower(item or ""))[:width])
+            n += bool(need) and any(need <= set(w[i : i + 2 * width]) for i in range(len(w)))
+        out.append((doc, n))
+    return out
+
+
 def base_language_model(rows):
     import math
 
@@ -124,25 +137,43 @@ def base_language_model(rows):
     return [(doc, zlib.crc32(str(doc).encode()) % 10 == 0, len(ts), sum(t in train for t in ts), n, sum(math.log10((train[t] + 0.1) / (n + 0.1 * (v + 1))) for t in ts)) for doc, ts in tokens]
 
 
-def suffix(rows, width=400):
+def suffix(rows, width=400, shared=288):
     raw = [(doc, (text or "").encode()) for doc, text in rows]
     n = Counter(t[i : i + width] for _, t in raw for i in range(len(t) - width + 1))
+    owners = defaultdict(set)
+    for doc, t in raw:
+        for i in range(len(t) - shared + 1):
+            owners[t[i : i + shared]].add((doc, t))
     out = []
     for doc, t in raw:
-        gone = bytearray(len(t))
+        gone, common = bytearray(len(t)), bytearray(len(t))
         for i in range(len(t) - width + 1):
             if n[t[i : i + width]] > 1:
                 gone[i : i + width] = b"\1" * width
+        for i in range(len(t) - shared + 1):
+            if len(owners[t[i : i + shared]]) > 1:
+                common[i : i + shared] = b"\1" * shared
         spans = sum(1 for i in range(len(t)) if gone[i] and (i == 0 or not gone[i - 1]))
-        out.append((doc, len(t), sum(gone), spans, sha(bytes(b for b, g in zip(t, gone, strict=True) if not g))))
+        out.append((doc, len(t), sum(gone), spans, sha(bytes(b for b, g in zip(t, gone, strict=True) if not g)), sum(common)))
     return out
 
 
-def lines(rows):
-    by = defaultdict(set)
-    for doc, host, text in rows:
+def quality(rows, min_docs=20, share=0.01, keep=0.25):
+    """rows of (doc_id, host, text): base figures, kept and n_boilerplate; documents of one host with equal sets of lines count once."""
+    own = []
+    for _, _, text in rows:
+        held = Counter()
         for line in (text or "").split("\n"):
-            w = tuple(WORD.findall(lower(line)))
-            if w:
-                by[host, w].add(doc)
-    return by
+            if w := tuple(WORD.findall(lower(line))):
+                held[w] += len(w)
+        own.append(held)
+    docs = defaultdict(set)
+    for (_, host, _), held in zip(rows, own, strict=True):
+        for line in held:
+            docs[host, line].add(frozenset(held))
+    hosts = Counter(host for _, host, _ in rows)
+    out = []
+    for (_, host, _), base, held in zip(rows, base_quality([(d, t) for d, _, t in rows]), own, strict=True):
+        gone = sum(n for line, n in held.items() if len(docs[host, line]) > min_docs and len(docs[host, line]) > share * hosts[host])
+        out.append((*base, not base[6] and base[1] - gone >= keep * base[1], gone))
+    return out

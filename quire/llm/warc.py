@@ -1,8 +1,9 @@
 """WARC archives of captures, and their index by an external merge of locally sorted runs.
 
-``write_archives`` writes one record per page through Spark's text writer with
-CR LF CR LF between records, which is what closes a WARC record, so the archives
-are committed like any other output and survive lost executors. Of pages with
+``write_archives`` writes one record per page, each a gzip member of its own, so a
+capture can be read by its offset and length in the archive. An archive is one
+value of Spark's text writer (followed by a line end, which gzip readers skip), so
+archives are committed like any other output and survive lost executors. Of pages with
 equal payloads of at least ``REVISIT_BYTES``, the one with the largest page_id
 is a response and the others are revisits that refer to it.
 
@@ -10,8 +11,8 @@ is a response and the others are revisits that refer to it.
 digest. Every archive is a run, sorted by URL key, time and page_id.
 ``merged_index`` deals the runs into key ranges by a sample of all runs' keys
 and merges the range's run segments with a loser tree, so captures come in one
-global order: ascending (range, place). Ranges cut at the whole sort key, so a
-hot URL spans several.
+global order: ascending (range, place), and ``rank`` over all. Ranges cut at the
+whole sort key, so a hot URL spans several, and hold about RANGE_ROWS captures.
 
 Defined results: a null html is empty, a null url becomes urn:page:<id>; page_ids
 are distinct (of rows with an equal page_id each is written); an empty table
@@ -21,16 +22,17 @@ gives an empty result; further columns are ignored; null page_ids are dropped.
 from __future__ import annotations
 
 import bisect
+import gzip
 import hashlib
 import zlib
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import saved, shared_dir
+from ._common import binary, saved, shared_dir, unshuffled
 
 REVISIT_BYTES = 1000
 #: Uncompressed bytes of an archive, about, and captures of a key range.
@@ -43,11 +45,10 @@ _NAMES = [x.split()[0] for x in CAPTURE.split(", ")]
 _TYPES = [pa.int64() if x.endswith("long") else pa.string() for x in CAPTURE.split(", ")]
 
 
-def records(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> tuple[DataFrame, int]:
-    """The records' text, without the closing line ends, and how many go into an archive."""
+def records(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
+    """The records' text."""
     base = pages.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("page_id"), F.col(url_column).alias("url"), F.coalesce(F.col(html_column), F.lit("")).alias("html"))
     base = base.withColumns({"digest": F.sha1("html"), "size": F.octet_length("html").cast("long")})
-    n, total = base.agg(F.count("*"), F.sum("size")).first()
     copies = base.where(F.col("size") >= REVISIT_BYTES).groupBy("digest", "size").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     rows = base.join(copies, ["digest", "size"], "left")
     revisit = F.coalesce(F.col("first") != F.col("page_id"), F.lit(False))
@@ -65,69 +66,66 @@ def records(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), (F.octet_length(http) + F.octet_length(body)).cast("string"),
         F.lit("\r\n\r\n"),
     )
-    return rows.select(F.concat(head, http, body).alias("value")), max(1, int(ARCHIVE_BYTES // max(1, (total or 0) // max(1, n) + 500)))
+    return rows.select(F.concat(head, http, body, F.lit("\r\n\r\n")).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, **columns: str) -> None:
-    value, per_file = records(pages, **columns)
-    value.write.mode("overwrite").options(lineSep="\r\n\r\n", compression="gzip", maxRecordsPerFile=per_file).text(path)
-
-
-class _Stream:
-    """Exact reads from a gzip archive, without holding it uncompressed."""
-
-    def __init__(self, raw: bytes):
-        self.inflate = zlib.decompressobj(31) if raw[:2] == b"\x1f\x8b" else None
-        self.raw, self.at, self.held, self.offset = memoryview(raw), 0, bytearray(), 0
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records as gzip members, about ARCHIVE_BYTES of records to a row."""
+    held, size = [], 0
+    for batch in batches:
+        for record in batch.column(0):
+            raw = record.as_py().encode()
+            held.append(gzip.compress(raw, 6, mtime=0))
+            size += len(raw)
+            if size >= ARCHIVE_BYTES:
+                yield pa.record_batch([binary([b"".join(held)])], ["value"])
+                held, size = [], 0
+    if held:
+        yield pa.record_batch([binary([b"".join(held)])], ["value"])
 
-    def _more(self) -> bool:
-        if self.at >= len(self.raw):
-            return False
-        part = self.raw[self.at : self.at + (1 << 16)]
-        self.at += len(part)
-        self.held += self.inflate.decompress(part) if self.inflate else part
-        return True
 
-    def take(self, n: int) -> bytes:
-        while len(self.held) < n:
-            if not self._more():
+def write_archives(pages: DataFrame, path: str, **columns: str) -> None:
+    archives = records(pages, **columns).mapInArrow(_members, "value binary").select(F.col("value").cast("string"))
+    with unshuffled(pages.sparkSession):
+        archives.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+
+def _each_member(raw: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, length, record) of an archive's gzip members."""
+    at, end = 0, len(raw)
+    while at < end and raw[at : at + 2] == b"\x1f\x8b":
+        inflate, out, step = zlib.decompressobj(31), [], 1 << 14
+        low = at
+        while not inflate.eof:
+            part = raw[low : low + step]
+            if not part:
                 raise ValueError("an archive ends within a record")
-        out = bytes(self.held[:n])
-        del self.held[:n]
-        self.offset += n
-        return out
-
-    def until(self, mark: bytes) -> bytes | None:
-        seen = 0
-        while (found := self.held.find(mark, max(0, seen - len(mark)))) < 0:
-            seen = len(self.held)
-            if not self._more():
-                if self.held:
-                    raise ValueError("an archive ends within a header")
-                return None
-        return self.take(found + len(mark))
+            out.append(inflate.decompress(part))
+            low += len(part)
+        low -= len(inflate.unused_data)
+        yield at, low - at, b"".join(out)
+        at = low
+    if raw[at:].strip():
+        raise ValueError("an archive holds what is no record")
 
 
 def url_key(url: str) -> str:
-    """Host labels from the last to the first, then path and query: captures of a site sort together."""
+    """Host labels from the last to the first, the port unless it is the scheme's, then path and query: captures of a site sort together."""
     parts = urlsplit(url if "://" in url else f"urn://{url}") if not url.startswith("urn:") else None
     if parts is None or not parts.netloc:
         return url
-    host = parts.netloc.lower().rpartition("@")[2].partition(":")[0].removeprefix("www.")
-    return ",".join(reversed(host.split("."))) + ")" + (parts.path or "/") + ("?" + parts.query if parts.query else "")
+    host, _, port = parts.netloc.lower().rpartition("@")[2].partition(":")
+    port = "" if port in ("", {"http": "80", "https": "443"}.get(parts.scheme)) else f":{port}"
+    return ",".join(reversed(host.removeprefix("www.").split("."))) + port + ")" + (parts.path or "/") + ("?" + parts.query if parts.query else "")
 
 
 def captures(raw: bytes, archive: str) -> Iterator[tuple]:
     """One tuple (columns of CAPTURE) per record, in the archive's order."""
-    stream = _Stream(raw)
-    while True:
-        begin = stream.offset
-        head = stream.until(b"\r\n\r\n")
-        if head is None:
-            return
+    for begin, length, record in _each_member(raw):
+        head, _, rest = record.partition(b"\r\n\r\n")
         fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in head.decode().split("\r\n")[1:])}
-        block = stream.take(int(fields["content-length"]))
-        if stream.take(4) != b"\r\n\r\n":
+        block = rest[: int(fields["content-length"])]
+        if rest[len(block) :] != b"\r\n\r\n":
             raise ValueError("a record isn't closed")
         http, _, payload = block.partition(b"\r\n\r\n")
         size = next(int(x.partition(b":")[2]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
@@ -137,7 +135,7 @@ def captures(raw: bytes, archive: str) -> Iterator[tuple]:
                 raise ValueError(f"the payload of {fields['warc-record-id']} isn't what its digest says")
         else:
             refers = int(fields["warc-refers-to"].strip("<>").rpartition(":")[2])
-        yield int(fields["warc-record-id"].strip("<>").rpartition(":")[2]), url_key(fields["warc-target-uri"]), fields["warc-date"], size, digest, kind, refers, archive, begin, stream.offset - begin
+        yield int(fields["warc-record-id"].strip("<>").rpartition(":")[2]), url_key(fields["warc-target-uri"]), fields["warc-date"], size, digest, kind, refers, archive, begin, length
 
 
 def _key(capture: tuple) -> tuple:
@@ -247,4 +245,13 @@ def archive_and_index(pages: DataFrame, **columns: str) -> DataFrame:
     work = shared_dir(spark, "warc")
     write_archives(pages, f"{work}/archives", **columns)
     runs = saved(read_captures(spark, f"{work}/archives"), f"{work}/runs")
-    return merged_index(runs)
+    index = saved(merged_index(runs), f"{work}/index")
+    # Captures before each range: a row per RANGE_ROWS captures.
+    before = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = index.groupBy("range").agg(F.count("*").alias("n")).select("range", F.coalesce(before, F.lit(0)).alias("before"))
+    return index.join(sizes, "range").withColumn("rank", F.col("before") + F.col("place") + 1).drop("before")
+
+
+def fetch(raw: bytes, offset: int, length: int) -> bytes:
+    """The record that the index names, from the bytes of its archive at that place alone."""
+    return gzip.decompress(raw[offset : offset + length])

@@ -25,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ._common import saved, shared_dir, slices, utf8
+from ._common import row_hash, saved, shared_dir, slices, utf8
 from ._vector import LOWER, mix, separators, span_hash, words
 
 MIN_WORDS = 20
@@ -40,7 +41,7 @@ KEEP = 0.25
 _SPACE = separators("space")
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
-STATS = "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, mark long, lines array<struct<line:long,n:long>>"
+STATS = "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, identity long, mark long, lines array<struct<line:long,n:long>>"
 
 
 def _sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -114,14 +115,20 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
             lists.append([{"line": x, "n": s} for x, s in zip(hashed[a:b].view(np.int64).tolist(), size[a:b].tolist(), strict=True)])
         yield pa.record_batch(
-            [batch.column(0), batch.column(1), *(pa.array(x.astype(np.int64)) for x in (n, chars, _sums(_SYMBOLS[buf], offsets), dup, repeated, mark)), pa.array(lists, pa.list_(pa.struct([("line", pa.int64()), ("n", pa.int64())])))],
-            ["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "mark", "lines"],
+            [batch.column(0), batch.column(1), *(pa.array(x.astype(np.int64)) for x in (n, chars, _sums(_SYMBOLS[buf], offsets), dup, repeated)), batch.column(3), pa.array(mark), pa.array(lists, pa.list_(pa.struct([("line", pa.int64()), ("n", pa.int64())])))],
+            ["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "identity", "mark", "lines"],
         )
 
 
+def _identity(host: Column, id_column: str = "doc_id", text_column: str = "text") -> Column:
+    """Tells unlike rows apart, also where they share an id."""
+    return F.xxhash64(row_hash(id_column, text_column), host)
+
+
 def measured(documents: DataFrame, host_column: str = "source", id_column: str = "doc_id", text_column: str = "text", work: str | None = None) -> DataFrame:
     """Base figures and hashed lines of every row, written; ``row`` tells rows apart."""
-    docs = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(host_column).cast("string"), F.lit("")).alias("host"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    host = F.coalesce(F.col(host_column).cast("string"), F.lit(""))
+    docs = documents.select(F.col(id_column).cast("long").alias("doc_id"), host.alias("host"), F.coalesce(F.col(text_column), F.lit("")).alias("text"), _identity(host, id_column, text_column).alias("identity"))
     work = work or shared_dir(documents.sparkSession, "quality")
     return saved(docs.mapInArrow(_measure, STATS).withColumn("row", F.monotonically_increasing_id()), f"{work}/measured")
 
@@ -147,33 +154,33 @@ def quality(documents: DataFrame, host_column: str = "source", id_column: str =
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     return stats.join(gone, "row", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), n_boilerplate.alias("n_boilerplate"), "boilerplate",
-        (~failed & (F.col("n_words") - n_boilerplate >= keep * F.col("n_words"))).alias("kept"),
+        (~failed & (F.col("n_words") - n_boilerplate >= keep * F.col("n_words"))).alias("kept"), "identity",
     )
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, boilerplate, rest) to (text, rest)."""
     for batch in slices(batches):
-        buf, offsets = utf8(batch.column(1))
-        raw, found = buf.tobytes(), batch.column(2).to_pylist()
+        buf, offsets = utf8(batch.column(0))
+        raw, found = buf.tobytes(), batch.column(1).to_pylist()
         lines: list[list[bytes]] = [[] for _ in found]
         doc, _, line, _, _, at, stop, _ = line_words(buf, offsets)
-        named = [set(x) if x else () for x in found]
+        named = [set(x or ()) for x in found]
         for d, x, a, b in zip(doc.tolist(), line.view(np.int64).tolist(), at.tolist(), stop.tolist(), strict=True):
             if x not in named[d]:
                 lines[d].append(raw[a:b])
-        text = [b"\n".join(x).decode() if f else raw[a:b].decode() for x, f, a, b in zip(lines, found, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-        yield pa.record_batch([batch.column(0), pa.array(text, pa.string())], ["doc_id", "text"])
+        yield pa.record_batch([pa.array([b"\n".join(x).decode() for x in lines], pa.string()), batch.column(2)], ["text", "rest"])
 
 
-def without_boilerplate(documents: DataFrame, verdict: DataFrame) -> DataFrame:
-    """The kept documents of ``verdict``, less their lines over the limit. Texts without such lines are unchanged."""
+def without_boilerplate(documents: DataFrame, verdict: DataFrame, host_column: str = "source") -> DataFrame:
+    """The kept documents of ``verdict``, less their lines over the limit. Texts without such lines are unchanged; null doc_ids go."""
     columns = documents.columns
-    kept = verdict.where("kept").select("doc_id", "boilerplate").dropDuplicates(["doc_id"])
-    joined = documents.join(kept, "doc_id")
-    plain = joined.where("boilerplate is null").select(columns)
-    stripped = joined.where("boilerplate is not null")
-    text = stripped.select("doc_id", "text", "boilerplate").mapInArrow(_strip, "doc_id long, text string").dropDuplicates(["doc_id"])
-    changed = stripped.drop("text", "boilerplate").join(text, "doc_id")
+    kept = verdict.where("kept").select(F.col("identity").alias("_identity"), F.col("boilerplate").alias("_boilerplate")).dropDuplicates(["_identity"])
+    mine = documents.where("doc_id is not null").withColumn("_identity", _identity(F.coalesce(F.col(host_column).cast("string"), F.lit(""))))
+    joined = mine.join(kept, "_identity")
+    plain = joined.where("_boilerplate is null").select(columns)
+    stripped = joined.where("_boilerplate is not null").select("text", F.col("_boilerplate").alias("boilerplate"), F.struct(*(c for c in columns if c != "text")).alias("rest"))
+    changed = stripped.mapInArrow(_strip, StructType([stripped.schema["text"], stripped.schema["rest"]])).select("rest.*", "text")
     if "n_chars" in columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
     return plain.unionByName(changed.select(columns))

@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive_and_index(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.archive_and_index(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.col("rank").alias("capture_rank"))
 
 
 def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,12 +51,12 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality.quality(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_boilerplate")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "n_near")
 
 
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeated(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return suffix_dedup.remove_repeated(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_shared")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,13 +82,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 _OP1 = r"""
-WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, coalesce(url, 'urn:page:' || page_id) AS url FROM pages),
+k AS (SELECT *, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS site, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '^[^?#]*(\?[^#]+)', 1) AS query FROM p),
+h AS (SELECT *, regexp_replace(regexp_extract(lower(site), '^([^:]*)', 1), '^www\.', '') AS host, regexp_extract(site, ':([0-9]+)$', 1) AS port FROM k),
+u AS (SELECT page_id, CASE WHEN site = '' THEN url ELSE array_to_string(list_reverse(string_split(host, '.')), ',') || CASE WHEN port IN ('', CASE scheme WHEN 'http' THEN '80' WHEN 'https' THEN '443' END) THEN '' ELSE ':' || port END || ')' || CASE WHEN path = '' THEN '/' ELSE path END || query END AS url_key FROM h),
+o AS (SELECT page_id, row_number() OVER (ORDER BY url_key, page_id) AS capture_rank FROM u),
 q AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
 r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM q)
 SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 1000 AND top <> page_id THEN top END AS refers_to
-FROM r
+       CASE WHEN payload_bytes >= 1000 AND top <> page_id THEN top END AS refers_to, capture_rank
+FROM r JOIN o USING (page_id)
 """
 
 
@@ -124,6 +128,31 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - len(kept) AS BIG
 """
 
 
+_LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP7 = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t, {_WORDS} AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS g FROM d WHERE len(w) >= 8),
+h AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM s),
+c AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM h WHERE n > 1) GROUP BY doc_id),
+b AS (SELECT d.doc_id, host, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+      FROM d LEFT JOIN c ON d.doc_id = c.doc_id),
+l AS (SELECT doc_id, host, array_to_string(v, ' ') AS line, sum(len(v)) AS n
+      FROM (SELECT doc_id, host, list_filter(regexp_split_to_array({_LOW.format("x")}, '[\x20\x09-\x0D]+'), lambda y: y <> '') AS v FROM (SELECT doc_id, host, unnest(lines) AS x FROM d))
+      GROUP BY doc_id, host, line),
+m AS (SELECT host, min(doc_id) AS doc_id FROM (SELECT host, doc_id, string_agg(line, chr(10) ORDER BY line) AS mark FROM l GROUP BY host, doc_id) GROUP BY host, mark),
+o AS (SELECT l.host, line FROM l JOIN m ON l.doc_id = m.doc_id JOIN (SELECT host, count(*) AS n_host FROM d GROUP BY host) g ON l.host = g.host
+      GROUP BY l.host, line, n_host HAVING count(*) > {quality.MIN_DOCS} AND count(*) > {quality.SHARE} * n_host),
+g AS (SELECT doc_id, sum(n) AS n_boilerplate FROM l JOIN o ON l.host = o.host AND l.line = o.line GROUP BY doc_id)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED_PERCENT} * n_words) AS base_failed,
+       (NOT (n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED_PERCENT} * n_words) AND n_words - coalesce(n_boilerplate, 0) >= {quality.KEEP} * n_words) AS kept,
+       CAST(coalesce(n_boilerplate, 0) AS BIGINT) AS n_boilerplate
+FROM b LEFT JOIN g ON b.doc_id = g.doc_id
+"""
+
+
 def _terms(text: str) -> str:
     lowered = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return rf"list_filter(regexp_split_to_array({lowered}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
@@ -137,11 +166,17 @@ sizes AS (SELECT DISTINCT s FROM iw),
 dw AS (SELECT doc_id, k, s, array_to_string(w[k:k + s - 1], ' ') AS g FROM (SELECT doc_id, w, s, unnest(range(1, len(w) - s + 2)) AS k FROM d, sizes WHERE len(w) >= s)),
 m AS (SELECT doc_id, k, iw.s, item_id FROM dw JOIN iw ON dw.s = iw.s AND dw.g = iw.g),
 h AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(k, k + s)) AS p FROM m) GROUP BY doc_id),
+f AS (SELECT item_id, list_distinct(w[1:s]) AS v FROM i),
+p AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS t FROM d),
+x AS (SELECT doc_id, item_id, pos, p.t, len(v) AS least FROM p JOIN (SELECT item_id, v, unnest(v) AS t FROM f) q ON p.t = q.t),
+y AS (SELECT doc_id, item_id, pos, least FROM x WHERE (doc_id, item_id) IN (SELECT (doc_id, item_id) FROM x GROUP BY doc_id, item_id, least HAVING count(DISTINCT t) = least)),
+z AS (SELECT DISTINCT y.doc_id, y.item_id FROM y JOIN x ON x.doc_id = y.doc_id AND x.item_id = y.item_id AND x.pos >= y.pos AND x.pos < y.pos + 26 GROUP BY y.doc_id, y.item_id, y.pos, y.least HAVING count(DISTINCT x.t) = y.least),
+r AS (SELECT doc_id, count(*) AS n FROM z GROUP BY doc_id),
 t AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY doc_id)
-SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, (coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w)) AS contaminated
-FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, (coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w)) AS contaminated, coalesce(r.n, 0) AS n_near
+FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id LEFT JOIN r ON d.doc_id = r.doc_id
 """
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_index": _OP1, "op2_secret_ledger": _secret_sql(), "op3_substring_dedup": _OP3, "op8_decontamination": _OP8}
+    return {"op1_warc_index": _OP1, "op2_secret_ledger": _secret_sql(), "op3_substring_dedup": _OP3, "op7_quality": _OP7, "op8_decontamination": _OP8}

@@ -1,17 +1,7 @@
-"""Near-dedup by resemblance: texts whose sets of word shingles have a Jaccard similarity of THRESHOLD or more.
+"""Sets of word shingles, and their exact comparison: texts are linked by a Jaccard similarity of THRESHOLD or more.
 
 Texts are lower-cased in A-Z; a set holds the hashes of all runs of ``SHINGLE``
-words (fewer words: all of them as one). Texts of equal sets are one class.
-Classes that agree in one of ``BANDS`` bands of ``ROWS`` MinHash values are
-candidates; a pair of similarity 0.8 is missed with probability
-(1 - 0.8 ** ROWS) ** BANDS, 5e-5. Every candidate is held against the exact sets
-before it is a link. In a band value (a bucket) all classes are first compared
-with its smallest one; then, over what these links connect, all pairs of a
-bucket that are not yet connected. Pairs within one component can add nothing.
-
-Defined results: null and blank texts have the empty set and are one class;
-equal rows are one node; a null doc_id is dropped; an empty table gives an empty
-result; further columns are ignored.
+words (fewer words: all of them as one); a text without words has the empty set.
 """
 
 from __future__ import annotations
@@ -23,18 +13,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import saved, shared_dir, slices, text_of, utf8
+from ._common import slices, utf8
 from ._vector import LOWER, mix, separators, span_hash, words
-from .simhash import components
 
 SHINGLE = 5
 #: 4 / 5, as whole numbers.
 THRESHOLD = (4, 5)
-BANDS = 25
-ROWS = 5
 _SPACE = separators("space")
-_SEEDS = mix(np.arange(1, BANDS * ROWS + 1).astype(np.uint64))
-MARKS = "doc_id long, mark long, n long, keys array<long>"
 
 
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -54,26 +39,6 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return hashed[new], np.searchsorted(owner[new], np.arange(len(n) + 1))
 
 
-def _bands(hashed: np.ndarray, cut: np.ndarray) -> np.ndarray:
-    """A key for each band of every text that has shingles."""
-    starts = cut[:-1][np.diff(cut) > 0]
-    keys = np.zeros((len(starts), BANDS), np.uint64)
-    for k, seed in enumerate(_SEEDS if len(starts) else []):
-        band = k // ROWS
-        keys[:, band] = mix(keys[:, band] + np.minimum.reduceat(mix(hashed ^ seed), starts) + np.uint64(band + 1))
-    return keys
-
-
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        hashed, cut = shingle_sets(*utf8(batch.column(1)))
-        total = np.append(np.uint64(0), np.cumsum(mix(hashed), dtype=np.uint64))
-        keys = _bands(hashed, cut)
-        at = np.append(0, np.cumsum(np.diff(cut) > 0)) * BANDS
-        lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(keys.ravel().view(np.int64)))
-        yield pa.record_batch([batch.column(0), pa.array((total[cut[1:]] - total[cut[:-1]]).view(np.int64)), pa.array(np.diff(cut).astype(np.int64)), lists], ["doc_id", "mark", "n", "keys"])
-
-
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     over, under = THRESHOLD
     for batch in slices(batches):
@@ -89,43 +54,13 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(linked))
 
 
-def _fit(n: str, m: str) -> Column:
+def fit(n: str, m: str) -> Column:
     """Sets of these sizes can be similar enough."""
     over, under = THRESHOLD
     return under * F.least(n, m) >= over * F.greatest(n, m)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts' sets are similar enough."""
     one, two = texts.select(F.col("doc_id").alias("a"), "text"), texts.select(F.col("doc_id").alias("b"), F.col("text").alias("other"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "text", "other").mapInArrow(_compare, "a long, b long")
-
-
-def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id and component_id: the smallest doc_id reachable over links, of every row."""
-    work = shared_dir(documents.sparkSession, "resemblance")
-    docs = text_of(documents, id_column, text_column).where("doc_id is not null")
-    rows = saved(docs.mapInArrow(_measure, MARKS), f"{work}/marks")
-    classes = saved(rows.groupBy("mark").agg(F.min("doc_id").alias("node")), f"{work}/classes")
-    own = classes.withColumnRenamed("node", "doc_id")
-    keys = rows.join(own, ["mark", "doc_id"], "left_semi").select(F.explode("keys").alias("key"), F.col("doc_id").alias("node"), "n")
-    hubs = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.max("node").alias("last")).where("hub.node < last").drop("last")
-    buckets = saved(keys.join(hubs, "key").select("key", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), f"{work}/buckets")
-    named = saved(buckets.select(F.col("node").alias("doc_id")).distinct(), f"{work}/named")
-    texts = saved(docs.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"]), f"{work}/texts")
-    pairs = buckets.where("hub <> node").where(_fit("hub_n", "n")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    first = saved(_verified(pairs, texts), f"{work}/first")
-    # What is left: pairs of a bucket in different components.
-    roots = components(first, f"{work}/components")
-    labelled = buckets.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-    mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    labelled = saved(labelled.join(mixed, "key").distinct(), f"{work}/mixed")
-    groups = labelled.select("key", "root").distinct()
-    one = labelled.select("key", F.col("root").alias("root_a"), F.col("node").alias("a"), F.col("n").alias("n_a"))
-    two = labelled.select("key", F.col("root").alias("root_b"), F.col("node").alias("b"), F.col("n").alias("n_b"))
-    met = groups.withColumnRenamed("root", "root_a").join(groups.withColumnRenamed("root", "root_b"), "key").where("root_a < root_b")
-    pairs = met.join(one, ["key", "root_a"]).join(two, ["key", "root_b"]).where(_fit("n_a", "n_b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = saved(_verified(pairs, texts), f"{work}/second")
-    roots = components(first.unionByName(second), f"{work}/all")
-    found = classes.join(roots, "node", "left").select("mark", F.coalesce("root", "node").alias("component_id"))
-    return rows.select("doc_id", "mark").join(found, "mark").select("doc_id", "component_id")

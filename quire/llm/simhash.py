@@ -17,6 +17,15 @@ shard emits a spanning forest of its links, never all pairs.
 each written to the shared folder. Nodes are the smallest doc_id of a
 fingerprint, so a component's root is its smallest doc_id.
 
+``similar_documents`` links texts whose sets of five-word shingles have a Jaccard
+similarity of 0.8 or more. The radius that this takes (about 30 of 128 bits) has
+no bands that are worth a shard, so shards are values of sampled bits: pairs at
+the threshold agree in all ``k`` bits of one of ``n`` samples with probability
+``RECALL``, where ``k`` grows with the logarithm of the table and ``n`` follows
+from it, so that a shard holds some ``BUCKET`` texts at every size. In a shard
+the smallest text is compared first, then a BK-tree finds the pairs of different
+components. Every candidate is held against the exact sets before it is a link.
+
 Defined results: null and blank texts have fingerprint zero and link like any
 other; equal rows are one node; a null doc_id is dropped; an empty table gives
 an empty result; further columns are ignored.
@@ -24,6 +33,7 @@ an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,12 +43,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import parts, saved, shared_dir, slices, text_of, utf8
+from ._vector import mix
+from .resemblance import THRESHOLD, fit, shingle_sets, verified
 
 SHINGLE = 4
 RADIUS = 4
 SEED = 42
 #: Fingerprints in one BK-tree.
 SHARD = 2000
+#: For similarity: the share of the pairs at the threshold that samples have to bring together, and texts in a shard, about.
+RECALL = 0.995
+BUCKET = 128
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -95,11 +110,14 @@ class BKTree:
         return out
 
     def pairs(self, queries: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray]]:
-        """Nodes with the indices of the queries within the radius; many queries go down the tree together."""
+        """Nodes with the indices of the queries (of one or more 64-bit words) within the radius; many queries go down the tree together."""
+        queries = queries[:, None] if queries.ndim == 1 else queries
+        shifts = [64 * k for k in range(queries.shape[1])]
         todo = [(0, np.arange(len(queries)))] if self.values else []
         while todo:
             at, who = todo.pop()
-            d = np.bitwise_count(queries[who] ^ np.uint64(self.values[at])).astype(np.int64)
+            own = np.array([self.values[at] >> k & (1 << 64) - 1 for k in shifts], np.uint64)
+            d = np.bitwise_count(queries[who] ^ own).sum(1, dtype=np.int64)
             near = who[d <= radius]
             if len(near):
                 yield at, near
@@ -244,3 +262,118 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     roots = components(links(classes, radius), work)
     named = classes.join(roots, "node", "left").select("fingerprint", F.coalesce("root", "node").alias("component_id"))
     return marks.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+# ---- similarity of shingle sets ----------------------------------------------
+
+_SIDES = mix(np.arange(1, 3).astype(np.uint64))
+
+
+def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, a hash and the size of the shingle set, and its fingerprint of 128 bits."""
+    for batch in slices(batches):
+        hashed, cut = shingle_sets(*utf8(batch.column(1)))
+        total = np.append(np.uint64(0), np.cumsum(mix(hashed), dtype=np.uint64))
+        size = np.diff(cut)
+        some = np.flatnonzero(size)
+        marks = []
+        for side in _SIDES:
+            mixed = mix(hashed ^ side)
+            mark = np.zeros(len(size), np.uint64)
+            for bit in range(64):
+                ones = np.add.reduceat((mixed >> np.uint64(bit) & np.uint64(1)).astype(np.int32), cut[:-1][some]) if len(some) else np.zeros(0, np.int32)
+                mark[some] |= (2 * ones > size[some]).astype(np.uint64) << np.uint64(bit)
+            marks.append(pa.array(mark.view(np.int64)))
+        yield pa.record_batch([batch.column(0), pa.array((total[cut[1:]] - total[cut[:-1]]).view(np.int64)), pa.array(size.astype(np.int64)), *marks], ["doc_id", "mark", "n", "f0", "f1"])
+
+
+def _plan(classes: int) -> tuple[int, int, int]:
+    """Bits of a sample, the number of samples, and the radius, for a number of distinct texts."""
+    j = THRESHOLD[0] / THRESHOLD[1]
+    agree = 1 - math.acos(2 * j / (1 + j)) / math.pi
+    bits = max(4, math.ceil(math.log2(max(1, classes) / BUCKET)))
+    samples = math.ceil(math.log(1 - RECALL) / math.log(1 - agree**bits))
+    return bits, samples, math.ceil(128 * (1 - agree) + 2.6 * math.sqrt(128 * agree * (1 - agree)))
+
+
+def _samples(bits: int, samples: int) -> Column:
+    """A key for each sample: its number and the sampled bits."""
+    rng = np.random.default_rng(17)
+    keys = []
+    for k in range(samples):
+        own = rng.permutation(128)[:bits].tolist()
+        keys.append(F.xxhash64(F.lit(k), _masked(F.col("f0"), [b for b in own if b < 64]), _masked(F.col("f1"), [b - 64 for b in own if b >= 64])))
+    return F.explode(F.array(*keys))
+
+
+def _search(radius: int):
+    """Candidates of each shard: (shard, tree, node, n, root, f0, f1), rows of one shard together."""
+    over, under = THRESHOLD
+
+    def flush(rows: list[tuple]) -> tuple[list[int], list[int]]:
+        node, n, root = (np.array([r[k] for r in rows], np.int64) for k in (2, 3, 4))
+        marks = np.array([r[5:7] for r in rows], np.int64).view(np.uint64)
+        own = [k for k, r in enumerate(rows) if r[1]]
+        tree = BKTree([int(marks[k, 0]) | int(marks[k, 1]) << 64 for k in own])
+        a: list[int] = []
+        b: list[int] = []
+        for at, who in tree.pairs(marks, radius):
+            k = own[at]
+            who = who[root[who] != root[k]]
+            who = who[under * np.minimum(n[who], n[k]) >= over * np.maximum(n[who], n[k])]
+            a += np.minimum(node[who], node[k]).tolist()
+            b += np.maximum(node[who], node[k]).tolist()
+        return a, b
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in batches:
+            out: tuple[list[int], list[int]] = ([], [])
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if rows and row[0] != rows[0][0]:
+                    for x, y in zip(out, flush(rows), strict=True):
+                        x += y
+                    rows = []
+                rows.append(row)
+            yield pa.record_batch([pa.array(x, pa.int64()) for x in out], ["a", "b"])
+        if rows:
+            yield pa.record_batch([pa.array(x, pa.int64()) for x in flush(rows)], ["a", "b"])
+
+    return task
+
+
+def similar_documents(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", shard: int = SHARD) -> DataFrame:
+    """doc_id and component_id, the smallest doc_id reachable over links of similarity 0.8 or more, of every row."""
+    spark = documents.sparkSession
+    work = shared_dir(spark, "similar")
+    docs = text_of(documents, id_column, text_column).where("doc_id is not null")
+    rows = saved(docs.mapInArrow(_measure, "doc_id long, mark long, n long, f0 long, f1 long"), f"{work}/marks")
+    classes = saved(rows.groupBy("mark").agg(F.min(F.struct("doc_id", "n", "f0", "f1")).alias("x")).select("mark", F.col("x.doc_id").alias("node"), "x.n", "x.f0", "x.f1"), f"{work}/classes")
+    bits, samples, radius = _plan(classes.count())
+    keys = classes.select(_samples(bits, samples).alias("key"), "node", "n", "f0", "f1")
+    hubs = keys.groupBy("key").agg(F.min(F.struct("node", "n", "f0", "f1")).alias("hub"), F.count("*").alias("size")).where("size > 1").drop("size")
+    met = keys.join(hubs, "key").where("node > hub.node").where(fit("n", "hub.n"))
+    apart = F.bit_count(F.col("f0").bitwiseXOR(F.col("hub.f0"))) + F.bit_count(F.col("f1").bitwiseXOR(F.col("hub.f1")))
+    pairs = saved(met.where(apart <= radius).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), f"{work}/pairs")
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        named = saved(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{work}/named_{name}")
+        texts = saved(docs.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"]), f"{work}/texts_{name}")
+        return saved(verified(pairs, texts), f"{work}/{name}")
+
+    first = linked(pairs, "first")
+    roots = components(first, f"{work}/components")
+    # What is left: pairs of a shard in different components. The most common component of a shard is not in its tree.
+    labelled = classes.join(roots, "node", "left").select("node", "n", "f0", "f1", F.coalesce("root", "node").alias("root"))
+    keys = labelled.select(_samples(bits, samples).alias("key"), "node", "n", "f0", "f1", "root")
+    kinds = keys.groupBy("key", "root").agg(F.count("*").alias("k")).groupBy("key").agg(F.max_by("root", F.struct("k", "root")).alias("common"), (F.sum("k") - F.max("k")).alias("others")).where("others > 0")
+    mixed = keys.join(kinds, "key").withColumn("tree", F.col("root") != F.col("common"))
+    # Trees of at most ``shard`` nodes, about; every node of the shard searches each of them.
+    pieces = F.ceil(F.col("others") / shard).cast("int")
+    dealt = mixed.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1))).withColumn("tree", F.col("tree") & (F.pmod(F.xxhash64("node"), pieces.cast("long")) == F.col("piece")))
+    dealt = dealt.select(F.xxhash64("key", "piece").alias("shard"), "tree", "node", "n", "root", "f0", "f1")
+    found = dealt.repartition(parts(spark), "shard").sortWithinPartitions("shard").mapInArrow(_search(radius), "a long, b long")
+    second = linked(saved(found.distinct(), f"{work}/more"), "second")
+    roots = components(first.unionByName(second), f"{work}/all")
+    named = classes.join(roots, "node", "left").select("mark", F.coalesce("root", "node").alias("component_id"))
+    return rows.select("doc_id", "mark").join(named, "mark").select("doc_id", "component_id")

@@ -5,8 +5,9 @@
 doc_id. Words are maximal runs of bytes other than x20 and x09-x0D.
 
 1. Every partition counts its window blocks (``_repeats``) by key in a sketch of
-   ``DEPTH`` rows whose counters stop at two. Merged sketches never count too
-   little, so a window whose estimate is below two occurs once.
+   ``DEPTH`` rows whose counters stop at two: of a window it estimates how often
+   its key occurs, which is never less than the window does. Merged sketches never
+   count too little, so a window whose estimate is below two occurs once.
 2. A second pass emits only blocks with an estimate of two or more. Equal blocks
    are grouped exactly; where blocks with one key differ, the windows of one copy
    of each are grouped exactly as well.
@@ -16,8 +17,9 @@ in a task. The sketch has a fixed size: at most ``DEPTH * MAX_WIDTH`` bits are
 broadcast; beyond that many keys it lets more through and loses nothing.
 
 Defined results: null or blank texts have no words; documents shorter than a
-window lose nothing; rows with equal doc_id are each judged against smaller ids;
-an empty table gives an empty result; further columns are ignored.
+window lose nothing; rows with an equal doc_id, like or unlike, are each judged
+against smaller ids; a row with a null doc_id loses nothing and takes nothing
+from others; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import binary, parts, saved, shared_dir, slices, text_of, utf8
+from ._common import binary, on_row, parts, rows_of, saved, shared_dir, slices, utf8
 from ._repeats import blocks, merged
 from ._vector import mix, separators, span_hash, words
 
@@ -147,28 +149,29 @@ def _candidates(width: int, gram: int, sketch):
             yield pa.record_batch(
                 [
                     batch.column(0).take(pa.array(found.doc[keep])),
+                    batch.column(2).take(pa.array(found.doc[keep])),
                     pa.array(found.at[keep], pa.int64()),
                     pa.array(size, pa.int64()),
                     pa.array(found.key[keep].view(np.int64)),
                     pa.array(found.content[keep].view(np.int64)),
                     pa.array([hashes[e - s : e].view(np.int64) for s, e in zip(size, ends, strict=True)], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "at", "size", "key", "content", "hashes"],
+                ["doc_id", "row", "at", "size", "key", "content", "hashes"],
             )
 
     return task
 
 
 def covered_ranges(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, work: str | None = None) -> DataFrame:
-    """(doc_id, low, high): word ranges covered by windows that also start in a document with a smaller id."""
+    """(doc_id, row, low, high): word ranges covered by windows that also start in a document with a smaller id."""
     spark = documents.sparkSession
     work = work or shared_dir(spark, "substring")
-    docs = text_of(documents, id_column, text_column)
+    docs = rows_of(documents, id_column, text_column)
     gram = min(GRAM, width)
     sketch = merged_sketch(docs, width, gram)
     held = spark.sparkContext.broadcast((sketch.width, sketch.twice))
     found = saved(
-        docs.mapInArrow(_candidates(width, gram, held), "doc_id long, at long, size long, key long, content long, hashes array<long>"),
+        docs.mapInArrow(_candidates(width, gram, held), "doc_id long, row long, at long, size long, key long, content long, hashes array<long>"),
         f"{work}/blocks",
     )
     # One copy of each block: the smallest document that has it.
@@ -185,12 +188,12 @@ def covered_ranges(documents: DataFrame, id_column: str = "doc_id", text_column:
     partial = single.join(earliest, ["key", "window"]).where("least < first_doc").groupBy("key", "content").agg(F.sort_array(F.collect_list("step")).alias("steps"))
     # An earlier document has the whole block, or some windows of its first copy lie in earlier ones.
     verdict = copies.select("key", "content", "first_doc").join(partial, ["key", "content"], "left")
-    judged = found.select("doc_id", "at", "size", "key", "content").join(verdict, ["key", "content"])
-    whole = judged.where("doc_id > first_doc").select("doc_id", F.col("at").alias("low"), (F.col("at") + F.col("size") + F.lit(width - 1)).alias("high"))
+    judged = found.select("doc_id", "row", "at", "size", "key", "content").join(verdict, ["key", "content"])
+    whole = judged.where("doc_id > first_doc").select("doc_id", "row", F.col("at").alias("low"), (F.col("at") + F.col("size") + F.lit(width - 1)).alias("high"))
     some = (
         judged.where("doc_id = first_doc and steps is not null")
-        .select("doc_id", "at", F.explode("steps").alias("step"))
-        .select("doc_id", (F.col("at") + F.col("step")).alias("low"), (F.col("at") + F.col("step") + F.lit(width)).alias("high"))
+        .select("doc_id", "row", "at", F.explode("steps").alias("step"))
+        .select("doc_id", "row", (F.col("at") + F.col("step")).alias("low"), (F.col("at") + F.col("step") + F.lit(width)).alias("high"))
     )
     return whole.unionByName(some)
 
@@ -217,6 +220,5 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeated(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_removed and the kept words, joined by one space, of every row."""
-    ranges = covered_ranges(documents, id_column, text_column, width).groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
-    docs = text_of(documents, id_column, text_column)
-    return docs.join(ranges, "doc_id", "left").select("doc_id", "text", "ranges").mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string")
+    ranges = covered_ranges(documents, id_column, text_column, width).groupBy("doc_id", "row").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    return on_row(rows_of(documents, id_column, text_column), ranges).select("doc_id", "text", "ranges").mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string")

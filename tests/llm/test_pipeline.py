@@ -11,11 +11,26 @@ from .test_operators import ITEMS, frame, prose, rows_of, sample, tokenizer
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 
+def resemblance(rows):
+    """Like brute.simhash, for sets of five-word shingles and a similarity of 0.8: doc_id, size and the component's smallest doc_id."""
+    sets = {}
+    for doc, text in rows:
+        w = brute.WORD.findall(brute.lower(text or ""))
+        sets[doc] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    root = {doc: doc for doc in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {doc: low if r == high else r for doc, r in root.items()}
+    return [(doc, len(sets[doc]), root[doc]) for doc, _ in rows]
+
+
 def plain(rows, items):
     """Stage by stage; no line of this small table is over a limit."""
     failed = {r[0] for r in brute.base_quality(rows) if r[6]}
     rows = [r for r in rows if r[0] not in failed]
-    rows = [r for r, m in zip(rows, brute.simhash(rows), strict=True) if m[2] == m[0]]
+    rows = [r for r, m in zip(rows, resemblance(rows), strict=True) if m[2] == m[0]]
     gone = {r[0] for r in brute.contamination(rows, items) if r[5]}
     rows = [r for r in rows if r[0] not in gone]
     library, out = tokenizer("word_bpe_49k.json"), []
@@ -51,29 +66,6 @@ def test_stages_keep_the_columns(spark, tmp_path):
         assert stage(spark, docs.limit(0), f"file://{tmp_path}").count() == 0
 
 
-def resemblance(rows):
-    """Like brute.simhash, for sets of five-word shingles and a similarity of 0.8: doc_id, size and the component's smallest doc_id."""
-    sets = {}
-    for doc, text in rows:
-        w = brute.WORD.findall(brute.lower(text or ""))
-        sets[doc] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-    root = {doc: doc for doc in sets}
-    for a in sorted(sets):
-        for b in sorted(sets):
-            if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and root[a] != root[b]:
-                low, high = sorted((root[a], root[b]))
-                root = {doc: low if r == high else r for doc, r in root.items()}
-    return [(doc, len(sets[doc]), root[doc]) for doc, _ in rows]
-
-
-def test_pipeline_with_similarity(spark, tmp_path, monkeypatch):
-    rows = [*sample(), (501, "a b " * 3 + ITEMS[0][1])]
-    frame(spark, rows).write.parquet(f"file://{tmp_path}/documents.parquet")
-    spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
-    monkeypatch.setattr(brute, "simhash", resemblance)
-    assert rows_of(corpus_pipeline.run(spark, f"file://{tmp_path}")) == plain(rows, ITEMS)
-
-
 def test_near_dedup_takes_texts_of_similarity_from_0_8(spark, tmp_path):
     """Against all pairs: groups of edited copies, on both sides of 0.8."""
     import random

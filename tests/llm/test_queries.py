@@ -40,9 +40,3 @@ def test_against_sql(spark, name):
     order = [c[0] for c in found.description]
     assert sorted(df.columns) == sorted(order)
     assert sorted((tuple(r) for r in df.select(order).collect()), key=repr) == sorted(found.fetchall(), key=repr)
-
-
-def test_quality_keeps_sound_documents(spark, documents):
-    base = {r[0]: r for r in brute.base_quality(documents)}
-    for r in queries.queries()["op7_quality"](spark, SMALL).collect():
-        assert tuple(r)[:7] == base[r["doc_id"]] and (r["kept"] or r["base_failed"])

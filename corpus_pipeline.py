@@ -1,7 +1,8 @@
 """A training-data pipeline over ``documents``: five stages, each written and read again by the next.
 
-Rows with a null doc_id are dropped by the first stage; rows that repeat a
-doc_id are one document and stay or go together.
+Rows with a null doc_id are dropped by the first stage. Unlike rows that share a
+doc_id are judged each by its own text; near_dedup keeps both if that doc_id is
+the smallest of its group.
 """
 
 from __future__ import annotations
@@ -11,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, decontamination, quality, resemblance, secrets
-from quire.llm._common import saved, shared_dir
+from quire.llm import bpe, decontamination, quality, secrets, simhash
+from quire.llm._common import row_hash, saved, shared_dir
 from quire.llm.queries import tokenizer
 
 
@@ -30,16 +31,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents (five-word shingles, similarity 0.8) the one with the smallest doc_id stays."""
-    kept = resemblance.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    """Of each group of linked documents (SimHash of five-word shingles, similarity 0.8) the one with the smallest doc_id stays."""
+    kept = simhash.similar_documents(docs).where("doc_id = component_id").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
     found = decontamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = found.where("contaminated").select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row")).distinct()
+    return docs.join(gone, (docs["doc_id"] == gone["gone_id"]) & (row_hash() == gone["gone_row"]), "left_anti")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

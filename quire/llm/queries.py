@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontamination, language_model, quality, secrets, simhash, substring_dedup, suffix_dedup, token_files, warc
+from ._common import shared_dir
 
 
 def tokenizer(name: str) -> str:
@@ -26,10 +27,13 @@ def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents"))
+    """English texts are an earlier version of the table; the scan of the whole table takes up its ledger."""
+    documents, ledger = table(spark, sf_dir, "documents"), shared_dir(spark, "ledger")
+    secrets.scan(documents.where("lang = 'en'"), ledger)
+    found = secrets.scan(documents, ledger)
     kinds = [F.size(F.filter("spans", lambda s: s["kind"] == F.lit(k))).cast("long").alias(f"n_{r.kind}") for k, r in enumerate(secrets.RULES)]
     named = secrets.named(F.col("spans"))
-    return found.select("doc_id", *kinds, F.sha2(named, 256).alias("base_sha256"), named.alias("spans"))
+    return found.select("doc_id", *kinds, F.sha2(named, 256).alias("base_sha256"), named.alias("spans"), F.col("scanned").alias("scanned_anew"))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,11 +111,11 @@ FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_
     least = "CASE k " + " ".join(f"WHEN {k} THEN {r.least}" for k, r in enumerate(secrets.RULES)) + " END"
     counts = ", ".join(f"count(*) FILTER (k = {k}) AS n_{r.kind}" for k, r in enumerate(secrets.RULES))
     return f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, NOT coalesce(bool_or(lang = 'en') OVER (PARTITION BY coalesce(text, '')), false) AS scanned_anew FROM documents),
 e AS ({" UNION ALL ".join(each)}),
 f AS (SELECT doc_id, k, kind, unnest(m) AS m, unnest(v) AS v, unnest(pos) AS pos FROM e),
 g AS (SELECT doc_id, {counts}, string_agg(kind || ':' || pos || ':' || (pos + length(m)), ',' ORDER BY pos, k) AS spans FROM f WHERE length(v) >= {least} GROUP BY doc_id)
-SELECT d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.RULES)}, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+SELECT d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.RULES)}, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans, scanned_anew
 FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 """
 

@@ -10,6 +10,7 @@ texts between them (``split``) and the matches (``regexp_extract_all``), which
 use the same search. Spans count code points, the end exclusive.
 
 The method adds no spans of its own: the ledger decides what is scanned, not how.
+``scanned`` tells which rows' blobs this scan was the first to see.
 
 Defined results: a null text is empty and has no spans; equal rows share a blob;
 an empty table gives an empty result; further columns are ignored.
@@ -17,12 +18,13 @@ an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import saved, shared_dir
+from ._common import saved, shared_dir, unshuffled
 
 
 @dataclass(frozen=True)
@@ -69,32 +71,39 @@ def spans(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return F.array_sort(F.concat(*(_spans(text, rule, k) for k, rule in enumerate(rules))))
 
 
+LEDGER = "blob string, spans array<struct<start:int,kind:int,end:int>>, run string, rule_version string"
+
+
 def _ledger(spark: SparkSession, path: str) -> DataFrame | None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
         return None
-    return spark.read.schema("blob string, spans array<struct<start:int,kind:int,end:int>>, rule_version string").parquet(path)
+    return spark.read.schema(LEDGER).parquet(path)
 
 
 def scan(documents: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES, rule_version: str = RULE_VERSION, id_column: str = "doc_id", text_column: str = "text", whole_rows: bool = False) -> DataFrame:
-    """doc_id, blob and spans of every row; blobs that ``ledger`` does not have are scanned and added to it.
+    """doc_id, blob, spans and scanned of every row; blobs that ``ledger`` does not have are scanned and added to it.
 
     With ``whole_rows`` all columns of documents come along in a struct ``row``.
     """
-    spark = documents.sparkSession
+    spark, run, private = documents.sparkSession, uuid.uuid4().hex, ledger is None
     ledger = ledger or shared_dir(spark, "ledger")
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = documents.select(F.col(id_column).alias("doc_id"), F.sha2(text, 256).alias("blob"), *([F.struct(*documents.columns).alias("row")] if whole_rows else []))
+    blobs = documents.select(F.sha2(text, 256).alias("blob"))
     unseen, known = documents.select(F.sha2(text, 256).alias("blob"), text.alias("text")), _ledger(spark, ledger)
     if known is not None:
         unseen = unseen.join(known.where(F.col("rule_version") == rule_version).select("blob"), "blob", "left_anti")
     single = unseen.groupBy("blob").agg(F.first("text").alias("text"))
-    single.select("blob", spans(F.col("text"), rules).alias("spans"), F.lit(rule_version).alias("rule_version")).write.mode("append").partitionBy("rule_version").parquet(ledger)
-    known = _ledger(spark, ledger)
+    with unshuffled(spark):
+        single.select("blob", spans(F.col("text"), rules).alias("spans"), F.lit(run).alias("run"), F.lit(rule_version).alias("rule_version")).write.mode("append").partitionBy("rule_version").parquet(ledger)
+    known = _ledger(spark, ledger).where(F.col("rule_version") == rule_version)
+    if not private:  # what earlier scans found in other tables stays where it is
+        known = known.join(blobs.distinct(), "blob", "left_semi")
     # Two scans at a time may both have added a blob. Written, so that the join below can be split at a hot blob.
-    found = known.where((F.col("rule_version") == rule_version) & (F.size("spans") > 0)).select("blob", "spans").dropDuplicates(["blob"])
-    found = saved(found, shared_dir(spark, "findings"))
-    return rows.join(found, "blob", "left").select(*rows.columns, F.coalesce("spans", F.array().cast("array<struct<start:int,kind:int,end:int>>")).alias("spans"))
+    found = saved(known.select("blob", "spans", (F.col("run") == run).alias("scanned")).dropDuplicates(["blob"]), shared_dir(spark, "findings"))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    return rows.join(found, "blob", "left").select(*rows.columns, F.coalesce("spans", none).alias("spans"), F.coalesce("scanned", F.lit(False)).alias("scanned"))
 
 
 def named(found: Column, rules: tuple[Rule, ...] = RULES) -> Column:

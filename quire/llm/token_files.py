@@ -32,7 +32,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._common import binary, saved, shared_dir, slices, text_of, trim, utf8
@@ -43,7 +43,7 @@ PACKING = ((0, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7),
 MARK = "<S8B>\r\n"
 BLOCK_IDS = 1 << 16
 #: Text bytes that one file takes.
-FILE_BYTES = 8 << 20
+FILE_BYTES = 32 << 20
 #: Distinct pieces of text in a generation of an encoder's cache.
 CACHE = 50_000
 #: Slots of the largest table of chunks, as a power of two.
@@ -224,7 +224,10 @@ class PieceEncoder:
 
 
 class ChunkTable:
-    """Ids of chunks of text by the chunks' 64-bit hash, in flat arrays: open addressing, looked up for a batch at once."""
+    """Ids of chunks of text by the chunks' 64-bit hash, in flat arrays: open addressing, looked up for a batch at once.
+
+    A chunk's first eight bytes and its length are kept too, and compared by whoever looks it up.
+    """
 
     def __init__(self, kind: np.dtype, bits: int = 16):
         self.kind = kind
@@ -234,6 +237,7 @@ class ChunkTable:
         self.mask = np.uint64((1 << bits) - 1)
         self.keys, self.at, self.size = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.uint32), np.zeros(1 << bits, np.uint32)
         self.ids, self.used, self.held = np.zeros(1 << bits, self.kind), 0, 0
+        self.heads = np.zeros(1 << bits, np.uint64)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Each hash's slot, -1 if it isn't held."""
@@ -247,21 +251,21 @@ class ChunkTable:
             open_, slot = open_[go], (slot[go] + 1) & int(self.mask)
         return out
 
-    def add(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
-        """Distinct hashes that aren't held, with their ids."""
+    def add(self, hashes: np.ndarray, pieces: list[bytes], heads: np.ndarray) -> None:
+        """Distinct hashes that aren't held, with their ids and what tells chunks of one hash apart."""
         if self.held + len(hashes) > 0.8 * len(self.keys):
             own = np.flatnonzero(self.keys)
-            keys, at, size, ids, used, held = self.keys[own], self.at[own], self.size[own], self.ids, self.used, self.held
+            keys, at, size, ids, used, held, before = self.keys[own], self.at[own], self.size[own], self.ids, self.used, self.held, self.heads[own]
             self._clear(int(np.ceil(np.log2((held + len(hashes)) / 0.45))))
             slot = self._place(keys)
-            self.at[slot], self.size[slot], self.ids, self.used, self.held = at, size, ids, used, held
+            self.at[slot], self.size[slot], self.ids, self.used, self.held, self.heads[slot] = at, size, ids, used, held, before
         raw = np.frombuffer(b"".join(pieces), self.kind)
         n = np.array([len(p) for p in pieces]) // self.kind.itemsize
         if self.used + len(raw) > len(self.ids):
             self.ids = np.append(self.ids[: self.used], np.zeros(max(len(raw), self.used), self.kind))
         self.ids[self.used : self.used + len(raw)] = raw
         slot = self._place(hashes)
-        self.at[slot], self.size[slot] = self.used + np.cumsum(n) - n, n
+        self.at[slot], self.size[slot], self.heads[slot] = self.used + np.cumsum(n) - n, n, heads
         self.used += len(raw)
         self.held += len(hashes)
 
@@ -318,6 +322,15 @@ class BatchEncoder:
         out[np.searchsorted(offsets, at, "right") - 1] = True
         return out
 
+    @staticmethod
+    def _heads(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The first eight bytes of every chunk and its length, in one number; exact up to eight bytes."""
+        padded, size = np.append(buf, np.zeros(8, np.uint8)), ends - starts
+        out = size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for k in range(8):
+            out += np.where(size > k, padded[starts + k], 0).astype(np.uint64) << np.uint64(8 * k)
+        return out
+
     def encode(self, buf: np.ndarray, offsets: np.ndarray, end: bytes) -> list[bytes]:
         raw, n_docs = buf.tobytes(), len(offsets) - 1
         blank = _BLANK[buf]
@@ -331,6 +344,7 @@ class BatchEncoder:
         ends = np.append(starts[1:], len(buf))
         hashes = span_hash(buf, starts, ends)
         hashes[hashes == 0] = 1
+        heads = self._heads(buf, starts, ends)
         slot = self.table.find(hashes)
         unseen = np.flatnonzero(slot < 0)
         if len(unseen):
@@ -338,15 +352,19 @@ class BatchEncoder:
             texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[unseen[first]].tolist(), ends[unseen[first]].tolist(), strict=True)]
             if self.table.held + len(new) > 0.75 * (1 << TABLE_BITS):  # full: it starts anew from this batch
                 new, first = np.unique(hashes, return_index=True)
+                unseen = np.arange(len(hashes))
                 texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
                 self.table = ChunkTable(self.kind)
-            self.table.add(new, self.pieces.encode(texts, b""))
+            self.table.add(new, self.pieces.encode(texts, b""), heads[unseen[first]])
             slot = self.table.find(hashes)
         ids, n = self.table.gather(slot)
         flat, width = ids.tobytes(), self.kind.itemsize
         bound = (np.append(0, np.cumsum(n))[np.searchsorted(starts, offsets)] * width).tolist()
         out = [flat[a:b] + end for a, b in zip(bound[:-1], bound[1:], strict=True)]
-        for d in np.flatnonzero(self._odd(buf, offsets, raw)).tolist():
+        odd = self._odd(buf, offsets, raw)
+        clash = starts[self.table.heads[slot] != heads]  # another chunk of the same hash
+        odd[np.searchsorted(offsets, clash, "right") - 1] = True
+        for d in np.flatnonzero(odd).tolist():
             out[d] = self.pieces.encode([raw[offsets[d] : offsets[d + 1]].decode("utf-8", "replace")], end)[0]
         assert len(out) == n_docs
         return out
@@ -458,10 +476,7 @@ def round_trip(documents: DataFrame, tokenizer: str, end_id: int = 0, id_column:
     work = shared_dir(spark, "tokens")
     write_tokens(documents, tokenizer, f"{work}/files", end_id, id_column, text_column, file_bytes)
     rows = saved(_files(spark, f"{work}/files").mapInArrow(_sums, "file long, doc_id long, at long, n_tokens long, ids_crc32 long"), f"{work}/rows")
-    sizes = rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).orderBy("file").collect()  # a row per file
-    before, bases = 0, []
-    for file, n in sizes:
-        bases.append((file, before))
-        before += n
-    bases = spark.createDataFrame(bases, "file long, before long")
+    sizes = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))  # a row per file
+    before = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    bases = sizes.select("file", F.coalesce(before, F.lit(0)).alias("before"))
     return rows.join(bases, "file").select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")

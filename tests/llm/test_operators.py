@@ -172,6 +172,19 @@ def test_chunked_encoding_is_the_library_s():
         assert [np.frombuffer(x, encoder.kind).tolist() for x in got] == want
 
 
+def test_chunks_of_one_hash_are_told_apart(monkeypatch):
+    import pyarrow as pa
+
+    from quire.llm._common import utf8
+
+    monkeypatch.setattr(token_files, "span_hash", lambda buf, a, b: (b - a).astype(np.uint64))  # all chunks of one length clash
+    encoder, rng = token_files.BatchEncoder(queries.tokenizer("byte_bpe_50k.json")), random.Random(9)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=rng.randint(1, 12))) for _ in range(20)) for _ in range(30)]
+    got = encoder.encode(*utf8(pa.array(texts)), b"")
+    want = [encoder.pieces.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in got] == want
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_simple8b_round_trip(seed):
     rng = random.Random(seed)
@@ -304,6 +317,7 @@ def test_ledger_scans_only_unseen(spark, tmp_path, docs):
     more = docs.unionByName(frame(spark, [(900, "token=ABCDEFGHIJKLMNOP")]))
     found = secrets.scan(more, ledger)
     assert spark.read.parquet(ledger).count() == first + 1
+    assert [r["doc_id"] for r in found.where("scanned").collect()] == [900]
     assert found.where("doc_id = 900").first()["spans"][0]["end"] == 22
     secrets.scan(more, ledger, rule_version="2").count()
     assert spark.read.parquet(ledger).count() == 2 * (first + 1)
@@ -393,7 +407,7 @@ def test_repeated_rows_and_clashing_columns(spark, docs, items, name):
     for extra in ("blob", "spans", "row", "key", "n_words", "fingerprint", "kept", "ids", "file", "low", "score"):
         twice = twice.withColumn(extra, F.lit(None).cast("string"))
     found = run(spark, twice, items)
-    digest = found.select("doc_id", F.sha2(F.to_json(F.struct(*[c for c in found.columns if c not in ("start", "row", "identity")])), 256).alias("d"))
+    digest = found.select("doc_id", F.sha2(F.to_json(F.struct(*[c for c in found.columns if c not in ("start", "row", "identity", "rank")])), 256).alias("d"))
     counts = digest.groupBy("doc_id").agg(F.count("*").alias("n"), F.countDistinct("d").alias("kinds")).collect()
     assert len(counts) == few.count() and all(r["n"] == 2 and r["kinds"] == 1 for r in counts)
 

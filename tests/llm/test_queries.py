@@ -25,7 +25,8 @@ PLAIN = {"op2_secret_ledger": brute.secrets, "op3_substring_dedup": brute.substr
 
 @pytest.mark.parametrize("name", PLAIN)
 def test_against_plain(spark, documents, name):
-    assert rows_of(queries.queries()[name](spark, SMALL)) == sorted(PLAIN[name](documents))
+    found = queries.queries()[name](spark, SMALL).drop("scanned_anew")
+    assert rows_of(found) == sorted(PLAIN[name](documents))
 
 
 @pytest.mark.parametrize("name", queries.oracle_sql())

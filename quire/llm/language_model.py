@@ -52,7 +52,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import parts, saved, shared_dir, slices, text_of, trim, unshuffled, utf8
+from ._common import discard, parts, saved, shared_dir, slices, text_of, trim, unshuffled, utf8
 from ._vector import LOWER, mix, separators, span_hash, words
 
 BLOCK_BYTES = 8 << 20
@@ -609,7 +609,7 @@ def _fit_and_score(blocks: DataFrame, work: str, n_parts: int, word_parts: int,
     def dealt(df: DataFrame, n: int) -> DataFrame:
         return df.repartitionById(n, F.col("part"))
 
-    state = saved(dealt(blocks.mapInArrow(_asked_words(word_parts, True), ASKED), word_parts).mapInArrow(_count_words, WORDS), f"{work}/words")
+    state = saved(dealt(blocks.mapInArrow(_asked_words(word_parts, True), ASKED), word_parts).mapInArrow(_count_words, WORDS), f"{work}/words", compression="zstd")
     tokens, known = state.agg(F.coalesce(F.sum("tokens"), F.lit(0.0)), F.coalesce(F.sum("known"), F.lit(0.0))).first()
     limit = max(1.0, tokens / n_parts / 4)
 
@@ -623,14 +623,17 @@ def _fit_and_score(blocks: DataFrame, work: str, n_parts: int, word_parts: int,
     held = spark.sparkContext.broadcast(hot)
     cells = _bucketed(dealt(blocks.mapInArrow(_cell_pieces(held, n_parts), PIECE), n_parts).mapInArrow(_pack, CELLS), f"{work}/cells", "part", names)
     looked = saved(cells.mapInArrow(_first_look(word_parts), UPDATE), f"{work}/first", compression="zstd")
-    multi = looked.where("kind = 0")
+    multi = saved(looked.where("kind = 0"), f"{work}/multi", compression="zstd")
     totals, rng = Totals(known=int(known)), np.random.default_rng(9)
     ones, twos = (x or 0.0 for x in looked.where("kind = 2").mapInArrow(_pairs_of, "ones double, twos double").agg(F.sum("ones"), F.sum("twos")).first())
     totals = replace(totals, d1=_beta(rng, ones, twos))
     updates, kept, seatings = looked.where("kind = 1"), [], None
     for k in range(ROUNDS + 1):
         update = _update_words(totals, k, first=k == 0)
-        state = saved(state.groupBy("part").cogroup(updates.groupBy("part")).applyInArrow(update, WORDS), f"{work}/words{k}")
+        state = saved(state.groupBy("part").cogroup(updates.groupBy("part")).applyInArrow(update, WORDS), f"{work}/words{k}", compression="zstd")
+        # Read for the last time: the state before, and what this one was made from, but for the sampled seatings.
+        old = [f"{work}/words{k - 1}"] if k and k - 1 <= ROUNDS - SAMPLES else [f"{work}/words"] if not k else []
+        discard(spark, *old, *([f"{work}/first"] if not k else [f"{work}/round{k - 1}"] if k - 1 < ROUNDS - SAMPLES else []))
         sums = {c: x or 0.0 for c, x in zip(STATS, state.agg(*(F.sum(c) for c in STATS)).first(), strict=True)}
         totals = replace(totals, customers=sums["customers"], tables=sums["tables"])
         if k <= ROUNDS - SAMPLES:  # drawn anew while burning in
@@ -657,4 +660,5 @@ def _fit_and_score(blocks: DataFrame, work: str, n_parts: int, word_parts: int,
     asked = blocks.mapInArrow(_asked_words(word_parts, False), ASKED)
     answers = shares.unionByName(asked.groupBy("part").cogroup(rounds.groupBy("part")).applyInArrow(_word_answers([t for _, t, _ in kept]), ANSWER))
     answers = saved(answers, f"{work}/answers", compression="zstd")
+    discard(spark, f"{work}/cells", f"{work}/multi")
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(totals, len(kept), int(tokens), held, n_parts), RESULT)

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators import assemble as A
 from quire.operators import blocks as B
 from quire.operators import chapters as C
 from quire.operators import chunking as H

@@ -338,6 +338,17 @@ def _update_words(totals: Totals, seed: int, first: bool):
 
 # ---- cells -------------------------------------------------------------------
 
+def _six(keys: np.ndarray) -> bytes:
+    """The lower six bytes of every key."""
+    return np.ascontiguousarray(keys.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _from_six(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").reshape(-1)
+
+
 PIECE = "part int, block long, contexts binary, runs binary, low binary, high binary, n binary"
 CELLS = "part int, blocks binary, sizes binary, contexts binary, runs binary, low binary, high binary, n binary"
 
@@ -352,7 +363,7 @@ def _cell_pieces(hot, n_parts: int):
         for p, a, b in _cuts(part):
             at = np.append(0, np.flatnonzero(u[a + 1 : b] != u[a : b - 1]) + 1)
             runs = np.diff(np.append(at, b - a)).astype("<u4")
-            out.append((p, block, (x.words[u[a:b][at]] & MASK).tobytes(), runs.tobytes(), low[a:b].tobytes(), high[a:b].tobytes(), n[a:b].tobytes()))
+            out.append((p, block, _six(x.words[u[a:b][at]]), runs.tobytes(), low[a:b].tobytes(), high[a:b].tobytes(), n[a:b].tobytes()))
         yield from _rows(PIECE, out).to_batches()
 
     return _each_block(each)
@@ -384,7 +395,7 @@ class Part:
 
     @classmethod
     def of(cls, row: dict) -> Part:
-        ku = np.repeat(_u8(row["contexts"]), np.frombuffer(row["runs"], "<u4"))
+        ku = np.repeat(_from_six(row["contexts"]), np.frombuffer(row["runs"], "<u4"))
         kw = np.frombuffer(row["low"], "<u4").astype(np.uint64) | (np.frombuffer(row["high"], "<u2").astype(np.uint64) << np.uint64(32))
         _, at, back = np.unique(mix(mix(ku) + kw), return_index=True, return_inverse=True)
         n = np.bincount(back, weights=np.frombuffer(row["n"], "<u4"), minlength=len(at)).astype(np.int64)

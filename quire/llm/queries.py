@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, language_model, quality, secrets, simhash, substring_dedup, suffix_dedup, token_files, warc
+from . import bpe, decontamination, language_model, quality, secrets, simhash, substring_dedup, suffix_dedup, token_files, toxicity, warc
 from ._common import shared_dir
 
 
@@ -71,6 +71,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeated(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_shared")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", "margin")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -78,7 +82,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_warc_index, op2_secret_ledger, op3_substring_dedup, op4_simhash, op5_bpe, op6_token_files, op7_quality, op8_decontamination, op9_language_model, op10_suffix_dedup, pipeline)
+    own = (op1_warc_index, op2_secret_ledger, op3_substring_dedup, op4_simhash, op5_bpe, op6_token_files, op7_quality, op8_decontamination, op9_language_model, op10_suffix_dedup, op11_toxicity, pipeline)
     return {f.__name__: f for f in own}
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, language_model, quality, secrets, simhash, substring_dedup, suffix_dedup, token_files, toxicity, warc
+from . import bpe, conversation_repair, decontamination, language_model, prefix_trie, quality, secrets, simhash, substring_dedup, suffix_dedup, token_files, toxicity, warc
 from ._common import shared_dir
 
 
@@ -75,6 +75,14 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", "margin")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,7 +90,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_warc_index, op2_secret_ledger, op3_substring_dedup, op4_simhash, op5_bpe, op6_token_files, op7_quality, op8_decontamination, op9_language_model, op10_suffix_dedup, op11_toxicity, pipeline)
+    own = (op1_warc_index, op2_secret_ledger, op3_substring_dedup, op4_simhash, op5_bpe, op6_token_files, op7_quality, op8_decontamination, op9_language_model, op10_suffix_dedup, op11_toxicity, op12_conversation_repair, op13_prefix_trie, pipeline)
     return {f.__name__: f for f in own}
 
 

@@ -7,7 +7,7 @@ import pytest
 
 from quire.llm import queries
 
-from . import brute
+from . import brute, test_conversation_repair, test_prefix_trie
 from .test_operators import rows_of
 
 SMALL = "/root/testdata/sf0.001"
@@ -29,6 +29,12 @@ def test_against_plain(spark, documents, name):
     assert rows_of(found) == sorted(PLAIN[name](documents))
 
 
+@pytest.mark.parametrize("name, plain, found", [("op12_conversation_repair", test_conversation_repair.plain, test_conversation_repair.found), ("op13_prefix_trie", test_prefix_trie.plain, test_prefix_trie.found)])
+def test_conversations_against_plain(spark, name, plain, found):
+    t = pq.read_table(f"{SMALL}/conversations.parquet", columns=["conv_id", "turn", "role", "text"])
+    assert found(queries.queries()[name](spark, SMALL)) == plain([tuple(r.values()) for r in t.to_pylist()])
+
+
 @pytest.mark.parametrize("name", queries.oracle_sql())
 def test_against_sql(spark, name):
     import duckdb

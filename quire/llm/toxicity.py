@@ -324,7 +324,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     taught = known.where(fold() != 2)
     chosen = sample(rows, taught, path).select("doc_id", "text", "toxic")
-    learnt = [(r["id"], r["weight"]) for r in chosen.coalesce(1).mapInArrow(_fit, "id int, weight double").collect()]
+    learnt = [(r["id"], r["weight"]) for r in chosen.repartition(1).mapInArrow(_fit, "id int, weight double").collect()]
     bias = next((w for u, w in learnt if u < 0 and not math.isnan(w)), None)
     if bias is None:
         n = taught.agg(F.avg("toxic")).first()[0] or 0.0

@@ -7,6 +7,7 @@ translations, so the provider stage is one mapInPandas over eligible chunks only
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import urllib.error
@@ -93,7 +94,8 @@ class HttpProvider:
         self.url, self.headers, self.body, self.answer = url, headers, body, answer
 
     def translate(self, prompt: str) -> str:
-        request = urllib.request.Request(self.url, json.dumps(self.body(prompt)).encode(), {"Content-Type": "application/json", **self.headers})
+        once = hashlib.sha256(f"{self.url}\n{prompt}".encode()).hexdigest()  # a call that is made again is the same request
+        request = urllib.request.Request(self.url, json.dumps(self.body(prompt)).encode(), {"Content-Type": "application/json", "Idempotency-Key": once, **self.headers})
         try:
             with urllib.request.urlopen(request, timeout=TIMEOUT_S) as response:
                 text = self.answer(json.loads(response.read()))
@@ -135,10 +137,15 @@ PROVIDERS: dict[str, Callable[[], Provider]] = {"openai": _chat, "anthropic": _m
 
 def create_provider(name: str | None = None) -> Provider:
     """By argument, else the environment's LLM_PROVIDER, else the first."""
+    return provider_maker(name)()
+
+
+def provider_maker(name: str | None = None) -> Callable[[], Provider]:
+    """What makes the provider of that name, to be called where it is needed."""
     name = name or os.environ.get("LLM_PROVIDER") or "openai"
     if name not in PROVIDERS:
         raise ValueError(f"unknown provider {name!r}; there are {', '.join(PROVIDERS)}")
-    return PROVIDERS[name]()
+    return PROVIDERS[name]
 
 
 def translate(requests: DataFrame, provider: Callable[[], Provider]) -> DataFrame:

@@ -1,19 +1,23 @@
-"""The stages as one lazy graph over many books, and a thin command line.
+"""The stages over many books, and a thin command line.
 
-Nothing runs until a result is written; ``checkpoint`` writes a stage where a
-later run should be able to start.
+Without a folder they are one lazy graph, and nothing runs until a result is
+written. With one, as on the command line, every stage's table is written once and
+the next stage reads it; a provider's answers are kept there as they come, so a
+run that was stopped goes on with them.
 """
 
 from __future__ import annotations
 
 import argparse
 import sys
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators import assemble, chapters, chunking, glossary, normalize, publish, review, state, translate
+from quire.streaming import answers
 
 
 @dataclass
@@ -31,17 +35,23 @@ class Pipeline:
     ``provider``: a provider's name, or None for chat mode, which stops at the
     first chunk that has no translation. ``translations`` (book_id, chapter_pos,
     chunk_id, translation, status, error) is what earlier runs have saved; its
-    chunks are not translated again.
+    chunks are not translated again. ``folder``: where the tables are written, and
+    the answers of earlier runs with this folder are found; failed ones are asked
+    for again with ``retry_failed``.
     """
 
-    def __init__(self, books: DataFrame, terms: DataFrame | None = None, provider: str | None = "echo", max_chars: int = chunking.MAX_CHARS, rules: list[chapters.ChapterRule] | None = None, translations: DataFrame | None = None, retry_failed: bool = False):
+    def __init__(self, books: DataFrame, terms: DataFrame | None = None, provider: str | Callable[[], translate.Provider] | None = "echo", max_chars: int = chunking.MAX_CHARS, rules: list[chapters.ChapterRule] | None = None, translations: DataFrame | None = None, retry_failed: bool = False, folder: str | None = None, policy: answers.Policy = answers.Policy()):
         self.books, self.terms, self.provider, self.max_chars, self.rules = books, terms, provider, max_chars, rules
-        self.translations, self.retry_failed = translations, retry_failed
+        self.translations, self.retry_failed, self.folder, self.policy = translations, retry_failed, folder, policy
 
     def run(self, until: str = "publish") -> Run:
         out = Run()
         for stage in state.stages_until(until):
+            known = set(out.tables)
             getattr(self, f"_{stage}")(out)
+            if self.folder:
+                for name in [n for n in out.tables if n not in known]:
+                    out.tables[name] = checkpoint(out.tables[name], f"{self.folder}/{name}")
             if out.stopped_at:
                 break
             out.completed.append(stage)
@@ -77,11 +87,22 @@ class Pipeline:
         if self.provider == "echo":
             done = context.select(*keys, translate.echo(F.col("content")).alias("translation"), F.lit("translated").alias("status"), F.lit(None).cast("string").alias("error"))
         else:
-            name, held = self.provider, self._glossary_text()
+            held, make = self._glossary_text(), self.provider if callable(self.provider) else translate.provider_maker(self.provider)
             asked = context.select(*keys, translate.prompt(F.lit(held), F.col("chapter_title"), F.col("previous_summary"), F.col("next_summary"), F.col("content")).alias("prompt"))
-            done = translate.translate(asked, lambda: translate.create_provider(name))
+            done = self._answered(asked, keys, make) if self.folder else translate.translate(asked, make)
         out.tables["translations"] = translate.apply_updates(chunks, done, keys)
 
+    def _answered(self, asked: DataFrame, keys: list[str], make: Callable[[], translate.Provider]) -> DataFrame:
+        """(keys, translation, status, error) of every request, each answered once; a failed one has a number for each run that asks again."""
+        spark, folder = asked.sparkSession, f"{self.folder}/answers"
+        asked = asked.withColumn("base", F.concat_ws("/", *keys)).withColumn("key", F.concat("base", F.lit("#0")))
+        if self.retry_failed and answers.there(spark, f"{folder}/answers"):
+            tried = answers.read(spark, f"{folder}/answers").groupBy(F.substring_index("key", "#", 1).alias("base")).agg(F.count("*").alias("n"), F.bool_or(F.col("status") == "translated").alias("fine"))
+            asked = asked.join(tried, "base", "left").withColumn("key", F.when(~F.col("fine"), F.concat("base", F.lit("#"), "n")).otherwise(F.col("key")))
+        found = answers.answer_all(spark, asked, folder, answers.by_provider(make), self.policy)
+        last = found.groupBy(F.substring_index("key", "#", 1).alias("base")).agg(F.max_by(F.struct("translation", "status", "error"), F.substring_index("key", "#", -1).cast("int")).alias("a"))
+        return asked.select(*keys, "base").join(last, "base").select(*keys, "a.*")
+
     def _glossary_text(self) -> str:
         return glossary.prompt_text(self.terms).first()[0] if self.terms is not None else glossary.NONE
 
@@ -115,6 +136,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("output", help="folder for the stages' tables")
     parser.add_argument("--until", default="publish", choices=state.RUNNABLE)
     parser.add_argument("--provider", default="echo", choices=[*translate.PROVIDERS, "chat"])
+    parser.add_argument("--retry-failed", action="store_true", help="ask again for chunks that failed in an earlier run")
     parser.add_argument("--max-chars", type=int, default=chunking.MAX_CHARS)
     try:
         args = parser.parse_args(argv)
@@ -122,9 +144,7 @@ def main(argv: list[str] | None = None) -> int:
         return int(stop.code or 0)
     spark: SparkSession = session()
     books = read_markdown(spark, args.input).select(F.regexp_extract("path", r"([^/]+)\.md$", 1).alias("book_id"), "md")
-    run = Pipeline(books, provider=None if args.provider == "chat" else args.provider, max_chars=args.max_chars).run(args.until)
-    for name, table in run.tables.items():
-        table.write.mode("overwrite").parquet(f"{args.output}/{name}")
+    run = Pipeline(books, provider=None if args.provider == "chat" else args.provider, max_chars=args.max_chars, retry_failed=args.retry_failed, folder=args.output).run(args.until)
     failed = 0
     if "assembled" in run.tables:
         failed = spark.read.parquet(f"{args.output}/assembled").where("not success").limit(1).count()

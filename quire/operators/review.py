@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import blank, count_list_items, count_quotes, count_words, heading_levels, image_references, let, py_strip, split_lines
+from quire.operators.term_search import absent_terms
 
 PENALTY = {"error": 10, "warning": 5}
 OTHER_PENALTY = 1
@@ -56,28 +57,17 @@ def structural(both: DataFrame) -> DataFrame:
     return both.select("book_id", "chapter_id", F.inline(let(counts, checks))).select("book_id", "check_id", "chapter_id", "category", "severity", "message")
 
 
-def absent_terms(glossary: DataFrame, translated: DataFrame) -> DataFrame:
-    """Terms whose English doesn't occur in a book's translation, in either case, and whose Russian doesn't either.
-
-    Each term is looked for in each chapter's text and the results are combined
-    per book; the glossary is the small side of the loop and its size is checked.
-    """
-    terms = glossary.where((F.col("english") != "") & (F.col("russian") != "")).select("english", "russian").distinct()
-    if terms.count() > 100_000:
-        raise ValueError("the glossary is too large to be looked for term by term")
-    held = terms.agg(F.collect_list(F.struct("english", "russian")).alias("terms"))
-    each = translated.where(F.col("content").isNotNull()).select("book_id", F.lower("content").alias("low"), "content").crossJoin(F.broadcast(held))  # one row on the small side
-    seen = each.select("book_id", F.explode(F.transform("terms", lambda t: F.struct(t["english"].alias("english"), t["russian"].alias("russian"), F.col("low").contains(F.lower(t["english"])).alias("e"), F.col("content").contains(t["russian"]).alias("r")))).alias("t"))
-    found = seen.groupBy("book_id", "t.english", "t.russian").agg(F.bool_or("t.e").alias("e"), F.bool_or("t.r").alias("r"))
-    return found.where(~F.col("e") & ~F.col("r")).select("book_id", "english", "russian")
-
-
 def english_fragments(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     """(keys, line_number, n_words, words): lines with five or more English words, their first eight."""
-    rows = texts.select(*keys, F.posexplode(split_lines(text)).alias("pos", "line")).select(*keys, (F.col("pos") + 1).alias("line_number"), py_strip("line").alias("line"))
-    rows = rows.where((F.col("line") != "") & ~F.col("line").startswith("```") & ~F.col("line").startswith("http"))
-    found = rows.withColumn("w", F.regexp_extract_all("line", F.lit(_ASCII_WORD), F.lit(0))).where(F.size("w") >= 5)
-    return found.select(*keys, "line_number", F.size("w").alias("n_words"), F.array_join(F.slice("w", 1, 8), " ").alias("words"))
+
+    def found(line: Column, pos: Column) -> Column:
+        none = F.lit(None).cast("struct<line_number:int,w:array<string>>")
+        words = let(F.regexp_extract_all(line, F.lit(_ASCII_WORD), F.lit(0)), lambda w: F.when(F.size(w) >= 5, F.struct((pos + 1).alias("line_number"), w.alias("w"))).otherwise(none))
+        # Five words of four letters take 24 characters; the strip runs for lines that may begin with a mark alone.
+        return F.when(F.length(line) >= 24, F.when(~py_strip(line).rlike("^(```|http)"), words)).otherwise(none)
+
+    rows = texts.select(*keys, F.inline(F.array_compact(F.transform(split_lines(text), found))))
+    return rows.select(*keys, "line_number", F.size("w").alias("n_words"), F.array_join(F.slice("w", 1, 8), " ").alias("words"))
 
 
 def terminology(glossary: DataFrame, translated: DataFrame) -> DataFrame:

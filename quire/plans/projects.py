@@ -287,13 +287,13 @@ def distinct_lines(spark, sf):
 
 # ---- review ------------------------------------------------------------------------
 
-_TERMS_ROOT = f"g AS (SELECT * FROM (VALUES {K._values(K.ROOT_TERMS)}) AS t(pos, english, russian, notes))"
+_TERMS_ROOT = f"g AS ({K.ITEM_TERMS})"
 _ISSUES = rf"""{BOTH}, {CHUNKS}, {_TERMS_ROOT},
 lr AS (SELECT book_id, chapter_id, line, pos FROM ({rows_of('tr', 'translated', 'book_id, chapter_id')})),
 lw AS (SELECT *, list_filter(regexp_split_to_array(line, '[^\pL\pN_]+'), lambda x: regexp_full_match(x, '[A-Za-z]{{4,}}')) AS w FROM lr WHERE {strip('line')} <> '' AND {strip('line')} NOT LIKE 'http%' AND {strip('line')} NOT LIKE '```%'),
 im AS (SELECT book_id, chapter_id, unnest(regexp_extract_all(source, '{K._IMG}', 1)) AS image FROM two WHERE translated IS NOT NULL EXCEPT SELECT book_id, chapter_id, unnest(regexp_extract_all(translated, '{K._IMG}', 1)) FROM two WHERE translated IS NOT NULL),
 ri AS ({K._structural_sql()}
- UNION ALL SELECT b.book_id, 'term_absent', NULL, 'terminology', 'info', 'Term is not used: ' || english || ' -> ' || russian FROM (SELECT DISTINCT book_id FROM tr) b, (SELECT DISTINCT english, russian FROM g) g WHERE NOT EXISTS (SELECT 1 FROM tr WHERE tr.book_id = b.book_id AND (contains(lower(translated), lower(english)) OR contains(translated, russian)))
+ UNION ALL SELECT b.book_id, 'term_absent', NULL, 'terminology', 'info', 'Term is not used: ' || english || ' -> ' || russian FROM (SELECT DISTINCT book_id FROM tr) b, (SELECT DISTINCT english, russian FROM g) g WHERE english <> '' AND russian <> '' AND NOT EXISTS (SELECT 1 FROM tr WHERE tr.book_id = b.book_id AND (contains(lower(translated), lower(english)) OR contains(translated, russian)))
  UNION ALL SELECT book_id, 'english', chapter_id, 'terminology', 'warning', 'English text on line ' || pos || ': ' || array_to_string(w[1:8], ' ') FROM lw WHERE len(w) >= 5
  UNION ALL SELECT book_id, 'chunk_status', chapter_id, 'completeness', 'error', 'Chunk ' || chunk_id || ' is ' || status FROM chunks WHERE status NOT IN ('translated', 'approved')
  UNION ALL SELECT book_id, 'chunk_text', chapter_id, 'completeness', 'error', 'Chunk ' || chunk_id || ' has no text' FROM chunks WHERE {BLANK}
@@ -301,7 +301,7 @@ ri AS ({K._structural_sql()}
 
 
 def _issues(spark, sf):
-    return R.review(split(spark, sf), K.translated(spark, sf), chunks(spark, sf), K.terms(spark, K.ROOT_TERMS))
+    return R.review(split(spark, sf), K.translated(spark, sf), chunks(spark, sf), K.item_terms(spark, sf))
 
 
 @query(f"WITH {_ISSUES} SELECT * FROM ri")
@@ -309,10 +309,17 @@ def review_issues(spark, sf):
     return _issues(spark, sf)
 
 
-@query(f"""WITH {_ISSUES} SELECT book_id, '# Quality report' || chr(10) || chr(10) || 'Score: ' || format('{{:.1f}}', CAST(greatest(0, 100 - sum(CASE severity WHEN 'error' THEN 10 WHEN 'warning' THEN 5 ELSE 1 END)) AS DOUBLE)) || chr(10) || 'Issues: ' || count(*) AS head FROM ri GROUP BY book_id""")
+_LINE = "'- [' || severity || '] ' || coalesce(chapter_id, 'book') || ': ' || message"
+
+
+@query(f"""WITH {_ISSUES} SELECT book_id, count(*) AS n_issues, md5('# Quality report' || chr(10) || chr(10) || 'Score: ' || format('{{:.1f}}', CAST(greatest(0, 100 - sum(CASE severity WHEN 'error' THEN 10 WHEN 'warning' THEN 5 ELSE 1 END)) AS DOUBLE)) || chr(10) || 'Issues: ' || count(*) || chr(10) || chr(10) || string_agg({_LINE}, chr(10) ORDER BY category, check_id, {_LINE}) || chr(10)) AS digest FROM ri GROUP BY book_id""")
 def quality_report(spark, sf):
-    found = _issues(spark, sf)
-    return R.report(found, R.score(found)).select("book_id", F.array_join(F.slice(F.split("report", "\n"), 1, 4), "\n").alias("head"))
+    """The whole report of every book."""
+    path = work_dir(spark, "issues")
+    _issues(spark, sf).write.parquet(path)
+    found = spark.read.parquet(path)
+    scores = R.score(found)
+    return R.report(found, scores).join(scores.select("book_id", "n_issues"), "book_id").select("book_id", "n_issues", F.md5("report").alias("digest"))
 
 
 @query(rf"""WITH {NORM}, {K.BOUND}, n AS (SELECT books.book_id, len(string_split(books.md, chr(10))) AS b, len(string_split(norm.md, chr(10))) AS a FROM books JOIN norm ON books.book_id = norm.book_id),

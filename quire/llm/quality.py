@@ -3,13 +3,14 @@
 Base rules judge a text alone: too few words, or too large a share of words in
 repeated windows. Then lines, normalised to their lower-cased words, are hashed,
 and distinct documents are counted for each line and host. A line is over the
-limit when more than ``max(MIN_DOCS, SHARE * documents of the host)`` distinct
-documents hold it; such lines are boilerplate and removed, and a document that
+limit when more than ``max(MIN_DOCS, SHARE * distinct documents of the host)`` of
+them hold it; such lines are boilerplate and removed, and a document that
 keeps less than ``KEEP`` of its words is depleted and rejected.
 
 Documents are told apart by a hash of the whole set of their lines: copies of a
-text count as one document, so a text is not rejected for having been copied,
-and documents that differ in any line are counted each.
+text count as one document, for a line and for its host alike, so no verdict
+depends on how often a text was copied; documents that differ in any line are
+counted each.
 
 Copies are merged first, then lines are counted on (host, line), combined before
 the shuffle; a line that all documents share is a few partial counts from each task.
@@ -136,7 +137,7 @@ def measured(documents: DataFrame, host_column: str = "source", id_column: str =
 def lines_over_limit(stats: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
     """(host, line, n_docs): lines that too many distinct documents of a host hold."""
     marks = stats.select("host", "mark", F.col("lines.line").alias("lines")).dropDuplicates(["host", "mark"]).select("host", F.explode("lines").alias("line"))
-    hosts = stats.groupBy("host").agg(F.count("*").alias("n_host"))
+    hosts = stats.where(F.size("lines") > 0).select("host", "mark").distinct().groupBy("host").agg(F.count("*").alias("n_host"))  # the same documents
     return marks.groupBy("host", "line").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") > min_docs).join(hosts, "host").where(F.col("n_docs") > share * F.col("n_host")).select("host", "line", "n_docs")
 
 

@@ -159,7 +159,7 @@ l AS (SELECT doc_id, host, array_to_string(v, ' ') AS line, sum(len(v)) AS n
       FROM (SELECT doc_id, host, list_filter(regexp_split_to_array({_LOW.format("x")}, '[\x20\x09-\x0D]+'), lambda y: y <> '') AS v FROM (SELECT doc_id, host, unnest(lines) AS x FROM d))
       GROUP BY doc_id, host, line),
 m AS (SELECT host, min(doc_id) AS doc_id FROM (SELECT host, doc_id, string_agg(line, chr(10) ORDER BY line) AS mark FROM l GROUP BY host, doc_id) GROUP BY host, mark),
-o AS (SELECT l.host, line FROM l JOIN m ON l.doc_id = m.doc_id JOIN (SELECT host, count(*) AS n_host FROM d GROUP BY host) g ON l.host = g.host
+o AS (SELECT l.host, line FROM l JOIN m ON l.doc_id = m.doc_id JOIN (SELECT host, count(*) AS n_host FROM m GROUP BY host) g ON l.host = g.host
       GROUP BY l.host, line, n_host HAVING count(*) > {quality.MIN_DOCS} AND count(*) > {quality.SHARE} * n_host),
 g AS (SELECT doc_id, sum(n) AS n_boilerplate FROM l JOIN o ON l.host = o.host AND l.line = o.line GROUP BY doc_id)
 SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED_PERCENT} * n_words) AS base_failed,

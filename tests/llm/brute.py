@@ -171,7 +171,7 @@ def quality(rows, min_docs=20, share=0.01, keep=0.25):
     for (_, host, _), held in zip(rows, own, strict=True):
         for line in held:
             docs[host, line].add(frozenset(held))
-    hosts = Counter(host for _, host, _ in rows)
+    hosts = Counter(host for host, _ in {(host, frozenset(held)) for (_, host, _), held in zip(rows, own, strict=True) if held})
     out = []
     for (_, host, _), base, held in zip(rows, base_quality([(d, t) for d, _, t in rows]), own, strict=True):
         gone = sum(n for line, n in held.items() if len(docs[host, line]) > min_docs and len(docs[host, line]) > share * hosts[host])

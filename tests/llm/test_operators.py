@@ -359,6 +359,18 @@ def test_documents_of_many_shared_lines_are_counted_each(spark):
     assert kept == {r[0] for r in rows if r[1] == "copies"}
 
 
+def test_copies_change_no_verdict(spark):
+    """Neither copies of the depleted documents nor thousands of an unrelated text in the host."""
+    rng = random.Random(12)
+    shared, other = [prose(rng, 12) for _ in range(8)], "\n".join(prose(rng, 12) for _ in range(6))
+    rows = [(k, "h", "\n".join([*shared, f"own line {k}"])) for k in range(60)]
+    copies = [(10_000 + k, "h", other) for k in range(8000)] + [(30_000 + k, "h", rows[0][2]) for k in range(500)]
+    for table in (rows, rows + copies):
+        found = quality.quality(spark.createDataFrame(table, "doc_id long, source string, text string"))
+        assert {r["doc_id"] for r in found.where("not kept").select("doc_id").collect()} == {r[0] for r in table if r[2] != other}
+    assert [r[7] for r in brute.quality(rows + copies[:300])] == [False] * 60 + [True] * 300
+
+
 def test_quality_verdict_against_plain(spark):
     """Hosts with several shared lines, copies, texts of one line, and documents on both sides of the limits."""
     rng = random.Random(11)

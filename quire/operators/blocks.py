@@ -90,6 +90,22 @@ def parse_blocks(text: str | None) -> list[tuple[str, str, int | None]]:
     return list(_Scanner(text).blocks()) if text and text.strip() else []
 
 
+def parse_placed(text: str | None) -> list[tuple[str, str, int]]:
+    """(type, content, first line, from one) of every block of a text."""
+    if not text or not text.strip():
+        return []
+    scan = _Scanner(text)
+    return [(kind, content, scan.at - content.count("\n")) for kind, content, _ in scan.blocks()]
+
+
+PLACED = ArrayType(StructType().add("type", "string").add("content", "string").add("line", "integer"))
+
+
+@F.pandas_udf(PLACED)
+def placed_array(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: [{"type": a, "content": b, "line": c} for a, b, c in parse_placed(t)])
+
+
 @F.pandas_udf(BLOCK)
 def block_array(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: [{"pos": k, "type": a, "content": b, "level": c} for k, (a, b, c) in enumerate(parse_blocks(t))])

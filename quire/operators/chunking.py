@@ -20,7 +20,7 @@ def validate_max_chars(max_chars: int) -> None:
         raise ValueError("max_chars must be greater than zero")
 
 
-def _starts(sizes: Column, limit: int, gap: int) -> Column:
+def group_starts(sizes: Column, limit: int, gap: int) -> Column:
     """Where greedy packing opens a group: a unit joins the group before it if that stays within the limit."""
     start = F.struct(F.lit(0).alias("at"), F.lit(-1).alias("length"), F.array().cast("array<int>").alias("out"))
 
@@ -36,7 +36,7 @@ def _grouped(units: Column, limit: int, gap: str) -> Column:
     def joined(us: Column, at: Column) -> Column:
         return F.transform(at, lambda a, k: F.array_join(F.slice(us, a + 1, F.coalesce(F.get(at, k + 1), F.size(us)) - a), gap))
 
-    return let(units, lambda us: let(_starts(F.transform(us, F.length), limit, len(gap)), lambda at: joined(us, at)))
+    return let(units, lambda us: let(group_starts(F.transform(us, F.length), limit, len(gap)), lambda at: joined(us, at)))
 
 
 def split_paragraph(content: Column, max_chars: int) -> Column:
@@ -49,8 +49,8 @@ def split_paragraph(content: Column, max_chars: int) -> Column:
     return let(collapse(content), parts)
 
 
-def chunk_units(blocks: Column, max_chars: int) -> Column:
-    """Units in order: a heading goes with the first part of a paragraph right after it; long lists and paragraphs are split."""
+def units_of_blocks(blocks: Column, max_chars: int) -> Column:
+    """For each block its units: a heading goes with the first part of a paragraph right after it; long lists and paragraphs are split."""
 
     def unit(b: Column, i: Column) -> Column:
         before, after = F.get(blocks, i - 1), F.get(blocks, i + 1)
@@ -66,7 +66,12 @@ def chunk_units(blocks: Column, max_chars: int) -> Column:
             .otherwise(F.array(stripped))
         )
 
-    return F.filter(F.flatten(F.transform(blocks, unit)), lambda u: u != "")
+    return F.transform(blocks, unit)
+
+
+def chunk_units(blocks: Column, max_chars: int) -> Column:
+    """All units in order."""
+    return F.filter(F.flatten(units_of_blocks(blocks, max_chars)), lambda u: u != "")
 
 
 def pack_units(units: Column, max_chars: int) -> Column:

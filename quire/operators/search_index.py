@@ -1,11 +1,10 @@
 """Substring search in many texts through a positional index of trigrams.
 
-Every place of a text begins a trigram; two marks behind the text end the last
-ones. Texts are packed into segments of about SEGMENT characters; a segment's
+Every place of a text but its last two begins a trigram. Texts are packed into segments of about SEGMENT characters; a segment's
 posting list for a trigram holds its places as differences in variable-length
 bytes. A search string is found where the lists of trigrams that cover it, moved
-by their offsets, meet: that is exact, so texts are not read again. Strings of one
-or two characters are prefixes of trigrams. A batch of strings is answered
+by their offsets, meet: that is exact, so texts are not read again. For strings of
+one or two characters there are lists of a segment's texts, without places. A batch of strings is answered
 together: by joins on trigrams, then for each (segment, string) with all trigrams
 by intersection from the shortest list on.
 
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 from quire.functions.text import py_strip
 
 SEGMENT = 1 << 19
-#: Stands behind a text; no character has this number.
+#: Stands between texts; no character has this number.
 END = (1 << 21) - 1
 POSTINGS = "segment long, gram long, n int, places binary"
 TEXTS = "segment long, starts array<int>, ids array<long>"
@@ -54,6 +53,11 @@ def unpack(raw: bytes) -> np.ndarray:
     return np.add.reduceat((data & 127).astype(np.int64) << (7 * place), first)
 
 
+def short_gram(*points: int) -> int:
+    """The key of one or two characters; those of trigrams are not negative."""
+    return -1 - points[0] if len(points) == 1 else -(1 << 22) - (points[0] << 21 | points[1])
+
+
 def grams(points: np.ndarray) -> np.ndarray:
     wide = points.astype(np.int64)
     return (wide[:-2] << 42) | (wide[1:-1] << 21) | wide[2:]
@@ -72,24 +76,31 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark = np.full(2, END, np.uint32)
         points = np.concatenate([x for _, p in held for x in (p, mark)])
         starts = np.cumsum([0, *(len(p) + 2 for _, p in held)])[:-1]
-        gram = grams(np.r_[points, mark])
-        real = np.flatnonzero(points != END)
-        order = real[np.argsort(gram[real], kind="stable")]
-        sorted_gram = gram[order]
-        first = np.flatnonzero(np.r_[True, sorted_gram[1:] != sorted_gram[:-1]]) if len(order) else np.zeros(0, np.int64)
-        step = np.diff(order, prepend=0)
-        step[first] = order[first]
+        owner = np.repeat(np.arange(len(held)), np.diff(np.r_[starts, len(points)]))
+        real, wide = points != END, points.astype(np.int64)
+        keys, values = [], []
+        for key, ok in ((-1 - wide, real), (-(1 << 22) - (wide[:-1] << 21 | wide[1:]), real[:-1] & real[1:])):
+            own = np.unique(np.stack([key[ok], owner[: len(ok)][ok]]), axis=1) if ok.any() else np.zeros((2, 0), np.int64)
+            keys.append(own[0])
+            values.append(own[1])
+        at = np.flatnonzero(real[:-2] & real[1:-1] & real[2:])
+        gram = grams(points)[at]
+        order = np.argsort(gram, kind="stable")
+        key, value = np.concatenate([keys[1], keys[0], gram[order]]), np.concatenate([values[1], values[0], at[order]])
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        step = np.diff(value, prepend=0)
+        step[first] = value[first]
         raw, width = pack(step)
         ends = np.r_[0, np.cumsum(width)]
-        cuts = ends[np.r_[first, len(order)]].astype(np.int32)
+        cuts = ends[np.r_[first, len(key)]].astype(np.int32)
         k = len(first)
         lists = pa.BinaryArray.from_buffers(pa.binary(), k, [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(raw.tobytes())])
-        counts = np.diff(np.r_[first, len(order)]).astype(np.int32)
+        counts = np.diff(np.r_[first, len(key)]).astype(np.int32)
         none = pa.nulls(1)
         return pa.record_batch(
             [
                 pa.array(np.full(k + 1, base + number)),
-                pa.concat_arrays([pa.array(sorted_gram[first]), none.cast(pa.int64())]),
+                pa.concat_arrays([pa.array(key[first]), none.cast(pa.int64())]),
                 pa.concat_arrays([pa.array(counts), none.cast(pa.int32())]),
                 pa.concat_arrays([lists, none.cast(pa.binary())]),
                 pa.array([None] * k + [starts.tolist()], pa.list_(pa.int32())),
@@ -133,15 +144,10 @@ class Index:
         """(query_id, id) for queries (query_id, text): each document once that holds the string."""
         clean = queries.select("query_id", F.lower(py_strip(F.coalesce("text", F.lit("")))).alias("text"))
         kind = queries.schema["query_id"].dataType.simpleString()
-        wanted = clean.where("text <> ''").mapInArrow(_wanted, f"query_id {kind}, place int, gram long, length int, n_grams int")
-        covers, short = wanted.where("length >= 3"), wanted.where("length < 3")
+        wanted = clean.where("text <> ''").mapInArrow(_wanted, f"query_id {kind}, place int, gram long, n_grams int")
         heads = self.postings.select("segment", "gram")
-        all_there = covers.join(heads, "gram").groupBy("query_id", "segment").agg(F.count("*").alias("found"), F.first("n_grams").alias("n_grams")).where("found = n_grams").select("query_id", "segment")
-        lists = all_there.join(covers, "query_id").join(self.postings, ["segment", "gram"]).select("segment", "query_id", "place", "n", "places")
-        one, two = short.where("length = 1").select("query_id", F.col("gram").alias("head")), short.where("length = 2").select("query_id", F.col("gram").alias("head"))
-        for part, bits in ((one, 42), (two, 21)):
-            of = self.postings.withColumn("head", F.shiftright("gram", bits)).join(part, "head")
-            lists = lists.unionByName(of.select("segment", "query_id", F.lit(-1).alias("place"), "n", "places"))
+        all_there = wanted.join(heads, "gram").groupBy("query_id", "segment").agg(F.count("*").alias("found"), F.first("n_grams").alias("n_grams")).where("found = n_grams").select("query_id", "segment")
+        lists = all_there.join(wanted, "query_id").join(self.postings, ["segment", "gram"]).select("segment", "query_id", "place", "n", "places")
         order = ("segment", "query_id")
         met = lists.repartition(*order).sortWithinPartitions(*order, "n", "place").mapInArrow(_met, f"segment long, query_id {kind}, at array<int>")
         found = met.join(self.texts, "segment").mapInArrow(_owners, f"query_id {kind}, id long")
@@ -150,37 +156,38 @@ class Index:
 
 
 def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The trigrams that cover each string, with their offsets; of one or two characters the prefix itself."""
+    """The trigrams that cover each string, with their offsets; for one or two characters their own key, at place -1."""
     for batch in batches:
         out: list[tuple] = []
         for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             points = _points(text)
             n = len(points)
             if n < 3:
-                out.append((id_, 0, int(points[0]) if n == 1 else int(points[0]) << 21 | int(points[1]), n, 1))
+                out.append((id_, -1, short_gram(*map(int, points)), 1))
                 continue
             own, places = grams(points), sorted({*range(0, n - 2, 3), n - 3})
-            out += [(id_, p, int(own[p]), n, len(places)) for p in places]
-        columns = list(zip(*out, strict=True)) or [()] * 5
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["query_id", "place", "gram", "length", "n_grams"])
+            out += [(id_, p, int(own[p]), len(places)) for p in places]
+        columns = list(zip(*out, strict=True)) or [()] * 4
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int32()), strict=True)], ["query_id", "place", "gram", "n_grams"])
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Where all lists of a (segment, string) meet, from the shortest on; place -1: any of them counts."""
+    """Where all lists of a (segment, string) meet, from the shortest on; texts of a short string are told by -1 - their number."""
     now, at = None, np.zeros(0, np.int64)
     for batch in batches:
         done: list[tuple] = []
         segment, query, place, _, lists = (batch.column(k) for k in range(5))
         for s, q, p, raw in zip(segment.to_pylist(), query.to_pylist(), place.to_pylist(), lists.to_pylist(), strict=True):
-            own = np.cumsum(unpack(raw)) - max(p, 0)
-            if (s, q) != now:
-                if now is not None and len(at):
-                    done.append((*now, at))
-                now, at = (s, q), own
-            elif p < 0:
-                at = np.union1d(at, own)
-            elif len(at):
+            if (s, q) == now and not len(at):
+                continue
+            own = np.cumsum(unpack(raw))
+            own = -1 - own if p < 0 else own - p
+            if (s, q) == now:
                 at = np.intersect1d(at, own, assume_unique=True)
+                continue
+            if now is not None and len(at):
+                done.append((*now, at))
+            now, at = (s, q), own
         yield _found(done, query.type)
     if now is not None and len(at):
         yield _found([(*now, at)], query.type)
@@ -195,7 +202,8 @@ def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         queries, ids = [], []
         for q, at, starts, own in zip(*(batch.column(k).to_pylist() for k in range(1, 5)), strict=True):
-            hit = np.unique(np.searchsorted(starts, at, "right") - 1)
+            places = np.array(at, np.int64)
+            hit = np.unique(np.where(places < 0, -1 - places, np.searchsorted(starts, places, "right") - 1))
             ids += [own[k] for k in hit.tolist()]
             queries += [q] * len(hit)
         yield pa.record_batch([pa.array(queries, batch.schema.field(1).type), pa.array(ids, pa.int64())], ["query_id", "id"])

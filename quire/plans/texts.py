@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.operators import alignment as AL
+from quire.operators import positions as PO
 from quire.operators import search_index as X
-from quire.plans.catalogue import BOTH, CHUNKS, both_texts, chunks, query, strip, table
+from quire.plans.catalogue import BOTH, CHAPTERS, CHUNKS, MARKER, WS, _fold, books, both_texts, chunks, query, rows_of, strip, table
 from quire.session import work_dir
 from quire.streaming import answers as A
 
@@ -37,10 +38,10 @@ def answered_once(spark, sf):
     path, rows = work_dir(spark, "requests"), chunks(spark, sf)
     at = F.timestamp_seconds(F.lit(_EPOCH) + F.expr(_SECOND))
     asked = rows.select("doc_id", F.concat_ws("/", "book_id", "chunk_id").alias("key"), F.concat(F.expr(_FAILS).cast("string"), F.lit("|"), "content").alias("prompt"), at.alias("at"))
-    asked.unionByName(asked.where("doc_id % 3 = 0")).drop("doc_id").write.parquet(f"{path}/log")
+    asked.unionByName(asked.where("doc_id % 3 = 0")).drop("doc_id").write.option("maxRecordsPerFile", 5000).parquet(f"{path}/log")
     tick = spark.range(1).select(F.lit(A.TICK).alias("key"), F.lit("").alias("prompt"), F.timestamp_seconds(F.lit(_EPOCH + 864_000)).alias("at"))
     tick.write.mode("append").parquet(f"{path}/log")
-    A.start(spark, f"{path}/log", f"{path}/answers", f"{path}/checkpoint", lambda: _failing(), event_time=True, files=1000, shards=8).awaitTermination()
+    A.start(spark, f"{path}/log", f"{path}/answers", f"{path}/checkpoint", lambda: _failing(), event_time=True, files=24, shards=8).awaitTermination()
     return A.read(spark, f"{path}/answers").select("key", "status", F.md5("translation").alias("digest"), "error", "attempts", "answered_ms")
 
 
@@ -85,3 +86,42 @@ def side_by_side(spark, sf):
     extra = F.when((F.col("n") == 1) & (F.col("m") == 1), 0).when((F.col("n") > 0) & (F.col("m") > 0), AL.MERGE).otherwise(AL.ALONE)
     cost = F.abs(length("source_text", "n") - length("translated_text", "m")) + extra
     return rows.groupBy("book_id", "chapter_pos").agg(F.sum("n").alias("n_source"), F.sum("m").alias("n_translated"), F.sum(cost).cast("long").alias("cost"))
+
+
+# ---- where chunks come from ----------------------------------------------------------------
+
+_M = r"\x{E000}[0-9]+\x{E001}"
+_KEYS = "book_id, chapter_pos, chapter_id"
+_LIMIT = 6000
+#: The normalised book with the number of its raw line at the head of every line; then the units of CHUNKED with the lines of their blocks.
+_PLACED = rf"""{CHAPTERS},
+mb AS (SELECT p.book_id, string_agg(chr(57344) || pos || chr(57345) || CASE WHEN pat.s IS NULL THEN line ELSE '' END, chr(10) ORDER BY pos) AS md FROM p LEFT JOIN pat ON p.book_id = pat.book_id AND p.line = pat.s GROUP BY p.book_id),
+mn AS (SELECT book_id, regexp_replace(regexp_replace(md, '([\pL\pN_])-\n(?:{_M}|{WS})*([\pL\pN_])', '\1\2', 'g'), '((?:\n{_M}){{2}})(?:\n{_M})+(\n{_M})', '\1\2', 'g') AS md FROM mb),
+mr AS (SELECT book_id, pos AS line, CAST(regexp_extract(line, '^\x{{E000}}([0-9]+)', 1) AS INT) AS raw FROM ({rows_of('mn')})),
+cl AS (SELECT *, {strip('line')} AS s FROM ({rows_of('ch', 'content', _KEYS + ', start_line')})),
+cf AS (SELECT *, sum(CASE WHEN s LIKE '```%' THEN 1 ELSE 0 END) OVER (PARTITION BY {_KEYS} ORDER BY pos) AS fences FROM cl),
+ck AS (SELECT *, CASE WHEN s LIKE '```%' OR fences % 2 = 1 THEN 'code_block' WHEN regexp_matches(line, '^#{{1,6}}{WS}+.+$') THEN 'heading' WHEN s LIKE '>%' THEN 'quote'
+   WHEN regexp_matches(line, '{MARKER}') THEN 'list' WHEN s = '' THEN 'blank' ELSE 'paragraph' END AS type, CAST(floor((fences + 1) / 2) AS INT) AS fence_no FROM cf),
+cs AS (SELECT *, CASE WHEN type = 'heading' OR lag(type) OVER w IS DISTINCT FROM type OR (type = 'code_block' AND lag(fence_no) OVER w <> fence_no) THEN 1 ELSE 0 END AS starts FROM ck WINDOW w AS (PARTITION BY {_KEYS} ORDER BY pos)),
+ci AS (SELECT *, sum(starts) OVER (PARTITION BY {_KEYS} ORDER BY pos) AS id FROM cs),
+cb AS (SELECT {_KEYS}, start_line, type, string_agg(line, chr(10) ORDER BY pos) AS content, min(pos) AS p0, max(pos) AS p1 FROM ci WHERE type <> 'blank' GROUP BY {_KEYS}, start_line, type, id),
+cn AS (SELECT *, lag(type) OVER w AS before, lag(p0) OVER w AS h0, lag(content) OVER w AS head, lead(type) OVER w AS after FROM cb WINDOW w AS (PARTITION BY {_KEYS} ORDER BY p0)),
+cp AS (SELECT *, {strip(f"regexp_replace(content, '{WS}+', ' ', 'g')")} AS t FROM cn WHERE type = 'paragraph' AND (coalesce(before, '') = 'heading' OR length(content) > {_LIMIT})),
+cw AS (SELECT *, list_filter(string_split(t, ' '), lambda x: x <> '') AS u FROM cp WHERE length(t) > {_LIMIT}),
+cg AS (SELECT {_KEYS}, start_line, p0, p1, h0, before, head, unnest(u) AS word, generate_subscripts(u, 1) AS i, unnest({_fold('u', _LIMIT, 1)}) AS k FROM cw),
+ct AS (SELECT {_KEYS}, start_line, p0, p1, h0, before, head, k, string_agg(word, ' ' ORDER BY i) AS t FROM cg GROUP BY {_KEYS}, start_line, p0, p1, h0, before, head, k UNION ALL SELECT {_KEYS}, start_line, p0, p1, h0, before, head, 0, t FROM cp WHERE length(t) <= {_LIMIT}),
+cx AS (SELECT {_KEYS}, start_line, p0, unnest(string_split(content, chr(10))) AS line, generate_subscripts(string_split(content, chr(10)), 1) AS i FROM cn WHERE type = 'list' AND length(content) > {_LIMIT}),
+cy AS (SELECT *, sum(CASE WHEN regexp_matches(line, '{MARKER}') THEN 1 ELSE 0 END) OVER (PARTITION BY {_KEYS}, p0 ORDER BY i) AS item FROM cx),
+cu AS (SELECT {_KEYS}, start_line, p0, k, CASE WHEN before = 'heading' AND k = 0 THEN {strip('head')} || chr(10) || chr(10) || t ELSE t END AS unit, CASE WHEN before = 'heading' AND k = 0 THEN h0 ELSE p0 END AS f, p1 AS l FROM ct
+  UNION ALL SELECT {_KEYS}, start_line, p0, item, {strip("string_agg(line, chr(10) ORDER BY i)")}, p0 + min(i) - 1, p0 + max(i) - 1 FROM cy WHERE item > 0 GROUP BY {_KEYS}, start_line, p0, item
+  UNION ALL SELECT {_KEYS}, start_line, p0, 0, {strip('content')}, p0, p1 FROM cn WHERE NOT (type = 'heading' AND coalesce(after, '') = 'paragraph') AND NOT (type = 'paragraph' AND (coalesce(before, '') = 'heading' OR length(content) > {_LIMIT})) AND NOT (type = 'list' AND length(content) > {_LIMIT})),
+cq AS (SELECT {_KEYS}, start_line, list(unit ORDER BY p0, k) AS u, list(f ORDER BY p0, k) AS fs, list(l ORDER BY p0, k) AS ls FROM cu WHERE {strip('unit')} <> '' GROUP BY {_KEYS}, start_line),
+cr AS (SELECT {_KEYS}, start_line, unnest(fs) AS f, unnest(ls) AS l, unnest({_fold('u', _LIMIT, 2)}) AS part FROM cq),
+cc AS (SELECT {_KEYS}, chapter_id || '_' || lpad(CAST(part + 1 AS VARCHAR), 4, '0') AS chunk_id, CAST(part + 1 AS INT) AS sequence, start_line + min(f) - 1 AS first_line, start_line + max(l) - 1 AS last_line FROM cr GROUP BY {_KEYS}, start_line, part)"""
+
+
+@query(f"""WITH {_PLACED} SELECT cc.book_id, CAST(chapter_pos AS INT) AS chapter_pos, chapter_id, chunk_id, sequence, CAST(first_line AS INT) AS first_line, CAST(last_line AS INT) AS last_line, a.raw AS raw_first, b.raw AS raw_last
+FROM cc JOIN mr a ON cc.book_id = a.book_id AND first_line = a.line JOIN mr b ON cc.book_id = b.book_id AND last_line = b.line""")
+def chunk_positions(spark, sf):
+    """Every chunk with its lines in the normalised and in the raw book."""
+    return PO.chunk_positions(books(spark, sf))

@@ -121,6 +121,9 @@ def start(spark: SparkSession, requests: str, answers: str, checkpoint: str, ask
     own = spark.newSession()
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     own.conf.set("spark.sql.session.timeZone", "UTC")
+    # The stores of an executor share one bounded cache and write buffer.
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
     if shards:
         own.conf.set("spark.sql.shuffle.partitions", shards)
     stream = own.readStream.schema(REQUEST).option("maxFilesPerTrigger", files).parquet(requests)

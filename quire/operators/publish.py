@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,12 +71,15 @@ def section_rail(chapters: DataFrame, text: str = "raw") -> DataFrame:
     return rows.select("book_id", "chapter_pos", "section_no", F.format_string("section-%d-%d", F.col("chapter_pos") - 1, "section_no").alias("anchor"), F.length(F.regexp_extract("line", pattern, 1)).alias("level"), F.regexp_extract("line", pattern, 2).alias("title"))
 
 
-def figure_map(spark) -> DataFrame:
-    """(figure, image): figure N is image N + 1."""
-    return spark.range(1, FIGURES + 1).select(F.col("id").cast("string").alias("figure"), F.format_string("images/imageFile%d.png", F.col("id") + 1).alias("image"))
+_CAPTION = r"(?d)^\*\*Рис\.[" + SPACE + r"]*([0-9]+)[^\n]*$"
 
 
-_CAPTION = r"(?d)^\*\*Рис\.[" + SPACE + r"]*([0-9]+)[^\n]*$"
+def mapped_figures(books: DataFrame) -> DataFrame:
+    """(book_id, line_number, figure, image): every caption of a mapped figure; figure N is image N + 1."""
+    rows = books.select("book_id", F.posexplode(lines("md")).alias("k", "line"))
+    found = rows.select("book_id", (F.col("k") + 1).alias("line_number"), F.regexp_extract("line", _CAPTION, 1).alias("figure")).where("figure <> ''")
+    number = F.col("figure").try_cast("int")
+    return found.where(number.between(1, FIGURES)).select("book_id", "line_number", "figure", F.format_string("images/imageFile%d.png", number + 1).alias("image"))
 
 
 def inject_figures(md: Column) -> Column:
@@ -157,3 +162,26 @@ def publish_page(chapters: DataFrame, metadata: DataFrame) -> DataFrame:
     page = book_json(chapters, metadata).join(info, "book_id").select("book_id", F.concat("book_id", F.lit("-"), "lang", F.lit(".html")).alias("file"), html.alias("html"))
     size = F.octet_length("html")
     return page.select("book_id", "file", "html", size.alias("bytes"), F.when(size > LARGE_PAGE, "page is over 10 MiB").alias("warning"))
+
+
+def write_pages(pages: DataFrame, folder: str, force: bool = False) -> None:
+    """Each page as ``folder/<file>``, all or none: written beside, then moved, which is a rename for each book.
+
+    Files that are there are refused unless forced; then those of the books at hand are replaced.
+    """
+    spark = pages.sparkSession
+    aside = f"{folder.rstrip('/')}/_pages-{uuid.uuid4().hex[:12]}"
+    path = lambda p: spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+    files = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        # The writer ends a value with a line end, as the template does.
+        pages.select(F.regexp_replace("html", "\\n$", "").alias("value"), F.col("file").alias("name")).repartition("name").write.partitionBy("name").text(aside)
+        made = [s.getPath() for s in files.globStatus(path(f"{aside}/name=*/part-*"))]
+        names = [unquote(p.getParent().getName().removeprefix("name=")) for p in made]
+        if not force and (there := [n for n in names if files.exists(path(f"{folder}/{n}"))]):
+            raise FileExistsError(f"{len(there)} pages are there already, {there[0]} among them")
+        for part, name in zip(made, names, strict=True):
+            files.delete(path(f"{folder}/{name}"), False)
+            files.rename(part, path(f"{folder}/{name}"))
+    finally:
+        files.delete(path(aside), True)

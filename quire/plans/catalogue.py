@@ -89,19 +89,6 @@ def both_texts(spark: SparkSession, sf: str) -> DataFrame:
     return R.pairs(split(spark, sf), translated(spark, sf))
 
 
-#: A shared and a project glossary; fixed values of the test input.
-ROOT_TERMS = (("Job", "Работа", "noun"), ("the of", "тот", ""), ("zzqx", "ждун", ""), ("Progress", "Прогресс", ""), ("job", "Труд", "later wins"))
-PROJECT_TERMS = (("Job", "Дело", ""), ("Progress", "Прогресс", "same"), ("Anxiety", "Тревога", "only here"))
-
-
-def _values(rows) -> str:
-    return ", ".join(f"({k}, '{a}', '{b}', '{c}')" for k, (a, b, c) in enumerate(rows))
-
-
-def terms(spark: SparkSession, rows) -> DataFrame:
-    return spark.sql(f"SELECT * FROM VALUES {_values(rows)} AS t(pos, english, russian, notes)")
-
-
 # ---- the same, in DuckDB -----------------------------------------------------
 
 WS = r"[\s\x0B\x1C-\x1F\x{85}\pZ]"
@@ -336,7 +323,6 @@ def glossary_parse(spark, sf):
 
 _MERGED = """a AS (SELECT *, lower(english) AS term FROM r QUALIFY row_number() OVER (PARTITION BY lower(english) ORDER BY pos DESC) = 1), b AS (SELECT *, lower(english) AS term FROM p QUALIFY row_number() OVER (PARTITION BY lower(english) ORDER BY pos DESC) = 1),
 m AS (SELECT coalesce(b.term, a.term) AS term, coalesce(b.english, a.english) AS english, coalesce(b.russian, a.russian) AS russian, coalesce(b.notes, a.notes) AS notes, CASE WHEN b.term IS NULL THEN 'root' ELSE 'project' END AS source FROM a FULL JOIN b ON a.term = b.term)"""
-_TERMS = f"r AS (SELECT * FROM (VALUES {_values(ROOT_TERMS)}) AS t(pos, english, russian, notes)), p AS (SELECT * FROM (VALUES {_values(PROJECT_TERMS)}) AS t(pos, english, russian, notes)), {_MERGED}"
 #: Glossaries of all parts: names that repeat, and customers' segments beside them. The same text in Spark and DuckDB.
 PART_ROOT = "SELECT CAST(p_partkey AS INT) AS pos, p_name AS english, p_brand AS russian, CASE WHEN p_size % 2 = 0 THEN p_type ELSE '' END AS notes FROM part"
 PART_PROJECT = "SELECT CAST(p_partkey AS INT) AS pos, CASE WHEN p_size % 3 = 0 THEN upper(p_name) ELSE concat(p_name, ' new') END AS english, CASE WHEN p_size % 2 = 0 THEN p_brand ELSE p_type END AS russian, '' AS notes FROM part"
@@ -359,7 +345,16 @@ def glossary_conflicts(spark, sf):
 
 
 _GT = "gt AS (SELECT string_agg('- ' || english || ' -> ' || russian || CASE WHEN notes <> '' THEN ' (' || notes || ')' ELSE '' END, chr(10) ORDER BY term) AS glossary FROM m)"
-_PROMPT_TERMS = f"{_TERMS}, {_GT}"
+#: The prompts' glossaries: terms of all benchmark items, and a project's own for every third.
+ITEM_TERMS = "SELECT CAST(item_id AS INT) AS pos, substr(text, CAST(1 + item_id % 11 AS INT), CAST(4 + item_id % 6 AS INT)) AS english, substr(text, CAST(20 + item_id % 7 AS INT), 7) AS russian, '' AS notes FROM benchmark"
+ITEM_PROJECT = ITEM_TERMS.replace("20 + item_id", "30 + item_id").replace("'' AS notes", "'own' AS notes") + " WHERE item_id % 3 = 0"
+_PROMPT_TERMS = f"r AS ({ITEM_TERMS}), p AS ({ITEM_PROJECT}), {_MERGED}, {_GT}"
+
+
+def item_glossary(spark: SparkSession, sf: str) -> DataFrame:
+    """Both glossaries of the benchmark, merged."""
+    table(spark, sf, "benchmark").createOrReplaceTempView("benchmark")
+    return G.merge(spark.sql(ITEM_TERMS), spark.sql(ITEM_PROJECT))
 
 
 @query(f"WITH {_PARTS}, {_GT} SELECT glossary FROM gt")
@@ -395,7 +390,7 @@ def prompt_sql(of: str) -> str:
 
 @query(f"WITH {CHUNKS}, {_CONTEXT}, {_PROMPT_TERMS} SELECT cx.book_id, chunk_id, md5({prompt_sql('cx')}) AS digest FROM cx, gt")
 def translation_prompt(spark, sf):
-    held = G.prompt_text(G.merge(terms(spark, ROOT_TERMS), terms(spark, PROJECT_TERMS)))
+    held = G.prompt_text(item_glossary(spark, sf))
     rows = TR.with_context(chunks(spark, sf)).crossJoin(F.broadcast(held))  # one row
     return rows.select("book_id", "chunk_id", F.md5(TR.prompt(F.col("glossary"), F.col("chapter_id"), F.col("previous_summary"), F.col("next_summary"), F.col("content"))).alias("digest"))
 
@@ -464,10 +459,6 @@ def structural_issues(spark, sf):
     return R.structural(both_texts(spark, sf))
 
 
-#: Terms cut from benchmark items, some of which the documents hold; the same text in both dialects.
-ITEM_TERMS = "SELECT CAST(item_id AS INT) AS pos, substr(text, CAST(1 + item_id % 11 AS INT), CAST(4 + item_id % 6 AS INT)) AS english, substr(text, CAST(20 + item_id % 7 AS INT), 7) AS russian, '' AS notes FROM benchmark"
-
-
 def item_terms(spark: SparkSession, sf: str) -> DataFrame:
     table(spark, sf, "benchmark").createOrReplaceTempView("benchmark")
     return spark.sql(ITEM_TERMS)
@@ -549,9 +540,10 @@ def figure_injection(spark, sf):
     return books(spark, sf).select("book_id", F.md5(P.inject_figures(F.col("md"))).alias("digest"))
 
 
-@query("SELECT CAST(i AS VARCHAR) AS figure, 'images/imageFile' || (i + 1) || '.png' AS image FROM range(1, 37) t(i)")
+@query(rf"""WITH {BOOKS}, {LINES}, c AS (SELECT book_id, pos, regexp_extract(line, '^\*\*Рис\.{WS}*([0-9]+)', 1) AS figure FROM l)
+SELECT book_id, CAST(pos AS INT) AS line_number, figure, 'images/imageFile' || (CAST(figure AS INT) + 1) || '.png' AS image FROM c WHERE figure <> '' AND TRY_CAST(figure AS INT) BETWEEN 1 AND {P.FIGURES}""")
 def figure_images(spark, sf):
-    return P.figure_map(spark)
+    return P.mapped_figures(books(spark, sf))
 
 
 @query("SELECT page_id, replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#039;') AS escaped FROM pages")
@@ -591,17 +583,18 @@ def contact_href(spark, sf):
 # ---- projects and state --------------------------------------------------------------
 
 
-def _projects(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Metadata of suppliers as projects; those of even number have a state, done up to a stage by number."""
+def _projects(spark: SparkSession, sf: str, every: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Metadata of suppliers as projects, done up to a stage by number; those of odd number have a state only with ``every``."""
     rows = table(spark, sf, "supplier")
     done = F.transform(F.array(*(F.lit(s) for s in L.STAGES)), lambda s, i: F.when(i <= F.pmod("s_suppkey", F.lit(9)), "done").otherwise("pending"))
-    states = rows.where("s_suppkey % 2 = 0").select(F.concat(F.lit("b"), "s_suppkey").alias("book_id"), F.map_from_arrays(F.array(*(F.lit(s) for s in L.STAGES)), done).alias("stages"))
+    states = (rows if every else rows.where("s_suppkey % 2 = 0")).select(F.concat(F.lit("b"), "s_suppkey").alias("book_id"), F.map_from_arrays(F.array(*(F.lit(s) for s in L.STAGES)), done).alias("stages"))
     states = states.withColumn("current_stage", F.coalesce(L.next_pending(F.col("stages")), F.lit("publish")))
     return rows.select(F.concat(F.lit("b"), "s_suppkey").alias("book_id"), F.col("s_name").alias("title")), states
 
 
 _STAGE_LIST = "[" + ", ".join(f"'{s}'" for s in L.STAGES) + "]"
-_STATES = f"pr AS (SELECT 'b' || s_suppkey AS book_id, s_name AS title, CAST(s_suppkey % 9 AS INT) AS k, coalesce(({_STAGE_LIST})[CAST(s_suppkey % 9 AS INT) + 2], 'publish') AS current_stage FROM supplier WHERE s_suppkey % 2 = 0)"
+_ALL_STATES = f"pr AS (SELECT 'b' || s_suppkey AS book_id, s_name AS title, CAST(s_suppkey % 9 AS INT) AS k, coalesce(({_STAGE_LIST})[CAST(s_suppkey % 9 AS INT) + 2], 'publish') AS current_stage FROM supplier)"
+_STATES = _ALL_STATES.replace("FROM supplier)", "FROM supplier WHERE s_suppkey % 2 = 0)")
 
 
 @query(f"WITH {_STATES} SELECT book_id AS project_id, title, current_stage FROM pr")
@@ -614,13 +607,13 @@ def project_table(spark, sf):
     return L.project_table(L.list_projects(*_projects(spark, sf)))
 
 
-@query(f"WITH {_STATES} SELECT book_id, title, CAST(i AS INT) AS stage_pos, ({_STAGE_LIST})[i + 1] AS stage, CASE WHEN i <= k THEN 'done' ELSE 'pending' END AS status FROM pr, range(0, 9) t(i)")
+@query(f"WITH {_ALL_STATES} SELECT book_id, title, CAST(i AS INT) AS stage_pos, ({_STAGE_LIST})[i + 1] AS stage, CASE WHEN i <= k THEN 'done' ELSE 'pending' END AS status FROM pr, range(0, 9) t(i)")
 def project_status(spark, sf):
-    return L.project_status(*_projects(spark, sf))
+    return L.project_status(*_projects(spark, sf, every=True))
 
 
-@query(f"WITH {_STATES} SELECT book_id, CASE WHEN k >= 2 THEN current_stage WHEN k = 1 THEN 'split' ELSE 'extract' END AS current_stage, CASE WHEN k >= 1 THEN greatest(k, 2) + 1 ELSE 2 END AS n_done FROM pr")
+@query(f"WITH {_ALL_STATES} SELECT book_id, CASE WHEN k >= 2 THEN current_stage WHEN k = 1 THEN 'split' ELSE 'extract' END AS current_stage, CASE WHEN k >= 1 THEN greatest(k, 2) + 1 ELSE 2 END AS n_done FROM pr")
 def stage_progress(spark, sf):
     """The state after normalisation is done."""
-    out = L.update_stage(_projects(spark, sf)[1], "normalize", "done")
+    out = L.update_stage(_projects(spark, sf, every=True)[1], "normalize", "done")
     return out.select("book_id", "current_stage", F.size(F.filter(F.map_values("stages"), lambda v: v == "done")).alias("n_done"))

@@ -47,14 +47,20 @@ class Pipeline:
     def run(self, until: str = "publish") -> Run:
         out = Run()
         for stage in state.stages_until(until):
-            known = set(out.tables)
-            getattr(self, f"_{stage}")(out)
-            if self.folder:
-                for name in [n for n in out.tables if n not in known]:
-                    out.tables[name] = checkpoint(out.tables[name], f"{self.folder}/{name}")
+            self.stage(stage, out)
             if out.stopped_at:
                 break
-            out.completed.append(stage)
+        return out
+
+    def stage(self, name: str, out: Run) -> Run:
+        """One stage on the tables that ``out`` has."""
+        known = dict(out.tables)
+        getattr(self, f"_{name}")(out)
+        if self.folder:
+            for table in [n for n in out.tables if out.tables[n] is not known.get(n)]:
+                out.tables[table] = checkpoint(out.tables[table], f"{self.folder}/{table}")
+        if not out.stopped_at:
+            out.completed.append(name)
         return out
 
     def _extract(self, out: Run) -> None:
@@ -65,7 +71,12 @@ class Pipeline:
 
     def _split(self, out: Run) -> None:
         books = out.tables["normalized"]
-        out.tables["chapters"] = chapters.split_manual(books, self.rules).where("problem is null").drop("problem") if self.rules else chapters.split_auto(books)
+        if not self.rules:
+            out.tables["chapters"] = chapters.split_auto(books)
+            return
+        found = chapters.split_manual(books, self.rules)
+        out.tables["chapters"] = found.where("problem is null").drop("problem")
+        out.tables["rule_problems"] = found.where("problem is not null").select("book_id", "chapter_pos", "chapter_id", "problem")
 
     def _chunk(self, out: Run) -> None:
         out.tables["chunks"] = chunking.chunk(out.tables["chapters"], self.max_chars)

@@ -78,7 +78,7 @@ def written_chunks(spark, sf):
 @query(rf"""WITH {CHUNKS}, {K._CONTEXT}, {K._PROMPT_TERMS}, o AS (SELECT * FROM cx WHERE {K._ELIGIBLE} QUALIFY row_number() OVER (PARTITION BY book_id ORDER BY chapter_id, sequence) = 1)
 SELECT book_id, chunk_id, md5({TR.packet_sql(K.prompt_sql("o"))}) AS digest FROM o, gt""")
 def chat_packets(spark, sf):
-    held = G.prompt_text(G.merge(K.terms(spark, K.ROOT_TERMS), K.terms(spark, K.PROJECT_TERMS)))
+    held = G.prompt_text(K.item_glossary(spark, sf))
     rows = TR.with_context(chunks(spark, sf)).withColumn("chapter_title", F.col("chapter_id")).crossJoin(F.broadcast(held))  # one row
     return TR.chat_packets(rows, F.col("glossary")).select("book_id", "chunk_id", F.md5("packet").alias("digest"))
 
@@ -189,10 +189,10 @@ def metadata_files(spark, sf):
     return S.chapter_rows(S.read_metadata(spark, path)).select("book_id", "chapter_pos", "chapter_id", "title", "status", "word_count")
 
 
-@query(f"WITH {K._STATES} SELECT book_id, current_stage, ({K._STAGE_LIST})[2] AS second, CASE WHEN k >= 1 THEN 'done' ELSE 'pending' END AS extract_status FROM pr")
+@query(f"WITH {K._ALL_STATES} SELECT book_id, current_stage, ({K._STAGE_LIST})[2] AS second, CASE WHEN k >= 1 THEN 'done' ELSE 'pending' END AS extract_status FROM pr")
 def latest_states(spark, sf):
     """States written in two versions; the newer one is read."""
-    path, states = work_dir(spark, "states"), K._projects(spark, sf)[1]
+    path, states = work_dir(spark, "states"), K._projects(spark, sf, every=True)[1]
     J.write_version(states.withColumn("current_stage", F.lit("init")), path, "1")
     J.write_version(states, path, "2")
     return J.read_latest(spark, path).select("book_id", "current_stage", F.lit("extract").alias("second"), F.col("stages")["extract"].alias("extract_status"))
@@ -360,10 +360,14 @@ h AS (SELECT book_id, '<!doctype html>' || chr(10) || '<html lang="ru"><head><me
  || '<script id="book" type="application/json">' || data || '</script></body></html>' || chr(10) AS html FROM d)
 SELECT book_id, book_id || '-ru.html' AS file, CAST(strlen(html) AS INT) AS bytes, md5(html) AS digest FROM h""")
 def publish_page(spark, sf):
+    """Every book's page, written under its name and read again."""
     metadata = books(spark, sf).select(
         "book_id", F.concat(F.lit("Book <"), "book_id", F.lit("> __DATA__")).alias("title"), F.lit("A & B").alias("author"), F.lit("en").alias("source_language"), F.lit("ru").alias("target_language"), F.struct(F.expr(_CONTACT_OF).alias("contact")).alias("translator")
     )
-    return P.publish_page(P.published(split(spark, sf)), metadata).select("book_id", "file", "bytes", F.md5("html").alias("digest"))
+    folder = work_dir(spark, "pages")
+    P.write_pages(P.publish_page(P.published(split(spark, sf)), metadata), folder)
+    found = spark.read.format("binaryFile").load(f"{folder}/*.html").withColumn("file", F.element_at(F.split("path", "/"), -1))
+    return found.select(F.regexp_replace("file", "-ru[.]html$", "").alias("book_id"), "file", F.col("length").cast("int").alias("bytes"), F.md5("content").alias("digest"))
 
 
 _HAS = "regexp_matches(x, '[02468][.]png$')"

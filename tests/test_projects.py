@@ -1,6 +1,7 @@
 """Rendering, pages and commands."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from quire.operators import publish, render
 from quire.plans import commands
@@ -62,3 +63,32 @@ def test_commands(spark, tmp_path, capsys):
     assert run([f"file://{tmp_path}/b1.md", f"file://{tmp_path}/chat", "--provider", "chat"]) == 0
     assert commands.main(["chat", f"file://{tmp_path}/chat"]) == 0 and "Some text here." in capsys.readouterr().out
     assert commands.main(["status", root]) == 2
+
+
+def test_single_stages(spark, tmp_path, capsys):
+    out = f"file://{tmp_path}/out"
+    for name in ("b1", "b2"):
+        (tmp_path / f"{name}.md").write_text(f"# Chapter 1\n\nText of {name}.\n\n# Chapter 2\n\nMore text.\n")
+    assert commands.main(["extract", out, f"file://{tmp_path}/b1.md", f"file://{tmp_path}/b2.md"]) == 0
+    for stage in ("normalize", "split", "chunk", "translate", "assemble"):
+        assert commands.main([stage, out]) == 0
+    assert run([f"file://{tmp_path}/b*.md", f"file://{tmp_path}/whole"]) == 0
+    for table in ("normalized", "chapters", "chunks", "translations", "assembled"):
+        assert sorted(map(str, spark.read.parquet(f"{out}/{table}").collect())) == sorted(map(str, spark.read.parquet(f"file://{tmp_path}/whole/{table}").collect()))
+    assert commands.main(["extract", out]) == 2
+
+
+def test_pages_have_their_names(spark, tmp_path):
+    pages = spark.createDataFrame([("b 1", "b 1-ru.html", "<p>é</p>\n"), ("b2", "b2-de.html", "x\n\ny\n")], "book_id string, file string, html string")
+    folder = f"file://{tmp_path}/pages"
+    publish.write_pages(pages, folder)
+    assert sorted(p.name for p in (tmp_path / "pages").iterdir() if not p.name.startswith(".")) == ["b 1-ru.html", "b2-de.html"]
+    assert (tmp_path / "pages" / "b 1-ru.html").read_text() == "<p>é</p>\n" and (tmp_path / "pages" / "b2-de.html").read_text() == "x\n\ny\n"
+    with pytest.raises(FileExistsError):
+        publish.write_pages(pages, folder)
+    publish.write_pages(pages.where("book_id = 'b2'").withColumn("html", F.lit("new\n")), folder, force=True)
+    assert (tmp_path / "pages" / "b2-de.html").read_text() == "new\n" and (tmp_path / "pages" / "b 1-ru.html").exists()
+    bad = pages.withColumn("html", F.udf(lambda x: 1 / 0, "string")("html"))
+    with pytest.raises(Exception):
+        publish.write_pages(bad, f"file://{tmp_path}/none")
+    assert not [p for p in (tmp_path / "none").rglob("*") if p.is_file()]

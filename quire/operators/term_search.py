@@ -1,7 +1,7 @@
 """Many terms looked for in many texts in one pass over each: Aho-Corasick automata over shards of the terms.
 
-Terms are dealt by hash to shards of about SHARD. Rows of texts and of terms meet
-by (shard, lane), terms first: a task builds the shard's automaton and lets the
+Terms are dealt by hash to shards of about SHARD. Texts and shards meet
+by (shard, lane), the shard first: a task builds the shard's automaton and lets the
 texts of its lane stream past. A text is read once for each shard, so a glossary
 of one shard costs one pass; neither the glossary nor a book's texts are gathered
 anywhere. What a book uses is a bitmap for each shard.
@@ -43,22 +43,22 @@ def _automaton(words: dict[str, list[int]]):
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, lane, place, low, exact, owner): terms have a place, texts an owner; a term is used if either of its words occurs."""
-    at, words, built = None, ({}, {}), None
+    """Rows (shard, lane, terms, low, exact, owner), the shard's terms first: a term is used if either of its words occurs."""
+    at, built = None, None
     for batch in batches:
         used: dict[tuple[int, int], set[int]] = {}
-        for k, (shard, lane, place, low, exact) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True)):
-            if (shard, lane) != at:
-                at, words, built = (shard, lane), ({}, {}), None
-            if place is not None:
-                words[0].setdefault(low, []).append(place)
-                words[1].setdefault(exact, []).append(place)
+        terms = batch.column(2)
+        for k, (shard, lane, low, exact) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 3, 4)), strict=True)):
+            if terms[k].is_valid:
+                words: tuple[dict, dict] = ({}, {})
+                for t in terms[k].as_py():
+                    words[0].setdefault(t["low"], []).append(t["place"])
+                    words[1].setdefault(t["exact"], []).append(t["place"])
+                at, built = (shard, lane), [_automaton(w) for w in words]
                 continue
-            if built is None:
-                built = [_automaton(w) for w in words]
             found = used.setdefault((shard, k), set())
-            for automaton, text in zip(built, (low, exact), strict=True):
-                if len(automaton) and text:
+            for automaton, text in zip(built if at == (shard, lane) else (), (low, exact), strict=False):
+                if text:
                     for _, places in automaton.iter(text):
                         found.update(places)
         rows = [k for _, k in used]
@@ -70,9 +70,12 @@ def used_terms(terms: DataFrame, texts: DataFrame, lanes: int) -> DataFrame:
     size = terms.agg(F.max("n_shards").alias("n_shards"))
     none = F.lit(None)
     lane = lambda n: F.greatest(F.lit(1), F.lit(lanes) / n).cast("int")
-    side = terms.select("shard", F.explode(F.sequence(F.lit(0), lane(F.col("n_shards")) - 1)).alias("lane"), "place", F.lower("english").alias("low"), F.col("russian").alias("exact"), none.cast(texts.schema["owner"].dataType).alias("owner"))
-    each = texts.crossJoin(F.broadcast(size)).select(F.explode(F.sequence(F.lit(0), F.col("n_shards") - 1)).alias("shard"), F.pmod(F.xxhash64("text"), lane(F.col("n_shards"))).cast("int").alias("lane"), none.cast("int").alias("place"), F.lower("text").alias("low"), F.col("text").alias("exact"), "owner")  # one row
-    met = side.unionByName(each).repartition("shard", "lane").sortWithinPartitions("shard", "lane", F.col("place").isNull())
+    kind, packed = texts.schema["owner"].dataType, "array<struct<place:int,low:string,exact:string>>"
+    # A shard is one row, bounded by the bitmap; it goes to every lane.
+    held = terms.groupBy("shard", "n_shards").agg(F.collect_list(F.struct("place", F.lower("english").alias("low"), F.col("russian").alias("exact"))).alias("terms"))
+    side = held.select("shard", F.explode(F.sequence(F.lit(0), lane(F.col("n_shards")) - 1)).alias("lane"), "terms", none.cast("string").alias("low"), none.cast("string").alias("exact"), none.cast(kind).alias("owner"))
+    each = texts.crossJoin(F.broadcast(size)).select(F.explode(F.sequence(F.lit(0), F.col("n_shards") - 1)).alias("shard"), F.pmod(F.xxhash64("text"), lane(F.col("n_shards"))).cast("int").alias("lane"), none.cast(packed).alias("terms"), F.lower("text").alias("low"), F.col("text").alias("exact"), "owner")  # one row
+    met = side.unionByName(each).repartition("shard", "lane").sortWithinPartitions("shard", "lane", F.col("terms").isNull())
     found = met.mapInArrow(_scan, f"owner {texts.schema['owner'].dataType.simpleString()}, shard int, places array<int>")
     return found.select("owner", "shard", F.explode_outer("places").alias("place")).groupBy("owner", "shard").agg(F.bitmap_construct_agg(F.coalesce("place", F.lit(0))).alias("used"), F.bool_or(F.col("place") == 0).alias("first"))
 

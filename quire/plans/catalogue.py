@@ -24,6 +24,7 @@ from quire.operators import render
 from quire.operators import review as R
 from quire.operators import state as L
 from quire.operators import translate as TR
+from quire.session import work_dir
 from quire.sources.books import BOOK, PART, book_view, numbered
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,15 +79,23 @@ def chunks(spark: SparkSession, sf: str) -> DataFrame:
     return numbered(table(spark, sf, "documents")).select("doc_id", *(F.expr(e).alias(c) for c, e in CHUNK_COLUMNS.items()))
 
 
-def translated(spark: SparkSession, sf: str) -> DataFrame:
-    ch = split(spark, sf)
+def written_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The split, written: what compares chapters reads it twice or more."""
+    path = work_dir(spark, "split")
+    split(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def translated(ch: DataFrame) -> DataFrame:
+    """The chapters' translations, edited by their place."""
     text = F.col("content")
     text = F.when(F.expr(TRANSLATED["drop_heading"]), F.regexp_replace(text, "(?md)^#+ ", "")).when(F.expr(TRANSLATED["drop_quotes"]), F.regexp_replace(text, "(?md)^> .*$", "")).when(F.expr(TRANSLATED["drop_images"]), F.regexp_replace(text, r"!\[[^\]]*\]\([^)]*\)", "")).otherwise(text)
     return ch.withColumn("content", text).where("chapter_pos % 5 <> 0")
 
 
 def both_texts(spark: SparkSession, sf: str) -> DataFrame:
-    return R.pairs(split(spark, sf), translated(spark, sf))
+    ch = written_split(spark, sf)
+    return R.pairs(ch, translated(ch))
 
 
 # ---- the same, in DuckDB -----------------------------------------------------

@@ -301,7 +301,8 @@ ri AS ({K._structural_sql()}
 
 
 def _issues(spark, sf):
-    return R.review(split(spark, sf), K.translated(spark, sf), chunks(spark, sf), K.item_terms(spark, sf))
+    ch = K.written_split(spark, sf)
+    return R.review(ch, K.translated(ch), chunks(spark, sf), K.item_terms(spark, sf))
 
 
 @query(f"WITH {_ISSUES} SELECT * FROM ri")

@@ -39,6 +39,32 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return hashed[new], np.searchsorted(owner[new], np.arange(len(n) + 1))
 
 
+#: Bins of a sketch, and what its values say by chance.
+BINS, CHANCE = 192, 1 / 15
+#: Deviations below the mean of two sets at the threshold that still pass.
+SLACK = 3.0
+
+
+def sketches(hashed: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """Of each set BINS bins by the hashes' size: one to fifteen for the bin's smallest hash, zero if it is empty; two bins a byte."""
+    owner = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+    bins = owner * BINS + ((hashed >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]]) if len(bins) else np.zeros(0, np.int64)
+    out = np.zeros((len(cut) - 1) * BINS, np.uint8)
+    out[bins[first]] = 1 + (mix(hashed[first]) % np.uint64(15)).astype(np.uint8)
+    return (out[0::2] << 4 | out[1::2]).reshape(len(cut) - 1, BINS // 2)
+
+
+def alike(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which of the sketches may be of sets as similar as the threshold: bins agree in too few cases only by more than SLACK deviations."""
+    low, high = others & 15, others >> 4
+    a, b = one & 15, one >> 4
+    some = ((low | a) > 0).sum(1) + ((high | b) > 0).sum(1)
+    same = ((low == a) & (a > 0)).sum(1) + ((high == b) & (b > 0)).sum(1)
+    p = THRESHOLD[0] / THRESHOLD[1] + (1 - THRESHOLD[0] / THRESHOLD[1]) * CHANCE
+    return same >= p * some - SLACK * np.sqrt(p * (1 - p) * some)
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     over, under = THRESHOLD
     for batch in slices(batches):

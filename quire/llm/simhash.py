@@ -42,9 +42,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import parts, saved, shared_dir, slices, text_of, utf8
+from ._common import binary, parts, saved, shared_dir, slices, text_of, utf8
 from ._vector import mix
-from .resemblance import THRESHOLD, fit, shingle_sets, verified
+from .resemblance import THRESHOLD, alike, fit, shingle_sets, sketches, verified
 
 SHINGLE = 4
 RADIUS = 4
@@ -284,7 +284,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ones = np.add.reduceat((mixed >> np.uint64(bit) & np.uint64(1)).astype(np.int32), cut[:-1][some]) if len(some) else np.zeros(0, np.int32)
                 mark[some] |= (2 * ones > size[some]).astype(np.uint64) << np.uint64(bit)
             marks.append(pa.array(mark.view(np.int64)))
-        yield pa.record_batch([batch.column(0), pa.array((total[cut[1:]] - total[cut[:-1]]).view(np.int64)), pa.array(size.astype(np.int64)), *marks], ["doc_id", "mark", "n", "f0", "f1"])
+        yield pa.record_batch([batch.column(0), pa.array((total[cut[1:]] - total[cut[:-1]]).view(np.int64)), pa.array(size.astype(np.int64)), *marks, binary([x.tobytes() for x in sketches(hashed, cut)])], ["doc_id", "mark", "n", "f0", "f1", "sketch"])
 
 
 def _plan(classes: int) -> tuple[int, int, int]:
@@ -307,12 +307,13 @@ def _samples(bits: int, samples: int) -> Column:
 
 
 def _search(radius: int):
-    """Candidates of each shard: (shard, tree, node, n, root, f0, f1), rows of one shard together."""
+    """Candidates of each shard: (shard, tree, node, n, root, f0, f1, sketch), rows of one shard together; their sketches agree as well."""
     over, under = THRESHOLD
 
     def flush(rows: list[tuple]) -> tuple[list[int], list[int]]:
         node, n, root = (np.array([r[k] for r in rows], np.int64) for k in (2, 3, 4))
         marks = np.array([r[5:7] for r in rows], np.int64).view(np.uint64)
+        held = np.frombuffer(b"".join(r[7] for r in rows), np.uint8).reshape(len(rows), -1)
         own = [k for k, r in enumerate(rows) if r[1]]
         tree = BKTree([int(marks[k, 0]) | int(marks[k, 1]) << 64 for k in own])
         a: list[int] = []
@@ -321,6 +322,7 @@ def _search(radius: int):
             k = own[at]
             who = who[root[who] != root[k]]
             who = who[under * np.minimum(n[who], n[k]) >= over * np.maximum(n[who], n[k])]
+            who = who[alike(held[k], held[who])]
             a += np.minimum(node[who], node[k]).tolist()
             b += np.maximum(node[who], node[k]).tolist()
         return a, b
@@ -347,8 +349,8 @@ def similar_documents(documents: DataFrame, id_column: str = "doc_id", text_colu
     spark = documents.sparkSession
     work = shared_dir(spark, "similar")
     docs = text_of(documents, id_column, text_column).where("doc_id is not null")
-    rows = saved(docs.mapInArrow(_measure, "doc_id long, mark long, n long, f0 long, f1 long"), f"{work}/marks")
-    classes = saved(rows.groupBy("mark").agg(F.min(F.struct("doc_id", "n", "f0", "f1")).alias("x")).select("mark", F.col("x.doc_id").alias("node"), "x.n", "x.f0", "x.f1"), f"{work}/classes")
+    rows = saved(docs.mapInArrow(_measure, "doc_id long, mark long, n long, f0 long, f1 long, sketch binary"), f"{work}/marks")
+    classes = saved(rows.groupBy("mark").agg(F.min(F.struct("doc_id", "n", "f0", "f1", "sketch")).alias("x")).select("mark", F.col("x.doc_id").alias("node"), "x.n", "x.f0", "x.f1", "x.sketch"), f"{work}/classes")
     bits, samples, radius = _plan(classes.count())
     keys = classes.select(_samples(bits, samples).alias("key"), "node", "n", "f0", "f1")
     hubs = keys.groupBy("key").agg(F.min(F.struct("node", "n", "f0", "f1")).alias("hub"), F.count("*").alias("size")).where("size > 1").drop("size")
@@ -371,7 +373,7 @@ def similar_documents(documents: DataFrame, id_column: str = "doc_id", text_colu
     # Trees of at most ``shard`` nodes, about; every node of the shard searches each of them.
     pieces = F.ceil(F.col("others") / shard).cast("int")
     dealt = mixed.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1))).withColumn("tree", F.col("tree") & (F.pmod(F.xxhash64("node"), pieces.cast("long")) == F.col("piece")))
-    dealt = dealt.select(F.xxhash64("key", "piece").alias("shard"), "tree", "node", "n", "root", "f0", "f1")
+    dealt = dealt.select(F.xxhash64("key", "piece").alias("shard"), "tree", "node", "n", "root", "f0", "f1").join(classes.select("node", "sketch"), "node").select("shard", "tree", "node", "n", "root", "f0", "f1", "sketch")
     found = dealt.repartition(parts(spark), "shard").sortWithinPartitions("shard").mapInArrow(_search(radius), "a long, b long")
     second = linked(saved(found.distinct(), f"{work}/more"), "second")
     roots = components(first.unionByName(second), f"{work}/all")

@@ -88,3 +88,28 @@ def test_near_dedup_takes_texts_of_similarity_from_0_8(spark, tmp_path):
 
 def test_registered():
     assert "pipeline" in queries.queries()
+
+
+def test_sketches_keep_similar_sets():
+    """Sets of similarity 0.8 agree in their sketches but for a few in thousands; those of 0.6 mostly don't."""
+    import numpy as np
+
+    from quire.llm import resemblance
+
+    rng = np.random.default_rng(3)
+
+    def share(similarity, size, n=400):
+        kept = 0
+        for _ in range(n):
+            common = -int(-2 * similarity * size // (1 + similarity))
+            own = rng.integers(0, 1 << 64, 2 * size - common, dtype=np.uint64)
+            pair = [np.sort(own[:size]), np.sort(own[size - common :])]
+            made = resemblance.sketches(np.concatenate(pair), np.array([0, size, 2 * size]))
+            kept += bool(resemblance.alike(made[0], made[1:])[0])
+        return kept / n
+
+    for size in (6, 40, 150, 3000):
+        assert share(0.8, size) >= 0.995 and share(1.0, size) == 1
+    assert share(0.6, 150) < 0.1 and share(0.6, 3000) < 0.1
+    empty = resemblance.sketches(np.zeros(0, np.uint64), np.array([0, 0, 0]))
+    assert resemblance.alike(empty[0], empty[1:])[0]

@@ -5,8 +5,9 @@ posting list for a trigram holds its places as differences in variable-length
 bytes. A search string is found where the lists of trigrams that cover it, moved
 by their offsets, meet: that is exact, so texts are not read again. For strings of
 one or two characters there are lists of a segment's texts, without places. A batch of strings is answered
-together: by joins on trigrams, then for each (segment, string) with all trigrams
-by intersection from the shortest list on.
+together: by joins on trigrams, then for each string in the segments with all of them
+by intersection from the shortest list on, in the task
+that the segment's lists go to.
 
 The search ignores case and white space around a string; an empty string is found
 everywhere. A null title or text is empty. Segments are bounded but for a single
@@ -79,10 +80,11 @@ def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner = np.repeat(np.arange(len(held)), np.diff(np.r_[starts, len(points)]))
         real, wide = points != END, points.astype(np.int64)
         keys, values = [], []
-        for key, ok in ((-1 - wide, real), (-(1 << 22) - (wide[:-1] << 21 | wide[1:]), real[:-1] & real[1:])):
-            own = np.unique(np.stack([key[ok], owner[: len(ok)][ok]]), axis=1) if ok.any() else np.zeros((2, 0), np.int64)
-            keys.append(own[0])
-            values.append(own[1])
+        # A text has a character at least, so a segment's texts are numbered in 20 bits.
+        for pair, ok, key in ((wide, real, lambda x: -1 - x), (wide[:-1] << 21 | wide[1:], real[:-1] & real[1:], lambda x: -(1 << 22) - x)):
+            own = np.unique(pair[ok] << 20 | owner[: len(ok)][ok])
+            keys.append(key(own >> 20))
+            values.append(own & (1 << 20) - 1)
         at = np.flatnonzero(real[:-2] & real[1:-1] & real[2:])
         gram = grams(points)[at]
         order = np.argsort(gram, kind="stable")
@@ -147,9 +149,12 @@ class Index:
         wanted = clean.where("text <> ''").mapInArrow(_wanted, f"query_id {kind}, place int, gram long, n_grams int")
         heads = self.postings.select("segment", "gram")
         all_there = wanted.join(heads, "gram").groupBy("query_id", "segment").agg(F.count("*").alias("found"), F.first("n_grams").alias("n_grams")).where("found = n_grams").select("query_id", "segment")
-        lists = all_there.join(wanted, "query_id").join(self.postings, ["segment", "gram"]).select("segment", "query_id", "place", "n", "places")
-        order = ("segment", "query_id")
-        met = lists.repartition(*order).sortWithinPartitions(*order, "n", "place").mapInArrow(_met, f"segment long, query_id {kind}, at array<int>")
+        # A list that is needed goes to its segment's task once, before the strings that may be in the segment.
+        needed = all_there.join(wanted, "query_id").select("segment", "gram").distinct()
+        lists = self.postings.join(needed, ["segment", "gram"], "left_semi").select("segment", "gram", "places")
+        parts = wanted.groupBy("query_id").agg(F.collect_list(F.struct("place", "gram")).alias("parts"))
+        met = lists.unionByName(all_there.join(parts, "query_id"), allowMissingColumns=True).select("segment", "gram", "places", "query_id", "parts")
+        met = met.repartition("segment").sortWithinPartitions("segment", F.col("gram").isNull()).mapInArrow(_met, f"segment long, query_id {kind}, at array<int>")
         found = met.join(self.texts, "segment").mapInArrow(_owners, f"query_id {kind}, id long")
         everywhere = clean.where("text = ''").select("query_id").crossJoin(self.texts.select(F.explode("ids").alias("id")))  # the result of an empty string
         return found.unionByName(everywhere).distinct()
@@ -172,25 +177,27 @@ def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Where all lists of a (segment, string) meet, from the shortest on; texts of a short string are told by -1 - their number."""
-    now, at = None, np.zeros(0, np.int64)
+    """Where all lists of a string meet in a segment, from the shortest on; texts of a short string are told by -1 - their number."""
+    now: int | None = None
+    lists: dict[int, bytes] = {}
     for batch in batches:
         done: list[tuple] = []
-        segment, query, place, _, lists = (batch.column(k) for k in range(5))
-        for s, q, p, raw in zip(segment.to_pylist(), query.to_pylist(), place.to_pylist(), lists.to_pylist(), strict=True):
-            if (s, q) == now and not len(at):
+        for segment, gram, raw, query, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if segment != now:
+                now, lists = segment, {}
+            if gram is not None:
+                lists[gram] = raw
                 continue
-            own = np.cumsum(unpack(raw))
-            own = -1 - own if p < 0 else own - p
-            if (s, q) == now:
-                at = np.intersect1d(at, own, assume_unique=True)
-                continue
-            if now is not None and len(at):
-                done.append((*now, at))
-            now, at = (s, q), own
-        yield _found(done, query.type)
-    if now is not None and len(at):
-        yield _found([(*now, at)], query.type)
+            at: np.ndarray | None = None
+            for part in sorted(parts, key=lambda p: len(lists[p["gram"]])):
+                own = np.cumsum(unpack(lists[part["gram"]]))
+                own = -1 - own if part["place"] < 0 else own - part["place"]
+                at = own if at is None else np.intersect1d(at, own, assume_unique=True)
+                if not len(at):
+                    break
+            if at is not None and len(at):
+                done.append((segment, query, at))
+        yield _found(done, batch.schema.field(3).type)
 
 
 def _found(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:

@@ -38,7 +38,7 @@ def answered_once(spark, sf):
     path, rows = work_dir(spark, "requests"), chunks(spark, sf)
     at = F.timestamp_seconds(F.lit(_EPOCH) + F.expr(_SECOND))
     asked = rows.select("doc_id", F.concat_ws("/", "book_id", "chunk_id").alias("key"), F.concat(F.expr(_FAILS).cast("string"), F.lit("|"), "content").alias("prompt"), at.alias("at"))
-    asked.unionByName(asked.where("doc_id % 3 = 0")).drop("doc_id").write.option("maxRecordsPerFile", 5000).parquet(f"{path}/log")
+    asked.unionByName(asked.where("doc_id % 3 = 0")).drop("doc_id").write.option("maxRecordsPerFile", 5000).option("compression", "zstd").parquet(f"{path}/log")
     tick = spark.range(1).select(F.lit(A.TICK).alias("key"), F.lit("").alias("prompt"), F.timestamp_seconds(F.lit(_EPOCH + 864_000)).alias("at"))
     tick.write.mode("append").parquet(f"{path}/log")
     A.start(spark, f"{path}/log", f"{path}/answers", f"{path}/checkpoint", lambda: _failing(), event_time=True, files=24, shards=8).awaitTermination()

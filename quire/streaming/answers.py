@@ -124,6 +124,9 @@ def start(spark: SparkSession, requests: str, answers: str, checkpoint: str, ask
     # The stores of an executor share one bounded cache and write buffer.
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
+    # What a batch changes is written, not the whole state each time.
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    own.conf.set("spark.sql.streaming.stateStore.compression.codec", "zstd")
     if shards:
         own.conf.set("spark.sql.shuffle.partitions", shards)
     stream = own.readStream.schema(REQUEST).option("maxFilesPerTrigger", files).parquet(requests)
@@ -132,7 +135,7 @@ def start(spark: SparkSession, requests: str, answers: str, checkpoint: str, ask
     asked = stream.groupBy("key").transformWithState(Asking(ask, policy, event_time), ANSWER, "append", "eventTime" if event_time else "processingTime")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{answers}/batch={batch_id}")
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{answers}/batch={batch_id}")
 
     when = {"availableNow": True} if event_time else {"processingTime": f"{max(500, policy.wait_ms // 2)} milliseconds"}
     return asked.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append").trigger(**when).start()

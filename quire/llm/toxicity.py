@@ -20,7 +20,8 @@ here), 3 the probabilities (all its rows), 2 is held out.
 
 Null texts are empty ones. An empty text, or one without a letter or digit, has
 the machine's bias as its margin. A null doc_id isn't held out and has no label;
-of labels that differ for one doc_id the larger counts, null ones don't. Rows are
+of labels that differ for one doc_id the larger counts, null ones don't; of unlike
+texts with one doc_id the smallest teaches. Rows are
 scored each by its own text, repeated ones too; other columns are not read. With
 no labels of both kinds every score is the share of toxic labels, or 0.
 """
@@ -276,7 +277,8 @@ def sample(documents: DataFrame, labels: DataFrame, path: str) -> DataFrame:
     n = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     share = F.lit(2.0**31) * F.when(F.col("toxic") == 1, TOXIC / max(n.get(1, 0), 1)).otherwise(CLEAN / max(n.get(0, 0), 1))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < share)
-    return documents.where(F.length("text").between(1, SAMPLE_CHARS)).join(F.broadcast(chosen), "doc_id")  # bounded by TOXIC + CLEAN
+    found = documents.where(F.length("text").between(1, SAMPLE_CHARS)).join(F.broadcast(chosen), "doc_id")  # bounded by TOXIC + CLEAN
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def _scorer(model: Model):

@@ -359,7 +359,7 @@ def similar_documents(documents: DataFrame, id_column: str = "doc_id", text_colu
     pairs = saved(met.where(apart <= radius).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), f"{work}/pairs")
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
-        named = saved(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{work}/named_{name}")
+        named = saved(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), f"{work}/named_{name}")
         texts = saved(docs.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id"]), f"{work}/texts_{name}")
         return saved(verified(pairs, texts), f"{work}/{name}")
 

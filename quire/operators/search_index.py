@@ -135,7 +135,7 @@ class Index:
         """Index the documents and write it to ``path``."""
         empty = F.lit("")
         rows = documents.select(F.col(id_column).cast("long").alias("id"), F.lower(F.concat(F.coalesce(title, empty), F.lit("\n"), F.coalesce(raw, empty))).alias("text"))
-        rows.mapInArrow(_indexed, f"{POSTINGS}, starts array<int>, ids array<long>").write.mode("overwrite").parquet(path)
+        rows.mapInArrow(_indexed, f"{POSTINGS}, starts array<int>, ids array<long>").write.mode("overwrite").option("compression", "zstd").parquet(path)
         return Index.load(documents.sparkSession, path)
 
     @staticmethod
@@ -153,9 +153,10 @@ class Index:
         needed = all_there.join(wanted, "query_id").select("segment", "gram").distinct()
         lists = self.postings.join(needed, ["segment", "gram"], "left_semi").select("segment", "gram", "places")
         parts = wanted.groupBy("query_id").agg(F.collect_list(F.struct("place", "gram")).alias("parts"))
-        met = lists.unionByName(all_there.join(parts, "query_id"), allowMissingColumns=True).select("segment", "gram", "places", "query_id", "parts")
-        met = met.repartition("segment").sortWithinPartitions("segment", F.col("gram").isNull()).mapInArrow(_met, f"segment long, query_id {kind}, at array<int>")
-        found = met.join(self.texts, "segment").mapInArrow(_owners, f"query_id {kind}, id long")
+        texts = self.texts.join(all_there.select("segment").distinct(), "segment", "left_semi")
+        met = lists.unionByName(texts, allowMissingColumns=True).unionByName(all_there.join(parts, "query_id"), allowMissingColumns=True)
+        met = met.select("segment", "gram", "places", "starts", "ids", "query_id", "parts").repartition("segment").sortWithinPartitions("segment", F.col("starts").isNull(), F.col("gram").isNull())
+        found = met.mapInArrow(_met, f"query_id {kind}, id long")
         everywhere = clean.where("text = ''").select("query_id").crossJoin(self.texts.select(F.explode("ids").alias("id")))  # the result of an empty string
         return found.unionByName(everywhere).distinct()
 
@@ -177,40 +178,36 @@ def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Where all lists of a string meet in a segment, from the shortest on; texts of a short string are told by -1 - their number."""
+    """The texts where all lists of a string meet. A segment's texts come first, then its lists, then the strings."""
     now: int | None = None
     lists: dict[int, bytes] = {}
+    starts, ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in batches:
-        done: list[tuple] = []
-        for segment, gram, raw, query, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        queries, found = [], []
+        columns = [batch.column(k) for k in range(7)]
+        for k, (segment, gram, query) in enumerate(zip(*(columns[c].to_pylist() for c in (0, 1, 5)), strict=True)):
             if segment != now:
                 now, lists = segment, {}
-            if gram is not None:
-                lists[gram] = raw
-                continue
-            at: np.ndarray | None = None
-            for part in sorted(parts, key=lambda p: len(lists[p["gram"]])):
-                own = np.cumsum(unpack(lists[part["gram"]]))
-                own = -1 - own if part["place"] < 0 else own - part["place"]
-                at = own if at is None else np.intersect1d(at, own, assume_unique=True)
-                if not len(at):
-                    break
-            if at is not None and len(at):
-                done.append((segment, query, at))
-        yield _found(done, batch.schema.field(3).type)
-
-
-def _found(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
-    return pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], kind), pa.array([r[2].astype(np.int32) for r in rows], pa.list_(pa.int32()))], ["segment", "query_id", "at"])
-
-
-def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The documents that hold the places: columns segment, query_id, at, starts, ids."""
-    for batch in batches:
-        queries, ids = [], []
-        for q, at, starts, own in zip(*(batch.column(k).to_pylist() for k in range(1, 5)), strict=True):
-            places = np.array(at, np.int64)
-            hit = np.unique(np.where(places < 0, -1 - places, np.searchsorted(starts, places, "right") - 1))
-            ids += [own[k] for k in hit.tolist()]
-            queries += [q] * len(hit)
-        yield pa.record_batch([pa.array(queries, batch.schema.field(1).type), pa.array(ids, pa.int64())], ["query_id", "id"])
+            if columns[3][k].is_valid:
+                starts, ids = np.array(columns[3][k].as_py(), np.int64), columns[4][k].as_py()
+            elif gram is not None:
+                lists[gram] = columns[2][k].as_py()
+            else:
+                hit = _places(columns[6][k].as_py(), lists, starts)
+                found += [ids[t] for t in hit.tolist()]
+                queries += [query] * len(hit)
+        yield pa.record_batch([pa.array(queries, batch.schema.field(5).type), pa.array(found, pa.int64())], ["query_id", "id"])
+
+
+def _places(parts: list[dict], lists: dict[int, bytes], starts: np.ndarray) -> np.ndarray:
+    """The numbers of the texts that hold a string, by its lists from the shortest on."""
+    at: np.ndarray | None = None
+    for part in sorted(parts, key=lambda p: len(lists[p["gram"]])):
+        own = np.cumsum(unpack(lists[part["gram"]]))
+        if part["place"] < 0:
+            return own
+        own = own - part["place"]
+        at = own if at is None else np.intersect1d(at, own, assume_unique=True)
+        if not len(at):
+            break
+    return np.unique(np.searchsorted(starts, at, "right") - 1)

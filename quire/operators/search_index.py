@@ -142,8 +142,8 @@ class Index:
     def load(spark, path: str) -> Index:
         return Index(spark.read.schema(f"{POSTINGS}, starts array<int>, ids array<long>").parquet(path))
 
-    def search(self, queries: DataFrame) -> DataFrame:
-        """(query_id, id) for queries (query_id, text): each document once that holds the string."""
+    def search(self, queries: DataFrame, every_row: bool = False) -> DataFrame:
+        """(query_id, id) for queries (query_id, text): each id once that has a text with the string, or once for each such text."""
         clean = queries.select("query_id", F.lower(py_strip(F.coalesce("text", F.lit("")))).alias("text"))
         kind = queries.schema["query_id"].dataType.simpleString()
         wanted = clean.where("text <> ''").mapInArrow(_wanted, f"query_id {kind}, place int, gram long, n_grams int")
@@ -158,7 +158,8 @@ class Index:
         met = met.select("segment", "gram", "places", "starts", "ids", "query_id", "parts").repartition("segment").sortWithinPartitions("segment", F.col("starts").isNull(), F.col("gram").isNull())
         found = met.mapInArrow(_met, f"query_id {kind}, id long")
         everywhere = clean.where("text = ''").select("query_id").crossJoin(self.texts.select(F.explode("ids").alias("id")))  # the result of an empty string
-        return found.unionByName(everywhere).distinct()
+        both = found.unionByName(everywhere)
+        return both if every_row else both.distinct()
 
 
 def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -60,3 +60,26 @@ def test_empty(spark, tmp_path):
     index = X.Index.build(spark.createDataFrame([(1, "a", "b")], "doc_id long, title string, raw string"), f"file://{tmp_path}/more")
     assert index.search(spark.createDataFrame([], "query_id long, text string")).count() == 0
     assert index.search(spark.range(1).select(F.lit(7).alias("query_id"), F.lit("A\nB").alias("text"))).collect()[0]["id"] == 1
+
+
+def test_query_agrees_with_sql_on_odd_rows(spark, tmp_path):
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    import quire.plans.texts  # noqa: F401  adds its queries
+    from quire.plans import catalogue
+
+    texts = ["Straße und Gruß an alle", "STRAẞE", "strasse", "İstanbul", "istanbul ΟΔΟΣ", None, "straße", "straße"]
+    rows = {
+        "documents": pa.table({"doc_id": pa.array([1, 2, 3, 4, 5, 6, 7, 7], pa.int64()), "source": ["s", "s", "s", "s", "s", "s", None, "s"], "text": texts}),
+        "part": pa.table({"p_partkey": pa.array([5, 6], pa.int64()), "p_name": ["gruß", None]}),
+        "benchmark": pa.table({"item_id": pa.array([0, 1, 4, 9], pa.int64()), "text": ["x" * 19 + "ße ", "x" * 20 + "raße", "x" * 23 + "ΟΔΟΣ", None]}),
+    }
+    con = duckdb.connect()
+    for name, table in rows.items():
+        pq.write_table(table, tmp_path / f"{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'").fetchall()
+    expected = con.execute(catalogue.ORACLES["search_index"]).fetchall()
+    assert any("ẞ" in r[0] for r in expected)
+    assert sorted(tuple(r) for r in catalogue.QUERIES["search_index"](spark, str(tmp_path)).collect()) == sorted(expected)

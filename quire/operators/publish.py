@@ -135,7 +135,8 @@ def embed_images(chapters: DataFrame, images: DataFrame, text: str = "raw", base
     ref = F.regexp_extract("whole", r"\]\(([^)]+)\)$", 1)
     candidates = F.array(F.concat(F.lit(f"{base}/"), ref), ref, F.concat(F.lit("source/"), ref), F.concat(F.lit("source/images/"), F.element_at(F.split(ref, "/"), -1)))
     wanted = found.where(~ref.rlike(EXTERNAL)).select(*keys, "whole", F.posexplode(candidates).alias("rank", "path"))
-    best = wanted.join(images.select("book_id", "path", "content"), ["book_id", "path"]).groupBy(*keys, "whole").agg(F.min_by(F.struct("path", "content"), "rank").alias("i"))
+    # Of the images nothing is collected: a listing made by explode looks small to the planner and would be broadcast.
+    best = wanted.hint("shuffle_hash").join(images.select("book_id", "path", "content"), ["book_id", "path"]).groupBy(*keys, "whole").agg(F.min_by(F.struct("path", "content"), "rank").alias("i"))
     new = F.concat(F.regexp_extract("whole", r"^(!\[[^\]]*\]\()", 1), data_uri(F.col("i.content"), mime_of("i.path")), F.lit(")"))
     swaps = best.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("whole", new.alias("new")))).alias("swaps"))
     joined = chapters.join(swaps, keys, "left")

@@ -378,7 +378,7 @@ _HAS = "regexp_matches(x, '[02468][.]png$')"
 SELECT book_id, CAST(chapter_pos AS INT) AS chapter_pos, md5(list_reduce(list_prepend(content, refs), lambda a, x: replace(a, '](' || x || ')', '](data:image/png;base64,' || to_base64(encode(book_id || '/' || regexp_extract(x, '[^/]+$'))) || ')'))) AS digest FROM r""")
 def embed_images(spark, sf):
     """Figures of even number have an image file, in the source's folder."""
-    chapters = P.published(split(spark, sf))
+    chapters = P.published(K.written_split(spark, sf))
     name = F.concat(F.lit("f"), "n", F.lit(".png"))
     images = books(spark, sf).select("book_id", F.explode(F.sequence(F.lit(0), F.lit(S.BOOK_IDS), F.lit(2))).alias("n")).select("book_id", F.concat(F.lit("source/images/"), name).alias("path"), F.encode(F.concat("book_id", F.lit("/"), name), "UTF-8").alias("content"))
     return P.embed_images(chapters, images).select("book_id", "chapter_pos", F.md5("raw").alias("digest"))

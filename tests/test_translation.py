@@ -187,6 +187,16 @@ def test_embedded_images(spark):
     assert out == {1: "![a](data:image/png;base64,aW1n) ![b](http://x/y.png) ![c](none.png)", 2: "plain"}
 
 
+def test_images_are_not_broadcast(spark):
+    n = F.explode(F.sequence(F.lit(0), F.lit(500)))
+    images = spark.range(1).groupBy("id").count().select(n.alias("n")).selectExpr("'b' AS book_id", "concat('source/images/f', n, '.png') AS path", "encode(CAST(n AS STRING), 'UTF-8') AS content")
+    rows = spark.createDataFrame([("b", k, f"![x](images/f{k}.png)") for k in range(9)], "book_id string, chapter_pos int, raw string")
+    found = P.embed_images(rows, images)
+    assert all("base64" in r["raw"] for r in found.collect())
+    joins = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line and "path#" in line]
+    assert joins and not any("Broadcast" in line for line in joins)
+
+
 def test_page(spark):
     rows = spark.createDataFrame([("b", 1, "01_chapter", "One", "</script> & text")], "book_id string, chapter_pos int, chapter_id string, title string, content string")
     meta = spark.createDataFrame([("b", "T & t", "Au", "en", "ru", ("@me",))], "book_id string, title string, author string, source_language string, target_language string, translator struct<contact: string>")

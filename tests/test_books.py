@@ -172,3 +172,12 @@ def test_counts_and_writes(spark, tmp_path):
         H.write_chunks(chunks, f"file://{tmp_path}/c")
     H.write_chunks(chunks, f"file://{tmp_path}/c", force=True)
     assert spark.read.parquet(f"file://{tmp_path}/c").count() == 1
+
+
+def test_texts_go_to_python_in_bounded_batches(spark):
+    from quire.operators import positions, render
+
+    rows = spark.createDataFrame([("b", 1, "01", 1, "# A\n\ntext")], "book_id string, chapter_pos int, chapter_id string, start_line int, content string")
+    for found in (H.chunk(rows), B.markdown_blocks(rows), positions.chunk_lines(rows), rows.select(render.markdown_to_html("content"))):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Inside a character class: what Python's str.isspace() accepts.
 SPACE = r"\s\x0B\x1C-\x1F\x85\p{Z}"
+#: The same characters one by one.
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 WORD_CHAR = r"[\p{L}\p{N}_]"
 #: Line ends of str.splitlines().
 LINE_END = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
@@ -34,11 +36,11 @@ def let(value: Column, use) -> Column:
 
 def py_strip(x: Column | str) -> Column:
     """str.strip()."""
-    return F.regexp_replace(_c(x), rf"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(_c(x), F.lit(SPACES))
 
 
 def py_rstrip(x: Column | str) -> Column:
-    return F.regexp_replace(_c(x), rf"[{SPACE}]+$", "")
+    return F.rtrim(_c(x), F.lit(SPACES))
 
 
 def collapse(x: Column | str) -> Column:

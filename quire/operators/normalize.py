@@ -43,7 +43,7 @@ def header_footer_patterns(md: Column, min_repetitions: int = 3, protect_code: b
         return F.array_distinct(F.filter(pairs, lambda x: x.isNotNull()))
 
     def found(usable: Column) -> Column:
-        return let(let(F.array_sort(usable), repeated), lambda r: F.array_intersect(usable, r))
+        return let(let(F.sort_array(usable), repeated), lambda r: F.array_intersect(usable, r))
 
     stripped = F.transform(lines(md), py_strip)
     return let(F.filter(stripped, lambda x: (x != "") & (F.length(x) < 80) & ~x.startswith("#") & (~x.rlike("^(```|~~~)") if protect_code else F.lit(True))), found)

@@ -75,3 +75,10 @@ def test_sql_functions(spark):
     assert set(T.register(spark)) >= {"py_strip", "slugify"}
     row = spark.sql("SELECT py_strip('  a '), collapse_ws(' a   b '), word_count_re('a b'), slugify('A b'), contact_href('@x')").first()
     assert tuple(row) == ("a", "a b", 2, "a-b", "https://t.me/x")
+
+
+def test_strip_takes_what_python_takes(spark):
+    for c in map(chr, (*range(1, 0x250), 0x1680, 0x180E, *range(0x2000, 0x2070), 0x3000, 0xFEFF)):
+        assert (c in T.SPACES) == c.isspace()
+    held = spark.createDataFrame([(f"{c}a{c}b{c}",) for c in T.SPACES], "v string")
+    assert all(r["s"] == r["v"].strip() and r["r"] == r["v"].rstrip() for r in held.select("v", T.py_strip("v").alias("s"), T.py_rstrip("v").alias("r")).collect())

@@ -116,5 +116,5 @@ def chapter_counts(chapters: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def write_chunks(chunks: DataFrame, path: str, force: bool = False) -> None:
-    """One partition per book and chapter; an existing table is refused unless forced, then only the books at hand are replaced."""
-    chunks.write.mode("overwrite" if force else "errorifexists").option("partitionOverwriteMode", "dynamic").partitionBy("book_id", "chapter_id").parquet(path)
+    """A partition per book, since the driver moves and lists each; an existing table is refused unless forced, then only the books at hand are replaced, and whole."""
+    chunks.write.mode("overwrite" if force else "errorifexists").option("partitionOverwriteMode", "dynamic").partitionBy("book_id").parquet(path)

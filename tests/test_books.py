@@ -181,3 +181,11 @@ def test_texts_go_to_python_in_bounded_batches(spark):
     for found in (H.chunk(rows), B.markdown_blocks(rows), positions.chunk_lines(rows), rows.select(render.markdown_to_html("content"))):
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+
+
+def test_a_book_is_replaced_whole(spark, tmp_path):
+    rows = spark.createDataFrame([(b, c, 1, f"{b} {c}") for b in ("a", "b") for c in ("01", "02")], "book_id string, chapter_id string, sequence int, content string")
+    H.write_chunks(rows, f"file://{tmp_path}/c")
+    assert len(list(tmp_path.glob("c/*/*.parquet"))) >= 2 and not list(tmp_path.glob("c/*/chapter_id=*"))
+    H.write_chunks(rows.where("book_id = 'a' AND chapter_id = '01'"), f"file://{tmp_path}/c", force=True)
+    assert sorted(r["content"] for r in spark.read.parquet(f"file://{tmp_path}/c").collect()) == ["a 01", "b 01", "b 02"]

@@ -47,8 +47,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     at, built = None, None
     for batch in batches:
         used: dict[tuple[int, int], set[int]] = {}
-        terms = batch.column(2)
-        for k, (shard, lane, low, exact) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 3, 4)), strict=True)):
+        terms, texts = batch.column(2), (batch.column(3), batch.column(4))
+        for k, (shard, lane) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1)), strict=True)):
             if terms[k].is_valid:
                 words: tuple[dict, dict] = ({}, {})
                 for t in terms[k].as_py():
@@ -57,8 +57,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at, built = (shard, lane), [_automaton(w) for w in words]
                 continue
             found = used.setdefault((shard, k), set())
-            for automaton, text in zip(built if at == (shard, lane) else (), (low, exact), strict=False):
-                if text:
+            for automaton, column in zip(built if at == (shard, lane) else (), texts, strict=False):
+                if text := column[k].as_py():  # one text at a time: a batch may hold 64 MB of them
                     for _, places in automaton.iter(text):
                         found.update(places)
         rows = [k for _, k in used]

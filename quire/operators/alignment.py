@@ -13,12 +13,10 @@ has none. Every row of pairs is aligned for itself.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from quire.functions.text import py_strip
 
@@ -98,25 +96,23 @@ def align(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return out
 
 
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The last two columns are the lengths; in their place come the steps, with where they begin, from one."""
-    kind = pa.list_(pa.struct([(c, pa.int32()) for c in "nimj"]))
-    for batch in batches:
-        last, found = batch.num_columns - 2, []
-        for a, b in zip(batch.column(last).to_pylist(), batch.column(last + 1).to_pylist(), strict=True):
-            i, j, steps = 1, 1, []
-            for n, m in align(a, b):
-                steps.append({"n": n, "i": i, "m": m, "j": j})
-                i, j = i + n, j + m
-            found.append(steps)
-        yield pa.record_batch([*(batch.column(k) for k in range(last)), pa.array(found, kind)], [*(batch.schema.field(k).name for k in range(last)), "steps"])
+STEP = ArrayType(StructType().add("n", "integer").add("i", "integer").add("m", "integer").add("j", "integer"))
+
+
+@F.udf(STEP, useArrow=False)
+def _aligned(a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
+    """The steps, with where they begin, from one. Python gets the lengths alone, the texts stay with Spark."""
+    i, j, steps = 1, 1, []
+    for n, m in align(a, b):
+        steps.append((n, i, m, j))
+        i, j = i + n, j + m
+    return steps
 
 
 def side_by_side(pairs: DataFrame, keys: tuple[str, ...] = ("book_id", "chapter_pos"), source: str = "source", translated: str = "translated") -> DataFrame:
     """(keys, step, n, m, source_text, translated_text): the rows of the view in order, for each row of ``pairs``."""
     texts = pairs.select(*keys, paragraphs(F.col(source)).alias("a"), paragraphs(F.col(translated)).alias("b"))
-    lengths = texts.select(*keys, "a", "b", F.transform("a", F.length).alias("la"), F.transform("b", F.length).alias("lb"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema)
-    rows = lengths.mapInArrow(_aligned, f"{kinds}, steps array<struct<n:int,i:int,m:int,j:int>>").select(*keys, "a", "b", F.posexplode("steps").alias("step", "s"))
+    steps = texts.select(*keys, "a", "b", _aligned(F.transform("a", F.length), F.transform("b", F.length)).alias("steps"))
+    rows = steps.select(*keys, "a", "b", F.posexplode("steps").alias("step", "s"))
     cut = lambda of, begin, count: F.array_join(F.slice(of, F.col(begin), F.col(count)), "\n\n")
     return rows.select(*keys, "step", "s.n", "s.m", cut("a", "s.i", "s.n").alias("source_text"), cut("b", "s.j", "s.m").alias("translated_text"))

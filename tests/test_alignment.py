@@ -66,3 +66,9 @@ def test_side_by_side(spark):
     assert sorted(by[1]) == sorted([(1, 1, "One.", "Eins."), (1, 1, "Two is longer.", "Zwei ist laenger."), (1, 1, "Three.", "Drei."), (1, 1, "again", "again")])
     assert by[2] == [(2, 1, "x" * 90 + "\n\n" + "y" * 80, "z" * 172)]
     assert by[3] == [(1, 0, "only", "")] and by[4] == [(0, 1, "", "only")] and 5 not in by
+
+
+def test_python_gets_lengths_alone(spark):
+    pairs = spark.createDataFrame([("b", 1, "one\n\ntwo", "uno\n\ndos")], "book_id string, chapter_pos int, source string, translated string")
+    plan = A.side_by_side(pairs)._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython [_aligned(" in plan and "Arrow" not in plan

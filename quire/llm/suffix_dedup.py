@@ -7,8 +7,10 @@ equal windows agree in the key and in the ``half`` bytes on its left, or in thos
 on its right. Blocks are dealt by (key, side, hash of those bytes). What stands
 alone there cannot be repeated and goes no further. Blocks that occur twice in
 whole are repeated in whole; one copy of each of them, and all others, are dealt
-to shards of a bounded size, and each shard gets a generalised suffix array by
-linear grouping construction (``suffix_array``):
+to shards of a bounded size. Bunches of few blocks that stand in one stretch of
+a row go to one shard, where blocks of a row that share bytes are one text; blocks
+alone would bring each byte some five times. Each shard gets a generalised suffix
+array by linear grouping construction (``suffix_array``):
 
 * groups of suffixes with one Lyndon prefix are processed in descending order;
   previous-smaller pointers tell which earlier suffixes a group extends;
@@ -38,16 +40,16 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import binary, on_row, rows_of, saved, shared_dir, slices, utf8
+from ._common import binary, discard, on_row, rows_of, saved, shared_dir, slices, utf8
 from ._repeats import blocks, merged
-from ._vector import mix, separators, span_hash
+from ._vector import Spans, mix, separators, span_hash
 
 WIDTH = 400
 #: Width of the strings that n_shared counts: fifty words, and short ones, of most languages.
@@ -57,6 +59,9 @@ GRAM = 32
 REACH = 32
 SHARD_BYTES = 1 << 20
 HOT = 1500
+#: Bunches of at most so many blocks go to a shard by the stretch of a row they stand in.
+FEW = 64
+STRETCH = 1 << 11
 _SPACE = separators("space")
 
 
@@ -69,7 +74,8 @@ def suffix_array(symbols: list[int]) -> list[int]:
     values = np.asarray([*symbols, -1], np.int64)
     order = np.argsort(values, kind="stable")
     cut = np.flatnonzero(np.append(True, np.diff(values[order]) != 0))
-    members: list[list[int]] = [x.tolist() for x in np.split(order, cut[1:])]
+    listed, edges = order.tolist(), [*cut.tolist(), n + 1]
+    members: list[list[int]] = [listed[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
     length = [1] * len(members)  # of the prefix that a group's suffixes share
     under = list(range(-1, len(members) - 1))  # the next lower group
     above = [*range(1, len(members)), -1]
@@ -155,8 +161,11 @@ def _boundaries(buf: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return np.flatnonzero(at)
 
 
-def repeated_windows(texts: list[bytes], width: int = WIDTH, owners: np.ndarray | None = None) -> list[np.ndarray]:
-    """For every text the starts of windows that also start elsewhere in these texts, with ``owners`` in a text of another owner."""
+def repeated_windows(texts: list[bytes], width: int = WIDTH, owners: np.ndarray | None = None, wanted: np.ndarray | None = None) -> list[np.ndarray]:
+    """For every text the starts of windows that also start elsewhere in these texts, with ``owners`` in a text of another owner.
+
+    ``wanted`` marks the bytes of all texts, end to end, at which a window may start.
+    """
     need = width - 2 * REACH - 1  # of common prefix at a window's first usable boundary, at least
     size = np.array([len(t) for t in texts], np.int64)
     stop = np.cumsum(size)
@@ -184,31 +193,30 @@ def repeated_windows(texts: list[bytes], width: int = WIDTH, owners: np.ndarray
     suffixes = position[np.asarray(suffix_array(np.insert(symbol[own], gap, 0).tolist()), np.int64)]
     suffixes = suffixes[suffixes >= 0]
     limit = stop[np.searchsorted(stop, suffixes, "right")]
-    common = _common_prefix(buf, suffixes, limit, width)  # with the suffix before it; 0 for the first
-    near = np.maximum(common, np.append(common[1:], 0)) >= need
+    span = Spans(buf).alike
+    common = _common_prefix(span, suffixes, limit, need, width)  # with the suffix before it; 0 for the first
+    near = np.flatnonzero(np.maximum(common, np.append(common[1:], 0)) >= need)
     before = np.zeros(len(buf) + 1, np.int64)
     before[starts[1:]] = np.where(owner[1:] == owner[:-1], starts[1:] - starts[:-1], 0)
-    reach, begins = before[suffixes], (stop - size)[np.searchsorted(stop, suffixes, "right")]
+    text = np.searchsorted(stop, suffixes[near], "right")
+    reach, begins, room = before[suffixes[near]], suffixes[near] - (stop - size)[text], limit[near] - suffixes[near]
     hits = []
     for d in range(REACH, 2 * REACH + 2):
         rest = width - d
-        own = np.flatnonzero(near & (suffixes - d >= begins) & (suffixes + rest <= limit) & (d < REACH + reach))
+        own = np.flatnonzero((begins >= d) & (room >= rest) & (reach > d - REACH))
+        if wanted is not None:
+            own = own[wanted[suffixes[near[own]] - d]]
         if not len(own):
             continue
-        interval = np.cumsum(common < rest)[own]
-        at = suffixes[own] - d
-        key = mix(_span(buf, at, d)) + interval.astype(np.uint64)
-        if whose is None:
-            _, inverse, count = np.unique(mix(key), return_inverse=True, return_counts=True)
-            hits.append(at[count[inverse] > 1])
-        else:
-            mine = whose[np.searchsorted(stop, at, "right")]
-            order = np.lexsort((mine, mix(key)))
-            sorted_ = mix(key)[order]
-            first = np.append(0, np.flatnonzero(sorted_[1:] != sorted_[:-1]) + 1)
-            last = np.append(first[1:], len(order)) - 1
-            apart = mine[order[first]] != mine[order[last]]
-            hits.append(at[order[np.repeat(apart, last - first + 1)]])
+        interval = np.cumsum(common < rest)[near[own]]
+        at = suffixes[near[own]] - d
+        key = mix(mix(span(at, d)) + interval.astype(np.uint64))
+        order = np.argsort(key) if whose is None else np.lexsort((whose[text[own]], key))
+        sorted_ = key[order]
+        first = np.append(0, np.flatnonzero(sorted_[1:] != sorted_[:-1]) + 1)
+        last = np.append(first[1:], len(order)) - 1
+        again = first < last if whose is None else whose[text[own[order[first]]]] != whose[text[own[order[last]]]]
+        hits.append(at[order[np.repeat(again, last - first + 1)]])
     found = np.sort(np.concatenate(hits)) if hits else np.zeros(0, np.int64)
     cuts = np.searchsorted(found, np.append(stop - size, len(buf)))
     return [found[a:b] - base for a, b, base in zip(cuts[:-1], cuts[1:], stop - size, strict=True)]
@@ -256,32 +264,23 @@ def _possible(symbol: np.ndarray, size: np.ndarray, owner: np.ndarray, width: in
         keep = now
 
 
-def _span(buf: np.ndarray, at: np.ndarray, size: int | np.ndarray) -> np.ndarray:
-    order = np.argsort(at, kind="stable")
-    out = np.empty(len(at), np.uint64)
-    ends = at + size
-    out[order] = span_hash(buf, at[order], ends[order])
-    return out
-
-
-def _common_prefix(buf: np.ndarray, suffixes: np.ndarray, limit: np.ndarray, most: int) -> np.ndarray:
-    """Length of the common prefix, up to ``most`` bytes, of each suffix with the one before it."""
+def _common_prefix(span: Callable[..., np.ndarray], suffixes: np.ndarray, limit: np.ndarray, least: int, most: int) -> np.ndarray:
+    """Length of the common prefix, up to ``most`` bytes, of each suffix with the one before it; 0 if under ``least``."""
     out = np.zeros(len(suffixes), np.int64)
-    if len(suffixes) < 2:
-        return out
-    one, two = suffixes[:-1], suffixes[1:]
-    low = np.zeros(len(one), np.int64)
-    high = np.minimum(most, np.minimum(limit[:-1] - one, limit[1:] - two))
-    high[buf[one] != buf[two]] = 0
+    room = np.minimum(most, limit - suffixes)
+    own = 1 + np.flatnonzero(np.minimum(room[1:], room[:-1]) >= least)
+    own = own[span(suffixes[own - 1], least) == span(suffixes[own], least)]
+    one, two = suffixes[own - 1], suffixes[own]
+    low, high = np.full(len(own), least), np.minimum(room[own], room[own - 1])
     while True:
         open_ = np.flatnonzero(low < high)
         if not len(open_):
             break
         middle = (low[open_] + high[open_] + 1) // 2
-        same = _span(buf, one[open_], middle) == _span(buf, two[open_], middle)
+        same = span(one[open_], middle) == span(two[open_], middle)
         low[open_[same]] = middle[same]
         high[open_[~same]] = middle[~same] - 1
-    out[1:] = low
+    out[own] = low
     return out
 
 
@@ -291,6 +290,7 @@ def _find(width: int, gram: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             buf, offsets = utf8(batch.column(1))
+            out, names = [], []
             for found in blocks(buf, offsets, width, gram):
                 sides = []
                 for low, high, whole in (
@@ -299,13 +299,22 @@ def _find(width: int, gram: int):
                 ):
                     own = np.flatnonzero(whole)
                     side = np.zeros(len(whole), np.int64)
-                    side[own] = _span(buf, low[own], gram + half).view(np.int64) >> 32
+                    side[own] = found.spans.hash(low[own] - found.low, gram + half).view(np.int64) >> 32
                     sides.append(pa.array(side.astype(np.int32), mask=~whole))
                 rows = pa.array(found.doc)
-                yield pa.record_batch(
-                    [batch.column(0).take(rows), batch.column(2).take(rows), pa.array(found.at, pa.int64()), pa.array(found.size, pa.int32()), pa.array(found.gram - found.start, pa.int32()), pa.array(found.key.view(np.int64)), pa.array(found.content.view(np.int64)), *sides],
-                    ["doc_id", "row", "at", "size", "gram", "key", "content", "left", "right"],
-                )
+                out.append([batch.column(0).take(rows), batch.column(2).take(rows), pa.array(found.at, pa.int64()), pa.array(found.size, pa.int32()), pa.array(found.gram - found.start, pa.int32()), pa.array(found.key.view(np.int64)), pa.array(found.content.view(np.int64)), *sides])
+                names.append((found.doc, found.content))
+            if not out:
+                continue
+            # Blocks that their own row holds again.
+            doc, content = (np.concatenate(x) for x in zip(*names, strict=True))
+            order = np.lexsort((content, doc))
+            same = (doc[order][1:] == doc[order][:-1]) & (content[order][1:] == content[order][:-1])
+            within = np.zeros(len(doc), bool)
+            within[order[1:][same]] = within[order[:-1][same]] = True
+            ends = np.cumsum([len(d) for d, _ in names])
+            for columns, end in zip(out, ends.tolist(), strict=True):
+                yield pa.record_batch([*columns, pa.array(within[end - len(columns[0]) : end])], ["doc_id", "row", "at", "size", "gram", "key", "content", "left", "right", "within"])
 
     return task
 
@@ -335,15 +344,55 @@ def _cut(width: int):
 RANGES = "doc_id long, row long, low long, high long"
 
 
+def _runs(table: pa.Table, width: int, apart: bool) -> tuple[list[bytes], np.ndarray, list[int], np.ndarray]:
+    """Blocks of one row (with ``apart`` of one owner) that share bytes as one text.
+
+    Gives the texts, the bytes at which their blocks' windows start, a block of
+    each (one that stands once, if there is any), and where the texts begin in their rows.
+    """
+    place, size, row, owner, once = (table[c].to_numpy() for c in ("place", "size", "row", "owner", "once"))
+    ids = table["doc_id"].fill_null(0).to_numpy()
+    order = np.lexsort((place, owner, row, ids) if apart else (place, row, ids))
+    keys = [k[order] for k in ((row, owner, ids) if apart else (row, ids))]
+    begin = place[order]
+    end = begin + size[order] + width - 1
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    group = np.cumsum(new) - 1
+    head = np.flatnonzero(new)
+    far = np.empty(len(order), np.int64)
+    for a, b in zip(head.tolist(), [*head[1:].tolist(), len(order)], strict=True):
+        far[a:b] = np.maximum.accumulate(end[a:b])
+    new[1:] |= (group[1:] == group[:-1]) & (begin[1:] >= far[:-1])
+    raw = table["bytes"].to_pylist()
+    cuts = [*np.flatnonzero(new).tolist(), len(order)]
+    texts, wanted, named = [], [], []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        pieces, to = [], int(begin[a])
+        for k in range(a, b):
+            if end[k] > to:
+                pieces.append(raw[order[k]][to - int(begin[k]) :])
+                to = int(end[k])
+        texts.append(b"".join(pieces))
+        starts = np.zeros(to - int(begin[a]) + 1, np.int64)
+        np.add.at(starts, begin[a:b] - begin[a], 1)
+        np.add.at(starts, begin[a:b] - begin[a] + size[order[a:b]], -1)
+        wanted.append(np.cumsum(starts[:-1]) > 0)
+        named.append(int(order[a + int(np.argmax(once[order[a:b]]))]))
+    return texts, np.concatenate(wanted), named, begin[cuts[:-1]]
+
+
 def _sort_shard(width: int, apart: bool):
     def task(table: pa.Table) -> pa.Table:
-        texts = [x.as_py() for x in table["bytes"]]
-        found = repeated_windows(texts, width, table["owner"].to_numpy() if apart else None)
+        texts, wanted, named, places = _runs(table, width, apart)
+        rows = np.array(named, np.int64)
+        found = repeated_windows(texts, width, table["owner"].to_numpy()[rows] if apart else None, wanted)
+        once = table["once"].to_numpy()[rows]
         at, low, high = [], [], []
-        for k, (place, once, starts) in enumerate(zip(table["place"].to_pylist(), table["once"].to_pylist(), found, strict=True)):
-            if once and len(starts):
+        for k, (place, starts) in enumerate(zip(places.tolist(), found, strict=True)):
+            if once[k] and len(starts):
                 a, b = merged(starts, starts + width)
-                at += [k] * len(a)
+                at += [named[k]] * len(a)
                 low += (a + place).tolist()
                 high += (b + place).tolist()
         rows = pa.array(at, pa.int64())
@@ -374,7 +423,7 @@ def covered_ranges(documents: DataFrame, id_column: str = "doc_id", text_column:
         raise ValueError(f"width must be over {3 * REACH} bytes")
     work = shared_dir(documents.sparkSession, "suffix")
     docs = rows_of(documents, id_column, text_column)
-    found = saved(docs.mapInArrow(_find(width, min(GRAM, width)), "doc_id long, row long, at long, size int, gram int, key long, content long, left int, right int"), f"{work}/blocks")
+    found = saved(docs.mapInArrow(_find(width, min(GRAM, width)), "doc_id long, row long, at long, size int, gram int, key long, content long, left int, right int, within boolean"), f"{work}/blocks")
     # One copy of each block, any (its columns are of one row). Its owner is its row, or 0 if several rows hold it.
     owner = F.when(F.min("row") == F.max("row"), F.min("row")).otherwise(0)
     copies = saved(
@@ -388,18 +437,28 @@ def covered_ranges(documents: DataFrame, id_column: str = "doc_id", text_column:
         F.when(F.col(c).isNotNull() & (n > 0), F.struct(F.xxhash64("key", F.lit(c), c).alias("bunch"), (F.col("at") + low).alias("place"), n.cast("int").alias("size")))
         for c, low, n in (("left", F.lit(0), F.least(cut, "size")), ("right", F.least(cut, "size"), F.col("size") - F.least(cut, "size")))
     ]
-    dealt = copies.select("owner", (~several).alias("once"), "doc_id", "row", F.explode(F.filter(F.array(*sides), lambda x: x.isNotNull())).alias("x")).select("owner", "once", "doc_id", "row", "x.*")
+
+    def deal(of: DataFrame, once: Column) -> DataFrame:
+        return of.select("owner", once.alias("once"), "doc_id", "row", F.explode(F.filter(F.array(*sides), lambda x: x.isNotNull())).alias("x")).select("owner", "once", "doc_id", "row", "x.*")
+
+    dealt = deal(copies, ~several)
     # Written before they are joined: a join of two plain exchanges can be split at a hot key.
     unlike = F.count("*").alias("unlike")
-    bunches = saved(dealt.groupBy("bunch").agg(unlike, F.max("once").alias("open")).where("unlike > 1 and open").drop("open"), f"{work}/unlike")
+    # Neighbouring bunches mostly have the same rows, so the least hash of their members' stretches takes them to one shard.
+    near = F.min(F.hash("row", F.floor(F.col("place") / STRETCH))).cast("long").alias("near")
+    unit = F.when(F.col("unlike") <= min(FEW, hot), F.col("near")).otherwise(F.col("bunch")).alias("unit")
+    bunches = saved(dealt.groupBy("bunch").agg(unlike, near, F.max("once").alias("open")).where("unlike > 1 and open").select("bunch", "unlike", unit), f"{work}/unlike")
     whole = (
         found.join(copies.where(several).select("key", "content").hint("shuffle_hash"), ["key", "content"])
         .select("doc_id", "row", F.col("at").alias("low"), (F.col("at") + F.col("size") + F.lit(width - 1)).alias("high"))
     )
+    if apart:  # other rows may share a part of a block that one row holds at several places
+        within = copies.where("copies > 1 and owner <> 0").select("key", "content", "owner", F.col("at").alias("first"))
+        dealt = dealt.unionByName(deal(found.where("within").join(within.hint("shuffle_hash"), ["key", "content"]).where("at <> first"), F.lit(True)))
     wanted = (
         dealt.join(bunches.hint("shuffle_hash"), "bunch")
         .groupBy("doc_id", "row")
-        .agg(F.collect_list(F.struct("place", "size", "bunch", "once", (F.col("unlike") > hot).alias("hot"), "owner")).alias("wanted"))
+        .agg(F.collect_list(F.struct("place", "size", F.col("unit").alias("bunch"), "once", (F.col("unlike") > hot).alias("hot"), "owner")).alias("wanted"))
     )
     texts = saved(on_row(docs, wanted, "inner").select("doc_id", "text", "row", "wanted").mapInArrow(_cut(width), CUT), f"{work}/texts")
     total = texts.where("not hot").agg(F.sum("size"), F.count("*")).first()
@@ -413,7 +472,9 @@ def covered_ranges(documents: DataFrame, id_column: str = "doc_id", text_column:
     again = F.min("owner") < F.max("owner") if apart else F.count("*") > 1
     again = saved(windows.groupBy("bunch", "window").agg(again.alias("again")).where("again").select("bunch", "window"), f"{work}/again")
     spread = windows.where("once").join(again, ["bunch", "window"]).select("doc_id", "row", F.col("at").alias("low"), (F.col("at") + F.lit(width)).alias("high"))
-    return saved(whole.unionByName(sorted_).unionByName(spread), f"{work}/ranges")
+    ranges = saved(whole.unionByName(sorted_).unionByName(spread), f"{work}/ranges")
+    discard(documents.sparkSession, *(f"{work}/{x}" for x in ("blocks", "copies", "unlike", "texts", "again")))
+    return ranges
 
 
 def _ranges(found: list | None) -> tuple[np.ndarray, np.ndarray]:

@@ -141,6 +141,12 @@ def start(spark: SparkSession, requests: str, answers: str, checkpoint: str, ask
     return asked.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append").trigger(**when).start()
 
 
+def shards_for(spark: SparkSession, least: int = 8) -> int:
+    """State partitions that keep all cores of the cluster busy to the end of a batch: a multiple of them, ``least`` at the fewest."""
+    cores = spark.sparkContext.defaultParallelism
+    return -(-least // cores) * cores
+
+
 def read(spark: SparkSession, answers: str) -> DataFrame:
     """The answers so far."""
     return spark.read.schema(f"{ANSWER}, batch int").parquet(answers).drop("batch")

@@ -2,10 +2,12 @@
 
 import os
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from quire.plans import texts
 from quire.plans.pipeline import Pipeline
 from quire.streaming import answers as A
 
@@ -126,3 +128,14 @@ def test_failed_ones_are_asked_for_again(spark, tmp_path):
     assert sum(calls(noted).values()) == 3  # a failure is an answer, too
     run = Pipeline(books, provider=Counting(noted), folder=root, policy=policy, retry_failed=True).run("translate")
     assert sum(calls(noted).values()) == 4 and {r["status"] for r in run.tables["translations"].collect()} == {"translated"}
+
+
+def test_state_has_a_partition_for_every_core(spark, monkeypatch):
+    cluster = lambda cores: SimpleNamespace(sparkContext=SimpleNamespace(defaultParallelism=cores))
+    assert [A.shards_for(cluster(n)) for n in (1, 3, 6, 8, 12, 100)] == [8, 9, 12, 8, 12, 100]
+    started = {}
+    monkeypatch.setattr(A, "shards_for", lambda _: 5)
+    monkeypatch.setattr(A, "start", lambda *_, **options: started.update(options) or SimpleNamespace(awaitTermination=lambda: None))
+    monkeypatch.setattr(A, "read", lambda *_: spark.createDataFrame([], A.ANSWER))
+    texts.answered_once(spark, "/root/testdata/sf0.001")
+    assert started["shards"] == 5

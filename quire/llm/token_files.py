@@ -46,8 +46,10 @@ BLOCK_IDS = 1 << 16
 FILE_BYTES = 32 << 20
 #: Distinct pieces of text in a generation of an encoder's cache.
 CACHE = 50_000
-#: Slots of the largest table of chunks, as a power of two.
-TABLE_BITS = 22
+#: Slots of a generation of chunks, as a power of two.
+TABLE_BITS = 20
+#: Texts, or pieces of them, that the tokenizer gets at once: it makes large objects of them.
+GROUP = 4096
 
 
 _BITS_16 = np.maximum(np.frexp(np.arange(1 << 16, dtype=float))[1], 1).astype(np.uint8)
@@ -196,8 +198,8 @@ class PieceEncoder:
         """Pieces that begin with their only white space go to the tokenizer in one text: each starts at a token with a space."""
         plain = [p for p in unseen if p[0] == " " and len(p) > 1]
         rest = [p for p in unseen if p[0] != " " or len(p) == 1]
-        groups = [plain[k : k + 4096] for k in range(0, len(plain), 4096)]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False), strict=True):
+        for group in (plain[k : k + GROUP] for k in range(0, len(plain), GROUP)):
+            (e,) = self.tokenizer.encode_batch_fast(["".join(group)], add_special_tokens=False)
             ids = np.array(e.ids, self.kind)
             at = np.flatnonzero(self.spaced[ids])
             if len(at) != len(group):
@@ -206,8 +208,9 @@ class PieceEncoder:
             raw, width = ids.tobytes(), self.kind.itemsize
             ends = np.append(at[1:], len(ids)) * width
             self.known.update(zip(group, [raw[x:y] for x, y in zip((at * width).tolist(), ends.tolist(), strict=True)], strict=True))
-        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.known[p] = np.array(e.ids, self.kind).tobytes()
+        for group in (rest[k : k + GROUP] for k in range(0, len(rest), GROUP)):
+            for p, e in zip(group, self.tokenizer.encode_batch_fast(group, add_special_tokens=False), strict=True):
+                self.known[p] = np.array(e.ids, self.kind).tobytes()
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
         """Ids of each text, packed as ``kind``, with ``end`` appended."""
@@ -251,18 +254,16 @@ class ChunkTable:
             open_, slot = open_[go], (slot[go] + 1) & int(self.mask)
         return out
 
-    def add(self, hashes: np.ndarray, pieces: list[bytes], heads: np.ndarray) -> None:
-        """Distinct hashes that aren't held, with their ids and what tells chunks of one hash apart."""
+    def add(self, hashes: np.ndarray, raw: np.ndarray, n: np.ndarray, heads: np.ndarray) -> None:
+        """Distinct hashes that aren't held, with their ids in a row, each one's number, and what tells chunks of one hash apart."""
         if self.held + len(hashes) > 0.8 * len(self.keys):
             own = np.flatnonzero(self.keys)
             keys, at, size, ids, used, held, before = self.keys[own], self.at[own], self.size[own], self.ids, self.used, self.held, self.heads[own]
             self._clear(int(np.ceil(np.log2((held + len(hashes)) / 0.45))))
             slot = self._place(keys)
             self.at[slot], self.size[slot], self.ids, self.used, self.held, self.heads[slot] = at, size, ids, used, held, before
-        raw = np.frombuffer(b"".join(pieces), self.kind)
-        n = np.array([len(p) for p in pieces]) // self.kind.itemsize
         if self.used + len(raw) > len(self.ids):
-            self.ids = np.append(self.ids[: self.used], np.zeros(max(len(raw), self.used), self.kind))
+            self.ids = np.append(self.ids[: self.used], np.zeros(max(len(raw), self.used // 4), self.kind))
         self.ids[self.used : self.used + len(raw)] = raw
         slot = self._place(hashes)
         self.at[slot], self.size[slot], self.heads[slot] = self.used + np.cumsum(n) - n, n, heads
@@ -297,12 +298,16 @@ _SUSPECT[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 class BatchEncoder:
     """Ids of the texts of an Arrow batch. Texts are cut before a space between other characters, where
-    the pattern has a boundary in any case; each distinct chunk is encoded once and then looked up."""
+    the pattern has a boundary in any case; each distinct chunk is encoded once and then looked up.
+
+    The chunks are held in two tables of a bounded size. When one is full, the other is dropped, and
+    what is still used is taken over from it into a new one, so the memory does not grow with the input."""
 
     def __init__(self, path: str):
         self.pieces = PieceEncoder(path)
         self.kind = self.pieces.kind
         self.table = ChunkTable(self.kind)
+        self.before = ChunkTable(self.kind)  # the generation that is dropped next
         self.special = [t.content.encode() for t in self.pieces.tokenizer.get_added_tokens_decoder().values()]
 
     def _odd(self, buf: np.ndarray, offsets: np.ndarray, raw: bytes) -> np.ndarray:
@@ -349,13 +354,21 @@ class BatchEncoder:
         unseen = np.flatnonzero(slot < 0)
         if len(unseen):
             new, first = np.unique(hashes[unseen], return_index=True)
-            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[unseen[first]].tolist(), ends[unseen[first]].tolist(), strict=True)]
-            if self.table.held + len(new) > 0.75 * (1 << TABLE_BITS):  # full: it starts anew from this batch
+            if self.table.held + len(new) > 0.75 * (1 << TABLE_BITS):
+                self.before, self.table = self.table, ChunkTable(self.kind)
                 new, first = np.unique(hashes, return_index=True)
                 unseen = np.arange(len(hashes))
-                texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-                self.table = ChunkTable(self.kind)
-            self.table.add(new, self.pieces.encode(texts, b""), heads[unseen[first]])
+            again = self.before.find(new)
+            old, first = again[again >= 0], unseen[first[again < 0]]
+            if len(old):
+                self.table.add(new[again >= 0], *self.before.gather(old), self.before.heads[old])
+            new = new[again < 0]
+            for k in range(0, len(new), 4 * GROUP):
+                own = first[k : k + 4 * GROUP]
+                texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[own].tolist(), ends[own].tolist(), strict=True)]
+                pieces = self.pieces.encode(texts, b"")
+                sizes = np.array([len(p) for p in pieces]) // self.kind.itemsize
+                self.table.add(new[k : k + 4 * GROUP], np.frombuffer(b"".join(pieces), self.kind), sizes, heads[own])
             slot = self.table.find(hashes)
         ids, n = self.table.gather(slot)
         flat, width = ids.tobytes(), self.kind.itemsize

@@ -25,11 +25,15 @@ of common prefixes has the same bytes before it.
 
 More than ``HOT`` unlike blocks that share a key and a side (over 200 bytes)
 would be one long task; their windows are grouped exactly by hash over all tasks
-instead.
+instead. Where two widths are asked for, the rows that hold such blocks are taken
+once more, for each width by itself: equal windows of a bunch stand in these rows.
 
 ``remove_repeated`` also reports ``n_shared``: bytes covered by a string of
 ``SHARED`` bytes that also starts in another row. It finds passages of some fifty
-words that are too short for the removal. It removes nothing.
+words that are too short for the removal. It removes nothing. Both are found in one
+pass: a repeated string begins with a repeated string of the shorter width, so the
+blocks are those of the shorter width, their contents go on as far as the longer
+strings that start in them, and one suffix array tells the windows of both widths.
 
 Defined results: a null text is empty; texts shorter than a window lose nothing;
 equal rows repeat each other (also under one doc_id) and get equal results, but
@@ -44,6 +48,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -166,16 +171,21 @@ def repeated_windows(texts: list[bytes], width: int = WIDTH, owners: np.ndarray
 
     ``wanted`` marks the bytes of all texts, end to end, at which a window may start.
     """
+    return repeated_of_widths(texts, [(width, owners)], wanted)[0]
+
+
+def repeated_of_widths(texts: list[bytes], asked: list[tuple[int, np.ndarray | None]], wanted: np.ndarray | None = None) -> list[list[np.ndarray]]:
+    """``repeated_windows`` for several (width, owners), by one suffix array."""
+    width, most = min(w for w, _ in asked), max(w for w, _ in asked)
     need = width - 2 * REACH - 1  # of common prefix at a window's first usable boundary, at least
     size = np.array([len(t) for t in texts], np.int64)
     stop = np.cumsum(size)
     buf = np.frombuffer(b"".join(texts), np.uint8)
     if len(buf) <= width:
-        return [np.zeros(0, np.int64) for _ in texts]
+        return [[np.zeros(0, np.int64) for _ in texts] for _ in asked]
     starts = _boundaries(buf, (stop - size)[size > 0])
     ends = np.append(starts[1:], len(buf))
     owner = np.searchsorted(stop, starts, "right")
-    whose = None if owners is None else np.asarray(owners, np.int64)
     # Symbols as ranks in byte order.
     raw = buf.tobytes()
     spelled = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
@@ -187,39 +197,44 @@ def repeated_windows(texts: list[bytes], width: int = WIDTH, owners: np.ndarray
     tail[1:] = keep[:-1] & ~keep[1:] & (owner[1:] == owner[:-1])
     own = np.flatnonzero(keep | tail)
     if not len(own):
-        return [np.zeros(0, np.int64) for _ in texts]
+        return [[np.zeros(0, np.int64) for _ in texts] for _ in asked]
     gap = np.flatnonzero((own[1:] != own[:-1] + 1) | (owner[own][1:] != owner[own][:-1]) | tail[own][:-1]) + 1
     position = np.insert(starts[own], gap, -1)
     suffixes = position[np.asarray(suffix_array(np.insert(symbol[own], gap, 0).tolist()), np.int64)]
     suffixes = suffixes[suffixes >= 0]
     limit = stop[np.searchsorted(stop, suffixes, "right")]
     span = Spans(buf).alike
-    common = _common_prefix(span, suffixes, limit, need, width)  # with the suffix before it; 0 for the first
-    near = np.flatnonzero(np.maximum(common, np.append(common[1:], 0)) >= need)
+    common = _common_prefix(span, suffixes, limit, need, most)  # with the suffix before it; 0 for the first
+    longest = np.maximum(common, np.append(common[1:], 0))
     before = np.zeros(len(buf) + 1, np.int64)
     before[starts[1:]] = np.where(owner[1:] == owner[:-1], starts[1:] - starts[:-1], 0)
-    text = np.searchsorted(stop, suffixes[near], "right")
-    reach, begins, room = before[suffixes[near]], suffixes[near] - (stop - size)[text], limit[near] - suffixes[near]
-    hits = []
-    for d in range(REACH, 2 * REACH + 2):
-        rest = width - d
-        own = np.flatnonzero((begins >= d) & (room >= rest) & (reach > d - REACH))
-        if wanted is not None:
-            own = own[wanted[suffixes[near[own]] - d]]
-        if not len(own):
-            continue
-        interval = np.cumsum(common < rest)[near[own]]
-        at = suffixes[near[own]] - d
-        key = mix(mix(span(at, d)) + interval.astype(np.uint64))
-        order = np.argsort(key) if whose is None else np.lexsort((whose[text[own]], key))
-        sorted_ = key[order]
-        first = np.append(0, np.flatnonzero(sorted_[1:] != sorted_[:-1]) + 1)
-        last = np.append(first[1:], len(order)) - 1
-        again = first < last if whose is None else whose[text[own[order[first]]]] != whose[text[own[order[last]]]]
-        hits.append(at[order[np.repeat(again, last - first + 1)]])
-    found = np.sort(np.concatenate(hits)) if hits else np.zeros(0, np.int64)
-    cuts = np.searchsorted(found, np.append(stop - size, len(buf)))
-    return [found[a:b] - base for a, b, base in zip(cuts[:-1], cuts[1:], stop - size, strict=True)]
+    out = []
+    for width, owners in asked:
+        whose = None if owners is None else np.asarray(owners, np.int64)
+        near = np.flatnonzero(longest >= width - 2 * REACH - 1)
+        text = np.searchsorted(stop, suffixes[near], "right")
+        reach, begins, room = before[suffixes[near]], suffixes[near] - (stop - size)[text], limit[near] - suffixes[near]
+        hits = []
+        for d in range(REACH, 2 * REACH + 2):
+            rest = width - d
+            own = np.flatnonzero((begins >= d) & (room >= rest) & (reach > d - REACH) & (longest[near] >= rest))
+            if wanted is not None:
+                own = own[wanted[suffixes[near[own]] - d]]
+            if not len(own):
+                continue
+            interval = np.cumsum(common < rest)[near[own]]
+            at = suffixes[near[own]] - d
+            key = mix(mix(span(at, d)) + interval.astype(np.uint64))
+            order = np.argsort(key) if whose is None else np.lexsort((whose[text[own]], key))
+            sorted_ = key[order]
+            first = np.append(0, np.flatnonzero(sorted_[1:] != sorted_[:-1]) + 1)
+            last = np.append(first[1:], len(order)) - 1
+            again = first < last if whose is None else whose[text[own[order[first]]]] != whose[text[own[order[last]]]]
+            hits.append(at[order[np.repeat(again, last - first + 1)]])
+        found = np.sort(np.concatenate(hits)) if hits else np.zeros(0, np.int64)
+        cuts = np.searchsorted(found, np.append(stop - size, len(buf)))
+        out.append([found[a:b] - base for a, b, base in zip(cuts[:-1], cuts[1:], stop - size, strict=True)])
+    return out
 
 
 def _possible(symbol: np.ndarray, size: np.ndarray, owner: np.ndarray, width: int) -> np.ndarray:
@@ -284,14 +299,14 @@ def _common_prefix(span: Callable[..., np.ndarray], suffixes: np.ndarray, limit:
     return out
 
 
-def _find(width: int, gram: int):
+def _find(width: int, gram: int, longer: int):
     half = (width - gram) // 2
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             buf, offsets = utf8(batch.column(1))
             out, names = [], []
-            for found in blocks(buf, offsets, width, gram):
+            for found in blocks(buf, offsets, width, gram, longer):
                 sides = []
                 for low, high, whole in (
                     (found.gram - half, found.gram + gram, found.gram - found.start >= half),
@@ -301,8 +316,8 @@ def _find(width: int, gram: int):
                     side = np.zeros(len(whole), np.int64)
                     side[own] = found.spans.hash(low[own] - found.low, gram + half).view(np.int64) >> 32
                     sides.append(pa.array(side.astype(np.int32), mask=~whole))
-                rows = pa.array(found.doc)
-                out.append([batch.column(0).take(rows), batch.column(2).take(rows), pa.array(found.at, pa.int64()), pa.array(found.size, pa.int32()), pa.array(found.gram - found.start, pa.int32()), pa.array(found.key.view(np.int64)), pa.array(found.content.view(np.int64)), *sides])
+                rows, wide = pa.array(found.doc), np.clip(offsets[found.doc + 1] - found.start - longer + 1, 0, found.size)
+                out.append([batch.column(0).take(rows), batch.column(2).take(rows), pa.array(found.at, pa.int64()), pa.array(found.size, pa.int32()), pa.array(wide, pa.int32()), pa.array(found.gram - found.start, pa.int32()), pa.array(found.key.view(np.int64)), pa.array(found.content.view(np.int64)), *sides])
                 names.append((found.doc, found.content))
             if not out:
                 continue
@@ -314,37 +329,44 @@ def _find(width: int, gram: int):
             within[order[1:][same]] = within[order[:-1][same]] = True
             ends = np.cumsum([len(d) for d, _ in names])
             for columns, end in zip(out, ends.tolist(), strict=True):
-                yield pa.record_batch([*columns, pa.array(within[end - len(columns[0]) : end])], ["doc_id", "row", "at", "size", "gram", "key", "content", "left", "right", "within"])
+                yield pa.record_batch([*columns, pa.array(within[end - len(columns[0]) : end])], ["doc_id", "row", "at", "size", "wide", "gram", "key", "content", "left", "right", "within"])
 
     return task
 
 
-_CUT = [("place", pa.int64()), ("size", pa.int32()), ("bunch", pa.int64()), ("once", pa.bool_()), ("hot", pa.bool_()), ("owner", pa.int64())]
+_CUT = ["place", "size", "bunch", "once", "hot", "owner"]
 CUT = "doc_id long, row long, place long, size int, bunch long, once boolean, hot boolean, owner long, bytes binary"
 
 
+def _listed(column: pa.Array) -> tuple[np.ndarray, list[pa.Array]]:
+    """The structs of a column of lists in a row: the row each stands in, and their fields."""
+    counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(column)), counts), column.flatten().flatten()
+
+
 def _cut(width: int):
-    """The bytes of the blocks that are wanted of each text."""
+    """The bytes of the blocks that are wanted of each text, as far as windows of ``width`` reach."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             buf, offsets = utf8(batch.column(1))
             raw = buf.tobytes()
-            of = [(d, w) for d, ws in enumerate(batch.column(3).to_pylist()) for w in ws]
-            rows = pa.array([d for d, _ in of], pa.int64())
-            base = offsets.tolist()
+            doc, fields = _listed(batch.column(3))
+            rows = pa.array(doc, pa.int64())
+            begin = offsets[doc] + fields[0].to_numpy()
+            end = np.minimum(begin + fields[1].to_numpy() + width - 1, offsets[doc + 1])
             yield pa.record_batch(
-                [batch.column(0).take(rows), batch.column(2).take(rows), *(pa.array([w[k] for _, w in of], t) for k, t in _CUT), binary([raw[base[d] + w["place"] : base[d] + w["place"] + w["size"] + width - 1] for d, w in of])],
-                ["doc_id", "row", *(k for k, _ in _CUT), "bytes"],
+                [batch.column(0).take(rows), batch.column(2).take(rows), *fields, binary([raw[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)])],
+                ["doc_id", "row", *_CUT, "bytes"],
             )
 
     return task
 
 
-RANGES = "doc_id long, row long, low long, high long"
+RANGES = "doc_id long, row long, low long, high long, longer boolean"
 
 
-def _runs(table: pa.Table, width: int, apart: bool) -> tuple[list[bytes], np.ndarray, list[int], np.ndarray]:
+def _runs(table: pa.Table, apart: bool) -> tuple[list[bytes], np.ndarray, list[int], np.ndarray]:
     """Blocks of one row (with ``apart`` of one owner) that share bytes as one text.
 
     Gives the texts, the bytes at which their blocks' windows start, a block of
@@ -355,7 +377,7 @@ def _runs(table: pa.Table, width: int, apart: bool) -> tuple[list[bytes], np.nda
     order = np.lexsort((place, owner, row, ids) if apart else (place, row, ids))
     keys = [k[order] for k in ((row, owner, ids) if apart else (row, ids))]
     begin = place[order]
-    end = begin + size[order] + width - 1
+    end = begin + pc.binary_length(table["bytes"]).to_numpy()[order]
     new = np.ones(len(order), bool)
     new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
     group = np.cumsum(new) - 1
@@ -382,21 +404,24 @@ def _runs(table: pa.Table, width: int, apart: bool) -> tuple[list[bytes], np.nda
     return texts, np.concatenate(wanted), named, begin[cuts[:-1]]
 
 
-def _sort_shard(width: int, apart: bool):
+def _sort_shard(width: int, apart: bool, longer: int | None = None):
     def task(table: pa.Table) -> pa.Table:
-        texts, wanted, named, places = _runs(table, width, apart)
+        texts, wanted, named, places = _runs(table, apart)
         rows = np.array(named, np.int64)
-        found = repeated_windows(texts, width, table["owner"].to_numpy()[rows] if apart else None, wanted)
+        owners = table["owner"].to_numpy()[rows] if apart else None
+        both = repeated_of_widths(texts, [(width, owners), (longer, None)], wanted) if longer else [repeated_windows(texts, width, owners, wanted)]
         once = table["once"].to_numpy()[rows]
-        at, low, high = [], [], []
-        for k, (place, starts) in enumerate(zip(places.tolist(), found, strict=True)):
-            if once[k] and len(starts):
-                a, b = merged(starts, starts + width)
-                at += [named[k]] * len(a)
-                low += (a + place).tolist()
-                high += (b + place).tolist()
+        at, low, high, which = [], [], [], []
+        for kind, found in enumerate(both):
+            for k, (place, starts) in enumerate(zip(places.tolist(), found, strict=True)):
+                if once[k] and len(starts):
+                    a, b = merged(starts, starts + (longer if kind else width))
+                    at += [named[k]] * len(a)
+                    low += (a + place).tolist()
+                    high += (b + place).tolist()
+                    which += [kind == 1] * len(a)
         rows = pa.array(at, pa.int64())
-        return pa.table({"doc_id": table["doc_id"].take(rows), "row": table["row"].take(rows), "low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64())})
+        return pa.table({"doc_id": table["doc_id"].take(rows), "row": table["row"].take(rows), "low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64()), "longer": pa.array(which, pa.bool_())})
 
     return task
 
@@ -417,13 +442,19 @@ def _hash_windows(width: int):
     return task
 
 
-def covered_ranges(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, apart: bool = False, shard_bytes: int = SHARD_BYTES, hot: int = HOT) -> DataFrame:
-    """(doc_id, row, low, high): byte ranges covered by strings of ``width`` bytes that start more than once, with ``apart`` in more than one row."""
+def covered_ranges(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, apart: bool = False, shard_bytes: int = SHARD_BYTES, hot: int = HOT, longer: int | None = None) -> DataFrame:
+    """(doc_id, row, low, high, longer): byte ranges covered by strings of ``width`` bytes that start more than once, with ``apart`` in more than one row.
+
+    ``longer`` is another width over ``width``; rows with that flag are the ranges of its strings, which start more than once, in whatever row.
+    """
     if width <= 3 * REACH:
         raise ValueError(f"width must be over {3 * REACH} bytes")
+    if longer and longer <= width:
+        raise ValueError("the longer width must be over the other")
+    reach = longer or width
     work = shared_dir(documents.sparkSession, "suffix")
     docs = rows_of(documents, id_column, text_column)
-    found = saved(docs.mapInArrow(_find(width, min(GRAM, width)), "doc_id long, row long, at long, size int, gram int, key long, content long, left int, right int, within boolean"), f"{work}/blocks")
+    found = saved(docs.mapInArrow(_find(width, min(GRAM, width), reach), "doc_id long, row long, at long, size int, wide int, gram int, key long, content long, left int, right int, within boolean"), f"{work}/blocks")
     # One copy of each block, any (its columns are of one row). Its owner is its row, or 0 if several rows hold it.
     owner = F.when(F.min("row") == F.max("row"), F.min("row")).otherwise(0)
     copies = saved(
@@ -448,9 +479,15 @@ def covered_ranges(documents: DataFrame, id_column: str = "doc_id", text_column:
     near = F.min(F.hash("row", F.floor(F.col("place") / STRETCH))).cast("long").alias("near")
     unit = F.when(F.col("unlike") <= min(FEW, hot), F.col("near")).otherwise(F.col("bunch")).alias("unit")
     bunches = saved(dealt.groupBy("bunch").agg(unlike, near, F.max("once").alias("open")).where("unlike > 1 and open").select("bunch", "unlike", unit), f"{work}/unlike")
+    # What is repeated in whole; the ranges of the longer strings do not ask for another row.
+    kinds = F.array(
+        F.when(several, F.struct(F.col("size").alias("n"), F.lit(width).alias("width"), F.lit(False).alias("longer"))),
+        *([F.when((F.col("copies") > 1) & (F.col("wide") > 0), F.struct(F.col("wide").alias("n"), F.lit(longer).alias("width"), F.lit(True).alias("longer")))] if longer else []),
+    )
     whole = (
-        found.join(copies.where(several).select("key", "content").hint("shuffle_hash"), ["key", "content"])
-        .select("doc_id", "row", F.col("at").alias("low"), (F.col("at") + F.col("size") + F.lit(width - 1)).alias("high"))
+        found.join(copies.where(F.col("copies") > 1 if longer else several).select("key", "content", "copies", "owner").hint("shuffle_hash"), ["key", "content"])
+        .select("doc_id", "row", "at", F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("x"))
+        .select("doc_id", "row", F.col("at").alias("low"), (F.col("at") + F.col("x.n") + F.col("x.width") - 1).alias("high"), "x.longer")
     )
     if apart:  # other rows may share a part of a block that one row holds at several places
         within = copies.where("copies > 1 and owner <> 0").select("key", "content", "owner", F.col("at").alias("first"))
@@ -460,56 +497,69 @@ def covered_ranges(documents: DataFrame, id_column: str = "doc_id", text_column:
         .groupBy("doc_id", "row")
         .agg(F.collect_list(F.struct("place", "size", F.col("unit").alias("bunch"), "once", (F.col("unlike") > hot).alias("hot"), "owner")).alias("wanted"))
     )
-    texts = saved(on_row(docs, wanted, "inner").select("doc_id", "text", "row", "wanted").mapInArrow(_cut(width), CUT), f"{work}/texts")
+    texts = saved(on_row(docs, wanted, "inner").select("doc_id", "text", "row", "wanted").mapInArrow(_cut(reach), CUT), f"{work}/texts")
     total = texts.where("not hot").agg(F.sum("size"), F.count("*")).first()
-    shards = max(1, ((total[0] or 0) + width * total[1]) // shard_bytes)
+    shards = max(1, ((total[0] or 0) + reach * total[1]) // shard_bytes)
     sorted_ = (
         texts.where("not hot")
         .groupBy(F.pmod(F.xxhash64("bunch"), F.lit(shards)).alias("shard"))
-        .applyInArrow(_sort_shard(width, apart), RANGES)
+        .applyInArrow(_sort_shard(width, apart, longer), RANGES)
     )
-    windows = texts.where("hot").mapInArrow(_hash_windows(width), "doc_id long, row long, at long, bunch long, window long, once boolean, owner long")
-    again = F.min("owner") < F.max("owner") if apart else F.count("*") > 1
-    again = saved(windows.groupBy("bunch", "window").agg(again.alias("again")).where("again").select("bunch", "window"), f"{work}/again")
-    spread = windows.where("once").join(again, ["bunch", "window"]).select("doc_id", "row", F.col("at").alias("low"), (F.col("at") + F.lit(width)).alias("high"))
-    ranges = saved(whole.unionByName(sorted_).unionByName(spread), f"{work}/ranges")
-    discard(documents.sparkSession, *(f"{work}/{x}" for x in ("blocks", "copies", "unlike", "texts", "again")))
+    ranges = whole.unionByName(sorted_)
+    if longer:
+        # Blocks whose contents go on are often unlike where those of one width are alike, so the rows of hot bunches take each width by itself.
+        rows = saved(texts.where("hot").select("doc_id", "row").distinct(), f"{work}/hot")
+        if not rows.isEmpty():
+            few = saved(on_row(docs, rows, "inner").select("doc_id", "text"), f"{work}/few")
+            of = {"shard_bytes": shard_bytes, "hot": hot}
+            ranges = ranges.unionByName(covered_ranges(few, width=width, apart=apart, **of)).unionByName(covered_ranges(few, width=longer, **of).withColumn("longer", F.lit(True)))
+    else:
+        windows = texts.where("hot").mapInArrow(_hash_windows(width), "doc_id long, row long, at long, bunch long, window long, once boolean, owner long")
+        again = F.min("owner") < F.max("owner") if apart else F.count("*") > 1
+        again = saved(windows.groupBy("bunch", "window").agg(again.alias("again")).where("again").select("bunch", "window"), f"{work}/again")
+        spread = windows.where("once").join(again, ["bunch", "window"])
+        ranges = ranges.unionByName(spread.select("doc_id", "row", F.col("at").alias("low"), (F.col("at") + F.lit(width)).alias("high"), F.lit(False).alias("longer")))
+    ranges = saved(ranges, f"{work}/ranges")
+    discard(documents.sparkSession, *(f"{work}/{x}" for x in ("blocks", "copies", "unlike", "texts", "again", "hot", "few")))
     return ranges
 
 
-def _ranges(found: list | None) -> tuple[np.ndarray, np.ndarray]:
-    return merged(np.array([r["low"] for r in found or []], np.int64), np.array([r["high"] for r in found or []], np.int64))
+def _ranges(column: pa.Array, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The unions of the rows' ranges: the row of each, and its ends in the buffer of all texts."""
+    doc, (low, high) = _listed(column)
+    apart = offsets[doc] + doc  # a byte between the texts, so that their ranges do not touch
+    low, high = merged(low.to_numpy() + apart, high.to_numpy() + apart)
+    doc = np.searchsorted(offsets[:-1] + np.arange(len(column)), low, "right") - 1
+    return doc, low - doc, high - doc
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         buf, offsets = utf8(batch.column(1))
-        gone, spans, rest, shared = [], [], [], []
-        for d, (ranges, others) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-            a, b = int(offsets[d]), int(offsets[d + 1])
-            low, high = _ranges(ranges)
-            keep = np.ones(b - a, bool)
-            for x, y in zip(low.tolist(), high.tolist(), strict=True):
-                keep[x:y] = False
-            rest.append(buf[a:b][keep].tobytes() if len(low) else buf[a:b].tobytes())
-            gone.append(b - a - len(rest[-1]))
-            spans.append(len(low))
-            low, high = _ranges(others)
-            shared.append(int((high - low).sum()))
-        yield pa.record_batch(
-            [batch.column(0), pa.array(np.diff(offsets)), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), binary(rest), pa.array(shared, pa.int64())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "n_shared"]
-        )
+        n, size = batch.num_rows, np.diff(offsets)
+        gone, shared = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        doc, low, high = _ranges(batch.column(2), offsets)
+        np.add.at(gone, doc, high - low)
+        edge = np.zeros(len(buf) + 1, np.int8)
+        edge[low] += 1
+        edge[high] -= 1
+        rest = buf[np.cumsum(edge[:-1], dtype=np.int8) == 0]
+        ends = np.append(0, np.cumsum(size - gone)).astype(np.int32)
+        kept = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(rest)])
+        other, low, high = _ranges(batch.column(3), offsets)
+        np.add.at(shared, other, high - low)
+        spans = np.bincount(doc, minlength=n)
+        yield pa.record_batch([batch.column(0), pa.array(size), pa.array(gone), pa.array(spans, pa.int64()), kept, pa.array(shared)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "n_shared"])
 
 
 def remove_repeated(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, shared: int = SHARED, **options) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, the remaining bytes, and n_shared, of every row."""
-
-    def by_row(name: str, ranges: DataFrame) -> DataFrame:
-        return ranges.groupBy("doc_id", "row").agg(F.collect_list(F.struct("low", "high")).alias(name))
-
-    removed = by_row("ranges", covered_ranges(documents, id_column, text_column, width, **options))
-    others = by_row("others", covered_ranges(documents, id_column, text_column, shared, apart=True, **options))
-    both = removed.select("*", F.lit(None).cast("array<struct<low:long,high:long>>").alias("others")).unionByName(others.select("*", F.lit(None).cast("array<struct<low:long,high:long>>").alias("ranges")))
-    both = both.groupBy("doc_id", "row").agg(F.first("ranges", True).alias("ranges"), F.first("others", True).alias("others"))
+    if shared < width:
+        ranges = covered_ranges(documents, id_column, text_column, shared, apart=True, longer=width, **options)
+    else:
+        removed = covered_ranges(documents, id_column, text_column, width, **options).withColumn("longer", F.lit(True))
+        ranges = removed.unionByName(covered_ranges(documents, id_column, text_column, shared, apart=True, **options))
+    of = F.struct("low", "high")
+    both = ranges.groupBy("doc_id", "row").agg(F.collect_list(F.when(F.col("longer"), of)).alias("ranges"), F.collect_list(F.when(~F.col("longer"), of)).alias("others"))
     found = on_row(rows_of(documents, id_column, text_column), both)
     return found.select("doc_id", "text", "ranges", "others").mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, n_shared long")

@@ -43,3 +43,23 @@ def test_near_copies_against_plain(spark):
         for options in ({}, {"shard_bytes": 3000}, {"hot": 4}):
             found = suffix_dedup.remove_repeated(frame, **options).withColumn("kept", F.sha2("kept", 256))
             assert sorted(map(tuple, found.collect())) == expected
+
+
+def test_both_widths_take_one_suffix_array(spark, monkeypatch):
+    """Texts are cut into blocks once, and the texts of a shard are sorted once, for both widths."""
+    asked, real = [], suffix_dedup.covered_ranges
+    monkeypatch.setattr(suffix_dedup, "covered_ranges", lambda *given, **options: asked.append(options) or real(*given, **options))
+    rows = near_copies(4, 3, 700, 60)
+    found = suffix_dedup.remove_repeated(spark.createDataFrame(rows, "doc_id long, text string")).withColumn("kept", F.sha2("kept", 256))
+    assert sorted(map(tuple, found.collect())) == sorted(brute.suffix(rows))
+    assert len(asked) == 1
+
+
+def test_windows_of_two_widths_against_each_by_itself():
+    rng = random.Random(8)
+    texts = [(t or "").encode() for _, t in near_copies(5, 4, 500, 50)]
+    owners = [rng.randrange(3) for _ in texts]
+    both = suffix_dedup.repeated_of_widths(texts, [(288, owners), (400, None)])
+    for found, (width, whose) in zip(both, ((288, owners), (400, None)), strict=True):
+        assert [x.tolist() for x in found] == [x.tolist() for x in suffix_dedup.repeated_windows(texts, width, whose)]
+    assert any(len(x) for x in both[1])
